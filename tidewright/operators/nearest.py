@@ -16,6 +16,7 @@ from tidewright.session import materialize
 CELL_POINTS = 64
 FAN_BITS = 2  # a cell has 4 x 4 children
 MAX_DEPTH = 20
+PAIRING_SALTS = 32
 
 
 def _squared(lat: Column, lon: Column) -> Column:
@@ -112,13 +113,17 @@ def nearest_points(
 
     placed, leaves, half, depth = _search_cells(placed, cell_points)
 
-    # Every spot is looked up in every geometry: the pairing starts at the root cell, which
-    # all of them share. Its size is the size of the result.
-    roots = placed.select("_g").distinct().withColumns({"cx": F.lit(0).cast("bigint"), "cy": F.lit(0).cast("bigint")})
-    origin = sites.withColumns({"cx": F.lit(0).cast("bigint"), "cy": F.lit(0).cast("bigint")})
-    front = roots.join(origin, ["cx", "cy"])
+    # Every spot is looked up in every geometry; the size of this pairing is the size of the
+    # result. Spots are copied to each salt, so the pairing is a hash join over many keys.
+    grids = (leaves if depth else placed).select("_g").distinct()
+    front = grids.withColumn("_salt", F.pmod(F.xxhash64("_g"), F.lit(PAIRING_SALTS))).join(
+        sites.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(PAIRING_SALTS - 1)).cast("array<bigint>"))),
+        "_salt",
+    )
 
     if depth:
+        root = F.lit(0).cast("bigint")
+        front = front.withColumns({"cx": root, "cy": root})
         levels = [leaves]
         for _ in range(depth - 1):
             up = {"cx": F.shiftright("cx", FAN_BITS), "cy": F.shiftright("cy", FAN_BITS)}
@@ -144,7 +149,7 @@ def nearest_points(
             )
         candidates = front.join(_with_cell(placed, half, depth), ["_g", "cx", "cy"])
     else:
-        candidates = front.drop("cx", "cy").join(placed, "_g")
+        candidates = front.join(placed, "_g")
 
     entry = F.struct(_squared(F.col("lat"), F.col("lon")).alias("dist2"), "grid_idx", *carried)
     return (

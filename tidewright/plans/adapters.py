@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewright.functions.columns import month_start
 from tidewright.schemas import SWELL_MEASURES
 from tidewright.session import scratch_path
 from tidewright.sources.buoy_text import render_lines
@@ -124,18 +125,19 @@ def write_landing(spark: SparkSession, sf_dir: str) -> str:
     text = F.lit(None).cast("string")
     for layout in SOURCES:
         text = F.when(F.col("src") == layout, render_lines(rows, layout)).otherwise(text)
-    body = rows.select("src", "station_id", F.col("event_id").alias("ord"), text.alias("value"))
-    heads = body.select("src", "station_id").distinct().select(
-        "src",
-        "station_id",
-        F.posexplode(F.array(F.lit("#YY MM DD hh mm"), F.lit("yr mo dy hr mn"))).alias("ord", "value"),
+    # One file per source, station and month, so a station with many rows is many files.
+    file = ["src", "station_id", "month"]
+    body = rows.select(
+        "src", "station_id", month_start("datetime").alias("month"), F.col("event_id").alias("ord"), text.alias("value")
     )
-    heads = heads.withColumn("ord", F.col("ord").cast("bigint") - 2)
+    headers = F.array(F.lit("#YY MM DD hh mm"), F.lit("yr mo dy hr mn"))
+    heads = body.select(*file).distinct().select(*file, F.posexplode(headers).alias("pos", "value"))
+    heads = heads.withColumn("ord", F.col("pos") - F.lit(2).cast("bigint")).drop("pos")
     path = scratch_path(spark, "landing")
     (
         body.unionByName(heads)
-        .repartition("src", "station_id")
-        .sortWithinPartitions("src", "station_id", "ord")
+        .repartition(*file)
+        .sortWithinPartitions("src", "station_id", "month", "ord")
         .select("value", "src", "station_id")
         .write.partitionBy("src", "station_id")
         .text(path)

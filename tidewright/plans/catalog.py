@@ -133,19 +133,10 @@ def ingest_report(spark, sf_dir):
 
 @query
 def stream_ingest(spark, sf_dir):
-    return _streamed(spark, sf_dir, None)
-
-
-@query
-def stream_ingest_dedup(spark, sf_dir):
-    return _streamed(spark, sf_dir, "60 days")
-
-
-def _streamed(spark, sf_dir, dedup_delay):
-    log = scratch_path(spark, "log")
+    log, offsets = scratch_path(spark, "log"), scratch_path(spark, "offsets")
     landing = adapters.write_landing(spark, sf_dir)
-    run = ingest.ingest_landing(spark, landing, log, scratch_path(spark, "offsets"), dedup_delay)
-    run.awaitTermination()
+    for _ in range(2):  # the second run finds no new files
+        ingest.ingest_landing(spark, landing, log, offsets).awaitTermination()
     return ingest.merged_observations(spark, log)
 
 

@@ -232,7 +232,6 @@ def all_oracles() -> dict[str, str]:
         ),
         "landing_scan": f"with {_landing()} select * from landed",
         "stream_ingest": f"with {_landing()} select * from landed",
-        "stream_ingest_dedup": f"with {_landing()} select * from landed",
         "ingest_report": f"""with {EV} select station_id, count(*) filter (where event_id % 11 <> 0) as rows_ok,
             count(*) filter (where event_id % 11 = 0) as rows_failed,
             case when count(*) filter (where event_id % 11 <> 0) > 0 then 'processed' else 'empty' end as status

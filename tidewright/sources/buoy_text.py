@@ -41,7 +41,7 @@ CANONICAL_FIELD = {
 }
 
 # First words of the two header rows.
-HEADER_WORDS = ["yy", "yr", "year"]
+HEADER = r"(?i)^(yy|yr|year)\s"
 
 # Order of rows that carry the same (station, timestamp); see `scan_buoy_files`.
 ORDER = ["file_order", "line_order"]
@@ -51,12 +51,9 @@ _FIELDS = "_fields"
 
 def data_lines(lines: DataFrame) -> DataFrame:
     """Lines that hold data, split at white space; header, comment and blank lines drop out."""
-    text = F.trim(F.regexp_replace(F.substring_index("value", "#", 1), r"\s+", " "))
-    fields = F.split(text, " ")
-    return (
-        lines.withColumn(_FIELDS, fields)
-        .where(F.length(F.get(_FIELDS, F.lit(0))) > 0)
-        .where(~F.lower(F.get(_FIELDS, F.lit(0))).isin(HEADER_WORDS))
+    text = F.trim(F.substring_index("value", "#", 1), F.lit(" \t\r"))
+    return lines.where((F.length(text) > 0) & ~F.rlike(text, F.lit(HEADER))).withColumn(
+        _FIELDS, F.split(text, r"\s+")
     )
 
 
@@ -175,30 +172,35 @@ def _lines(reader, path: str) -> DataFrame:
     priority = F.lit(None).cast("bigint")
     for name, rank in SOURCE_PRIORITY.items():
         priority = F.when(src == name, rank).otherwise(priority)
-    in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    # file_order: layout first, then file age. line_order: the split's offset (64 KiB steps),
-    # then the row number within the task that reads the split.
+    # Layout first, then file age.
     file_order = F.shiftleft(priority, 56) + F.unix_micros(F.col("_metadata.file_modification_time"))
-    line_order = (
-        F.shiftleft(F.floor(F.col("_metadata.file_block_start") / 65536).cast("bigint"), 33)
-        + in_partition
-    )
     return raw.select(
         "value",
         station.alias("station_id"),
         src.alias("src"),
         file_order.alias("file_order"),
-        line_order.alias("line_order"),
+        F.col("_metadata.file_block_start").alias("block_start"),
     ).where(F.col("file_order").isNotNull())
 
 
+def with_line_order(lines: DataFrame) -> DataFrame:
+    """Number the lines of each file; apply to scanned lines before any shuffle.
+
+    The split's offset in the file (in steps of 64 KiB) comes first, then the row number
+    within the task that reads the split.
+    """
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    split = F.floor(F.col("block_start") / 65536).cast("bigint")
+    return lines.withColumn("line_order", F.shiftleft(split, 33) + in_task).drop("block_start")
+
+
 def scan_buoy_lines(spark: SparkSession, path: str) -> DataFrame:
     """Raw lines of a landing folder with station, layout and row order."""
-    return _lines(spark.read, path)
+    return with_line_order(_lines(spark.read, path))
 
 
 def stream_buoy_lines(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """The same scan as a stream: every landed file is read once."""
+    """The same scan as a stream; number the lines of each micro-batch by `with_line_order`."""
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

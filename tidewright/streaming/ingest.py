@@ -1,12 +1,19 @@
 """Incremental ingest of landed buoy files.
 
-Every landed file is read once. Each micro-batch is written as one folder of a log, named
-by its batch number, so a repeated batch replaces itself and nothing stored is rewritten.
-Reading the log merges it by key: earlier batches win, later ones fill what was NULL.
+Every landed file is read once. Each micro-batch is merged per (station, datetime) and
+written as one folder of a log, named by its batch number, so a repeated batch replaces
+itself and nothing stored is rewritten. Rows that add nothing to the log are left out: a
+station file is landed again and again with mostly the same rows. Reading the log merges it
+by key: earlier batches win, later ones fill what was NULL.
+
+Nothing is dropped for being late, so no watermark is set: the log is the state, and only
+the months a batch touches are looked up in it.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,54 +21,65 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewright.operators.merge import first_non_null
 from tidewright.schemas import KEY, MEASURES, OBSERVATION, POSITION
-from tidewright.sinks.tables import append_observations
-from tidewright.sources.buoy_text import ORDER, parse_observations, stream_buoy_lines
+from tidewright.session import materialize
+from tidewright.sinks.tables import MONTH, append_observations, by_month, table_exists
+from tidewright.sources.buoy_text import (
+    ORDER,
+    parse_observations,
+    stream_buoy_lines,
+    with_line_order,
+)
 
 BATCH = "batch_id"
+VALUES = POSITION + MEASURES
+
+LOG = T.StructType(
+    OBSERVATION.fields + [T.StructField(BATCH, T.LongType()), T.StructField(MONTH, T.StringType())]
+)
 
-LOG = T.StructType(OBSERVATION.fields + [T.StructField(BATCH, T.LongType())])
 
+def batch_observations(lines: DataFrame) -> DataFrame:
+    """Lines of one micro-batch to one row per (station, datetime)."""
+    parsed = parse_observations(with_line_order(lines))
+    return first_non_null(parsed.where("valid"), ORDER)
 
-def stream_observations(
-    spark: SparkSession, landing: str, dedup_delay: str | None = None, max_files: int | None = None
-) -> DataFrame:
-    """Valid observation rows of the landed files, as a stream.
 
-    A station file is landed again and again with mostly the same rows. `dedup_delay` drops
-    a row that came with the same content within that event-time delay, which keeps the log
-    small. It also drops rows that are later than the delay, so it must cover the age of the
-    oldest row a file may hold; without it every row is kept and the merge settles them.
+def news(batch: DataFrame, log: DataFrame) -> DataFrame:
+    """Rows of the batch that are new to the log or fill a value it lacks.
+
+    The log is cut down to the keys of the batch first, as in `absent_rows`.
     """
-    parsed = parse_observations(stream_buoy_lines(spark, landing, max_files))
-    rows = parsed.where("valid").select("src", *OBSERVATION.fieldNames(), *ORDER)
-    if dedup_delay:
-        rows = (
-            rows.withColumn("event_time", F.col("datetime").cast("timestamp"))
-            .withWatermark("event_time", dedup_delay)
-            .dropDuplicatesWithinWatermark([*KEY, "src", *POSITION, *MEASURES])
-            .drop("event_time")
-        )
-    return rows.drop("src")
+    hits = log.join(batch.select(*KEY), KEY, "left_semi")
+    stored = first_non_null(hits, [BATCH]).withColumnsRenamed({c: f"_{c}" for c in VALUES})
+    adds = [F.col(c).isNotNull() & F.col(f"_{c}").isNull() for c in VALUES]
+    known = stored.withColumn("_known", F.lit(True))
+    return (
+        batch.join(known, KEY, "left")
+        .where(F.col("_known").isNull() | reduce(lambda a, b: a | b, adds))
+        .select(*batch.columns)
+    )
 
 
 def ingest_landing(
-    spark: SparkSession,
-    landing: str,
-    log: str,
-    checkpoint: str,
-    dedup_delay: str | None = None,
-    max_files: int | None = None,
+    spark: SparkSession, landing: str, log: str, checkpoint: str, max_files: int | None = None
 ) -> StreamingQuery:
     """Read all files that landed since the last run into the log, then stop."""
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        merged = first_non_null(batch, ORDER)
-        # The order within the batch has done its work; the batch number orders the log.
-        merged.write.mode("overwrite").parquet(f"{log}/{BATCH}={batch_id}")
+    def write_batch(lines: DataFrame, batch_id: int) -> None:
+        rows = materialize(batch_observations(lines), "batch")
+        if table_exists(spark, log):
+            months = [r[0] for r in by_month(rows).select(MONTH).distinct().collect()]
+            earlier = read_log(spark, log).where(
+                (F.col(BATCH) < batch_id) & F.col(MONTH).isin(months)
+            )
+            rows = news(rows, earlier)
+        by_month(rows).hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(
+            f"{log}/{BATCH}={batch_id}"
+        )
 
-    rows = stream_observations(spark, landing, dedup_delay, max_files)
     return (
-        rows.writeStream.foreachBatch(write_batch)
+        stream_buoy_lines(spark, landing, max_files)
+        .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
