@@ -24,6 +24,7 @@ def spark():
             "spark.master": "local[4]",
             "spark.sql.shuffle.partitions": 4,
             "spark.driver.memory": "4g",
+            "spark.sql.maxMetadataStringLength": 10000,
         },
     )
     session.sparkContext.setLogLevel("ERROR")
