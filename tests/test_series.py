@@ -31,17 +31,17 @@ def series(spark, n=1500, seed=4, nulls=0.05):
     return pdf, spark.createDataFrame(data, SERIES)
 
 
-@pytest.mark.parametrize("bucket", ["day", "hour", "month"])
+@pytest.mark.parametrize(("bucket", "series_rows"), [("day", 10**6), ("day", 100), ("hour", 0), ("month", 0)])
 @pytest.mark.parametrize("per_station", [True, False])
-def test_lags_agree_with_shift(spark, per_station, bucket):
+def test_lags_agree_with_shift(spark, per_station, bucket, series_rows):
     pdf, sdf = series(spark)
     pdf = pdf.sort_values(["datetime", "station_id"]).reset_index(drop=True)
     shifted = (pdf.groupby("station_id") if per_station else pdf)[MEASURES].shift(1)
     want = pdf.join(shifted.add_suffix("_lag1"))
-    got = lagged.lag_features(sdf, per_station=per_station, bucket=bucket, complete=False).toPandas()
+    got = lagged.lag_features(sdf, per_station=per_station, bucket=bucket, complete=False, series_rows=series_rows).toPandas()
     got = got.sort_values(["datetime", "station_id"]).reset_index(drop=True)
     pd.testing.assert_frame_equal(got, want[got.columns], check_dtype=False)
-    complete = lagged.lag_features(sdf, per_station=per_station, bucket=bucket)
+    complete = lagged.lag_features(sdf, per_station=per_station, bucket=bucket, series_rows=series_rows)
     assert complete.count() == len(want.dropna())
 
 

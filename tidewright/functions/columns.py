@@ -33,6 +33,16 @@ def _col(c: Col) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def utc(at: dt.datetime) -> dt.datetime:
+    """Without a zone; an instant with one is taken to UTC first."""
+    return at if at.tzinfo is None else at.astimezone(dt.timezone.utc).replace(tzinfo=None)
+
+
+def instant(at: dt.datetime) -> Column:
+    """A literal timestamp without a time zone, whatever the session zone is."""
+    return F.lit(utc(at).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def month_start(ts: Col) -> Column:
     """First instant of the month, without a time zone whatever the session zone is."""
     return F.trunc(_col(ts).cast("date"), "MM").cast("timestamp_ntz")
@@ -46,8 +56,7 @@ def cycle_floor(ts: Col, hours: int = 6) -> Column:
 
 
 def null_if_nan(c: Col) -> Column:
-    c = _col(c)
-    return F.when(~F.isnan(c), c)
+    return F.nullif(_col(c), F.lit(float("nan")))
 
 
 def null_nan(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
@@ -108,7 +117,7 @@ def lower_names(df: DataFrame) -> DataFrame:
 
 def partition_key_of(as_of: dt.datetime) -> str:
     """Month key `yyyyMM` under which a run is stored."""
-    return as_of.strftime("%Y%m")
+    return utc(as_of).strftime("%Y%m")
 
 
 def with_bookkeeping(
@@ -116,7 +125,7 @@ def with_bookkeeping(
 ) -> DataFrame:
     return df.withColumns(
         {
-            UPDATED_AT: F.lit(as_of.replace(tzinfo=None)).cast("timestamp_ntz"),
+            UPDATED_AT: instant(as_of),
             ASSET_PARTITION: F.lit(asset_partition).cast("string"),
             PARTITION_KEY: F.lit(partition_key or partition_key_of(as_of)),
         }

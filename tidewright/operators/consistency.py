@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.functions.columns import month_start
+from tidewright.operators.moments import moments
 from tidewright.operators.quantiles import UNKNOWN_LABEL, exact_quantiles, tertile_label
 from tidewright.schemas import CONSISTENCY, MEASURES, POSITION, SHORT_NAMES, STD_COLUMNS
 from tidewright.session import materialize
@@ -85,28 +86,12 @@ def first_component(df: DataFrame, columns: Sequence[str] = tuple(STD_COLUMNS))
     One aggregate gives the means and the covariances; only those few numbers reach the
     driver. The sign is fixed so that the largest loading is positive.
     """
-    k = len(columns)
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    row = (
-        df.dropna("any")
-        .agg(
-            F.count(F.lit(1)),
-            *[F.avg(c) for c in columns],
-            *[F.covar_samp(columns[i], columns[j]) for i, j in pairs],
-        )
-        .first()
-    )
-    n, means, covs = row[0], list(row[1 : k + 1]), row[k + 1 :]
-    if n == 0:
+    found = moments(df.dropna("any"), columns)
+    if found.n == 0:
         return None
-    if n == 1:
-        return Component(columns, means, [0.0] * k)
-    matrix = np.zeros((k, k))
-    for (i, j), c in zip(pairs, covs):
-        matrix[i, j] = matrix[j, i] = c
-    top = np.linalg.eigh(matrix)[1][:, -1]
+    top = np.linalg.eigh(found.covariance)[1][:, -1]
     top = top * (1.0 if top[np.argmax(np.abs(top))] > 0 else -1.0)
-    return Component(columns, means, [float(w) for w in top])
+    return Component(columns, [float(m) for m in found.means], [float(w) for w in top])
 
 
 def attach_scores(monthly: DataFrame, scores: DataFrame) -> DataFrame:

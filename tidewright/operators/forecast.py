@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.operators.lagged import lag_features, lag_names, latest_overall, latest_per_station
+from tidewright.operators.moments import moments
 from tidewright.schemas import MEASURES
 
 TARGET = "wave_height"
@@ -43,11 +43,14 @@ def is_test_row(share: float = 0.2) -> Column:
 
 
 def fit_lag_model(train: DataFrame, measures: Sequence[str] = tuple(MEASURES)) -> LagModel:
-    """Least squares by the normal equations: one pass, a 4x4 system on the driver."""
-    features = VectorAssembler(inputCols=lag_names(measures), outputCol="features")
-    rows = features.transform(train).select("features", F.col(TARGET).alias("label"))
-    model = LinearRegression(solver="normal", regParam=0.0).fit(rows)
-    return LagModel(measures, float(model.intercept), [float(b) for b in model.coefficients])
+    """Least squares from the means and covariances: one pass over the training rows.
+
+    The least-norm solution is taken, so a constant or repeated measure does no harm.
+    """
+    found = moments(train, [*lag_names(measures), TARGET])
+    slopes = np.linalg.lstsq(found.covariance[:-1, :-1], found.covariance[:-1, -1], rcond=None)[0]
+    intercept = found.means[-1] - found.means[:-1] @ slopes
+    return LagModel(measures, float(intercept), [float(b) for b in slopes])
 
 
 def evaluate(model: LagModel, test: DataFrame) -> DataFrame:

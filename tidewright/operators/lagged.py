@@ -10,22 +10,46 @@ from pyspark.sql import functions as F
 from tidewright.schemas import MEASURES
 
 
+# A series of up to this many rows is sorted by one task.
+SERIES_ROWS = 5_000_000
+
+
 def with_previous(
     df: DataFrame,
     columns: Sequence[str],
     names: Sequence[str],
     per_station: bool = True,
     bucket: str = "day",
+    series_rows: int = SERIES_ROWS,
 ) -> DataFrame:
     """Add the previous row's value of each column, in time order.
 
-    The series is cut into time buckets, so that one long station series (or, with
-    `per_station=False`, the whole table) is sorted by many tasks. The first row of a bucket
-    takes its values from the last row of the bucket before, found in a small table with
-    one row per bucket.
+    The rows of the longest series (a station, or with `per_station=False` the whole table)
+    are counted first, which reads one column. While no series is longer than `series_rows`
+    this is a plain window. Otherwise see `_with_previous_by_slot`.
     """
     keys = ["station_id"] if per_station else []
     order = ["datetime"] if per_station else ["datetime", "station_id"]
+    longest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if longest > series_rows:
+        return _with_previous_by_slot(df, columns, names, keys, order, bucket)
+    series = Window.partitionBy(*keys).orderBy(*order)
+    return df.select("*", *[F.lag(c).over(series).alias(n) for c, n in zip(columns, names)])
+
+
+def _with_previous_by_slot(
+    df: DataFrame,
+    columns: Sequence[str],
+    names: Sequence[str],
+    keys: list[str],
+    order: list[str],
+    bucket: str,
+) -> DataFrame:
+    """The series cut into time slots, so that a long one is sorted by many tasks.
+
+    The first row of a slot takes its values from the last row of the slot before, found in
+    a small table with one row per slot.
+    """
     slot = F.col("datetime").cast("date") if bucket == "day" else F.date_trunc(bucket, "datetime")
     rows = df.withColumn("_slot", slot)
     group = [*keys, "_slot"]
@@ -64,10 +88,11 @@ def lag_features(
     per_station: bool = True,
     bucket: str = "day",
     complete: bool = True,
+    series_rows: int = SERIES_ROWS,
 ) -> DataFrame:
     """Lag-1 features of the measures; with `complete`, only rows without any NULL."""
     rows = obs.select("station_id", "datetime", *columns)
-    lagged = with_previous(rows, columns, lag_names(columns), per_station, bucket)
+    lagged = with_previous(rows, columns, lag_names(columns), per_station, bucket, series_rows)
     return lagged.dropna("any") if complete else lagged
 
 

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.functions.columns import month_start
+from tidewright.functions.columns import instant, month_start
 from tidewright.schemas import SWELL_MEASURES
 from tidewright.session import scratch_path
 from tidewright.sources.buoy_text import render_lines
@@ -95,7 +95,7 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .withColumns(
             {
-                "analysis_ts": F.lit(ANALYSIS_TS).cast("timestamp_ntz"),
+                "analysis_ts": instant(ANALYSIS_TS),
                 "forecast_hours": F.lit(0),
             }
         )

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.functions.columns import cycle_floor, decode_scaled
+from tidewright.functions.columns import cycle_floor, instant
 from tidewright.operators import (
     clustering,
     consistency,
@@ -60,6 +60,11 @@ def located(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged observations as a written table, as the jobs that read them several times have it."""
+    return materialize(merged(spark, sf_dir), "observations")
+
+
 def observation_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.enrich_coordinates(merged(spark, sf_dir), adapters.stations(spark, sf_dir)).select(
         *OBSERVATION.fieldNames()
@@ -428,17 +433,17 @@ def latest_per_station(spark, sf_dir):
 
 @query
 def forecast_mse(spark, sf_dir):
-    return rounded(jobs.forecast_job(merged(spark, sf_dir)).evaluation, 5, "mse")
+    return rounded(jobs.forecast_job(stored(spark, sf_dir)).evaluation, 5, "mse")
 
 
 @query
 def forecast_next(spark, sf_dir):
-    return rounded(jobs.forecast_job(merged(spark, sf_dir)).forecast, 5, "forecast")
+    return rounded(jobs.forecast_job(stored(spark, sf_dir)).forecast, 5, "forecast")
 
 
 @query
 def forecast_refit_last(spark, sf_dir):
-    result = jobs.forecast_job(merged(spark, sf_dir), mode="refit_last").forecast
+    result = jobs.forecast_job(stored(spark, sf_dir), mode="refit_last").forecast
     return rounded(result.select("station_id", "datetime", "forecast"), 5, "forecast")
 
 
@@ -454,17 +459,17 @@ def impute_scale(spark, sf_dir):
 
 @query
 def sample_rows(spark, sf_dir):
-    return clustering.sample_rows(merged(spark, sf_dir))
+    return clustering.sample_rows(stored(spark, sf_dir))
 
 
 @query
 def kmeans_clusters(spark, sf_dir):
-    return clustering.cluster_observations(merged(spark, sf_dir), k=4)
+    return clustering.cluster_observations(stored(spark, sf_dir), k=4)
 
 
 @query
 def silhouette_by_k(spark, sf_dir):
-    obs = merged(spark, sf_dir)
+    obs = stored(spark, sf_dir)
     scaling = clustering.fit_scaling(obs)
     scores = clustering.silhouettes(
         clustering.sample_rows(scaling.apply(obs)), scaling.outputs
@@ -477,7 +482,7 @@ def silhouette_by_k(spark, sf_dir):
 
 @query
 def cluster_histogram(spark, sf_dir):
-    return clustering.cluster_histogram(clustering.cluster_observations(merged(spark, sf_dir), k=4))
+    return clustering.cluster_histogram(clustering.cluster_observations(stored(spark, sf_dir), k=4))
 
 
 # --- stored tables ----------------------------------------------------------------------
@@ -487,8 +492,8 @@ def cluster_histogram(spark, sf_dir):
 def insert_if_absent(spark, sf_dir):
     target = scratch_path(spark, "observations")
     rows = materialize(observation_table(spark, sf_dir), "obs")
-    tables.append_observations(rows.where(F.col("datetime") < F.lit(SPLIT)), target)
-    again = rows.where(F.col("datetime") >= F.lit(SPLIT - dt.timedelta(days=400)))
+    tables.append_observations(rows.where(F.col("datetime") < instant(SPLIT)), target)
+    again = rows.where(F.col("datetime") >= instant(SPLIT - dt.timedelta(days=400)))
     changed = again.withColumn("average_period", F.col("average_period") + 1000)
     tables.insert_observations_if_absent(changed, target)
     return tables.read_observations(spark, target)
@@ -497,8 +502,8 @@ def insert_if_absent(spark, sf_dir):
 def _written_assets(spark, sf_dir):
     base = scratch_path(spark, "assets")
     rows = materialize(observation_table(spark, sf_dir), "obs")
-    early = rows.where(F.col("datetime") < F.lit(SPLIT))
-    late = rows.where(F.col("datetime") >= F.lit(SPLIT))
+    early = rows.where(F.col("datetime") < instant(SPLIT))
+    late = rows.where(F.col("datetime") >= instant(SPLIT))
     for part, key in [(late, "199806"), (late, "200112"), (early, "199806")]:
         tables.write_asset(part, "raw_buoy_data", base, RUN_AS_OF, key)
     return base

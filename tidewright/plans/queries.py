@@ -8,15 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions.columns import (
+    instant,
     is_finite,
     label_colour,
     lower_names,
     month_text,
     score_colour,
     two_decimals,
+    utc,
 )
 from tidewright.schemas import CONSISTENCY, MEASURES, OBSERVATION, SHORT_NAMES, STATION
-from tidewright.sinks.tables import MONTH
+from tidewright.sinks.tables import MONTH, read_table
 
 MAX_RANGE = dt.timedelta(days=31)
 
@@ -61,7 +63,7 @@ def between_dates(
     obs: DataFrame, start: dt.datetime, end: dt.datetime, station_id: str | None = None
 ) -> DataFrame:
     """Rows from `start` to `end`, both included; month folders are skipped where stored."""
-    rows = obs.where(F.col("datetime").between(F.lit(start), F.lit(end)))
+    rows = obs.where(F.col("datetime").between(instant(start), instant(end)))
     if MONTH in obs.columns:
         rows = rows.where(F.col(MONTH).between(start.strftime("%Y%m"), end.strftime("%Y%m")))
     if station_id:
@@ -96,8 +98,8 @@ def wave_data(
 
 def last_day(obs: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Rows of the 24 hours up to `as_of` and later."""
-    start = as_of.replace(tzinfo=None) - dt.timedelta(days=1)
-    rows = obs.where(F.col("datetime") >= F.lit(start))
+    start = utc(as_of) - dt.timedelta(days=1)
+    rows = obs.where(F.col("datetime") >= instant(start))
     if MONTH in obs.columns:
         rows = rows.where(F.col(MONTH) >= start.strftime("%Y%m"))
     return rows
@@ -114,7 +116,7 @@ def consistency(
     """Scored stations of a month range, both months included."""
     start, end = validate_month_range(start_month, end_month)
     rows = trends.where(
-        F.col("month").between(F.lit(start), F.lit(end)) & is_finite("consistency_score")
+        F.col("month").between(instant(start), instant(end)) & is_finite("consistency_score")
     ).select(
         "station_id", "month", "latitude", "longitude", "consistency_label", "consistency_score"
     )
@@ -162,6 +164,4 @@ def ordered_series(obs: DataFrame) -> DataFrame:
 
 
 def load_consistency(spark: SparkSession, target: str) -> DataFrame:
-    from tidewright.sinks.tables import read_table
-
     return read_table(spark, target, CONSISTENCY)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.functions.columns import with_bookkeeping
+from tidewright.functions.columns import instant, partition_key_of, with_bookkeeping
 from tidewright.operators.merge import absent_rows, first_row
 from tidewright.schemas import (
     ASSET_SCHEMAS,
@@ -135,7 +135,7 @@ def insert_observations_if_absent(
     if table_exists(spark, target):
         known = stored_observations(spark, target).where(
             F.col(MONTH).between(first.strftime("%Y%m"), last.strftime("%Y%m"))
-            & F.col("datetime").between(F.lit(first), F.lit(last))
+            & F.col("datetime").between(instant(first), instant(last))
         )
         batch = absent_rows(batch, known, KEY)
     # The batch must not change between reading the stored keys and appending to them.
@@ -156,7 +156,7 @@ def merge_stations(stored: DataFrame, incoming: DataFrame, as_of: dt.datetime) -
     A new station gets `created_at`; a changed one keeps it and gets `updated_at`. Both
     sides are combined by one grouping on the id, so neither is broadcast.
     """
-    now = F.lit(as_of.replace(tzinfo=None)).cast("timestamp_ntz")
+    now = instant(as_of)
     values = ["latitude", "longitude"]
     audit = ["created_at", "updated_at"]
     old = stored.select(
@@ -196,7 +196,7 @@ def upsert_stations(incoming: DataFrame, target: str, as_of: dt.datetime) -> Non
 def insert_stations_if_absent(incoming: DataFrame, target: str, as_of: dt.datetime) -> None:
     """Add the stations whose id is not stored; stored ones stay as they are."""
     spark = incoming.sparkSession
-    now = F.lit(as_of.replace(tzinfo=None)).cast("timestamp_ntz")
+    now = instant(as_of)
     rows = incoming.select("station_id", "latitude", "longitude").withColumns(
         {"created_at": now, "updated_at": now}
     )
@@ -241,7 +241,7 @@ def write_asset(
     else:
         _write(counted, target, "overwrite", [PARTITION_KEY], partitionOverwriteMode="dynamic")
     n = written.get["row_count"]
-    key = partition_key or as_of.strftime("%Y%m")
+    key = partition_key or partition_key_of(as_of)
     if partition_key is not None and n == 0:
         # A dynamic overwrite leaves a partition alone that gets no rows: empty it here.
         rows.drop(PARTITION_KEY).write.mode("overwrite").parquet(f"{target}/{PARTITION_KEY}={key}")

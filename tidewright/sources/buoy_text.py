@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.functions.columns import null_if_nan
+from tidewright.functions.columns import null_nan
 from tidewright.schemas import MEASURES, POSITION
 
 # Column order of each file layout (fixed values). A drift row without PTDY has 15 fields.
@@ -52,8 +52,10 @@ _FIELDS = "_fields"
 def data_lines(lines: DataFrame) -> DataFrame:
     """Lines that hold data, split at white space; header, comment and blank lines drop out."""
     text = F.trim(F.substring_index("value", "#", 1), F.lit(" \t\r"))
+    # One blank between fields: splitting at a single character needs no regular expression.
+    fields = F.split(F.regexp_replace(text, r"\s+", " "), " ")
     return lines.where((F.length(text) > 0) & ~F.rlike(text, F.lit(HEADER))).withColumn(
-        _FIELDS, F.split(text, r"\s+")
+        _FIELDS, fields
     )
 
 
@@ -83,25 +85,30 @@ def _field(name: str, layout: str | None) -> Column:
     return F.get(_FIELDS, idx)
 
 
-def _number(text: Column) -> Column:
-    """`MM` and any other word become NULL."""
-    return null_if_nan(text.try_cast("double"))
-
-
-def _timestamp(layout: str | None) -> Column:
-    """Timestamp from the date fields; an hour past 23 or a minute past 59 carries over."""
-    year, month, day = (_field(n, layout).try_cast("int") for n in ("YY", "MM", "DD"))
-    hhmm = F.lpad(_field("hhmm", layout), 4, "0")
-    hour = F.coalesce(_field("hh", layout), F.substring(hhmm, 1, 2)).try_cast("int")
-    minute = F.coalesce(_field("mm", layout), F.substring(hhmm, 3, 2)).try_cast("int")
-    midnight = F.try_make_timestamp_ntz(year, month, day, F.lit(0), F.lit(0), F.lit(0))
+def _with_dates(rows: DataFrame, layout: str | None) -> DataFrame:
+    """Add the date fields as numbers, each read once."""
+    hhmm = _field("hhmm", layout)
+    hhmm = F.when(F.length(hhmm) < 4, F.lpad(hhmm, 4, "0")).otherwise(hhmm)
+    parts = {
+        "_year": _field("YY", layout),
+        "_month": _field("MM", layout),
+        "_day": _field("DD", layout),
+        "_hour": F.coalesce(_field("hh", layout), F.substring(hhmm, 1, 2)),
+        "_minute": F.coalesce(_field("mm", layout), F.substring(hhmm, 3, 9)),
+    }
+    return rows.withColumns({c: text.try_cast("int") for c, text in parts.items()})
+
+
+def _timestamp() -> Column:
+    """Timestamp of a row; an hour past 23 or a minute past 59 carries over."""
+    zero = F.lit(0)
+    midnight = F.try_make_timestamp_ntz(F.col("_year"), F.col("_month"), F.col("_day"), zero, zero, zero)
     readable = (
-        year.between(1678, 2261)  # years a nanosecond timestamp can hold
-        & hour.between(0, 99)
-        & minute.between(0, 99)
-        & (F.length(hhmm).isNull() | (F.length(hhmm) == 4))
+        F.col("_year").between(1678, 2261)  # years a nanosecond timestamp can hold
+        & F.col("_hour").between(0, 99)
+        & F.col("_minute").between(0, 99)
     )
-    return F.when(readable, midnight + F.make_dt_interval(F.lit(0), hour, minute))
+    return F.when(readable, midnight + F.make_dt_interval(zero, F.col("_hour"), F.col("_minute")))
 
 
 def _width(layout: str | None) -> Column:
@@ -114,20 +121,35 @@ def _width(layout: str | None) -> Column:
     )
 
 
+def _parse(lines: DataFrame, layout: str | None, numbers: dict[str, str], words: dict[str, str]) -> DataFrame:
+    """Kept columns, `datetime`, and the named fields as numbers or words.
+
+    The steps are separate selections, so that each field is read and converted once. `MM`
+    and any other word is no number; a row with too many fields has no timestamp.
+    """
+    kept = [c for c in lines.columns if c != "value"]
+    rows = _with_dates(data_lines(lines), layout)
+    given = {c: F.nullif(_field(f, layout), F.lit("MM")) for c, f in {**numbers, **words}.items()}
+    fits = F.size(_FIELDS) <= _width(layout)
+    timed = rows.select(
+        *kept,
+        F.when(fits, _timestamp()).alias("datetime"),
+        *[(given[c].try_cast("double") if c in numbers else given[c]).alias(c) for c in given],
+    )
+    return null_nan(timed, list(numbers))
+
+
 def parse_layout(lines: DataFrame, layout: str) -> DataFrame:
     """All columns of one layout: `datetime`, the numbers as double, the words as string.
 
-    `lines` has a `value` column; its other columns are kept. Rows without a readable
-    timestamp have a NULL `datetime`.
+    `lines` has a `value` column; its other columns are kept. Rows that cannot be read have
+    a NULL `datetime`.
     """
-    kept = [c for c in lines.columns if c != "value"]
-    columns = {"datetime": _timestamp(layout)}
-    for name in LAYOUTS[layout]:
-        if name not in DATE_FIELDS:
-            text = F.nullif(_field(name, layout), F.lit("MM"))
-            columns[name] = text if name in TEXT_COLUMNS else _number(text)
-    rows = data_lines(lines).where(F.size(_FIELDS) <= len(LAYOUTS[layout]))
-    return rows.select(*kept, *[c.alias(n) for n, c in columns.items()])
+    fields = [f for f in LAYOUTS[layout] if f not in DATE_FIELDS]
+    words = {f: f for f in fields if f in TEXT_COLUMNS}
+    return _parse(lines, layout, {f: f for f in fields if f not in words}, words).select(
+        *[c for c in lines.columns if c != "value"], "datetime", *fields
+    )
 
 
 def parse_observations(lines: DataFrame, layout: str | None = None) -> DataFrame:
@@ -136,21 +158,11 @@ def parse_observations(lines: DataFrame, layout: str | None = None) -> DataFrame
     `lines` has `value`, and `src` where no single layout is given. A measure that the
     layout lacks is NULL. Latitude and longitude count only as a pair.
     """
-    kept = [c for c in lines.columns if c != "value"]
-    rows = data_lines(lines)
-    when = _timestamp(layout)
-    fits = F.size(_FIELDS) <= _width(layout)
-    numbers = {c: _number(_field(CANONICAL_FIELD[c], layout)) for c in POSITION + MEASURES}
-    parsed = rows.select(
-        *kept, when.alias("datetime"), fits.alias("_fits"), *[c.alias(n) for n, c in numbers.items()]
-    )
+    names = POSITION + MEASURES
+    parsed = _parse(lines, layout, {c: CANONICAL_FIELD[c] for c in names}, {})
     placed = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
-    return parsed.select(
-        *kept,
-        F.when(F.col("_fits"), F.col("datetime")).alias("datetime"),
-        *[F.when(placed, F.col(c)).alias(c) for c in POSITION],
-        *MEASURES,
-        (F.col("_fits") & F.col("datetime").isNotNull()).alias("valid"),
+    return parsed.withColumns({c: F.when(placed, F.col(c)) for c in POSITION}).withColumn(
+        "valid", F.col("datetime").isNotNull()
     )
 
 

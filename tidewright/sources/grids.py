@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.functions.columns import cycle_floor, null_if_missing
+from tidewright.functions.columns import cycle_floor, instant, null_if_missing
 from tidewright.schemas import GRID_VALUE
 
 # File-name templates of the two model archives (fixed values).
@@ -43,12 +43,8 @@ def run_manifest(
     spark: SparkSession, start: dt.datetime, end: dt.datetime, interval_hours: int = 6
 ) -> DataFrame:
     """One row per model run between two instants, both ends included."""
-    first, last = (F.lit(t).cast("timestamp_ntz") for t in (start, end))
-    return spark.range(1).select(
-        F.explode(F.sequence(first, last, F.make_dt_interval(F.lit(0), F.lit(interval_hours)))).alias(
-            "run_ts"
-        )
-    )
+    bounds = spark.range(1).select(instant(start).alias("start"), instant(end).alias("end"))
+    return runs_between(bounds, interval_hours).select("run_ts")
 
 
 def runs_between(bounds: DataFrame, interval_hours: int = 6) -> DataFrame:
