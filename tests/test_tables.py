@@ -223,6 +223,19 @@ def test_consistency_and_cluster_jobs(spark, tmp_path):
     assert histogram.agg(F.sum("n")).first()[0] == 90
 
 
+def test_station_refresh_and_coverage(spark, tmp_path):
+    first, second, target = tmp_path / "1.xml", tmp_path / "2.xml", str(tmp_path / "st")
+    first.write_text('<stations><station id="a" lat="1" lon="2" met="y"/><station id="b" lat="3" lon="4" met="n"/></stations>')
+    second.write_text('<stations><station id="a" lat="1.5" lon="2" met="y"/><station id="c" lat="5" lon="6"/></stations>')
+    jobs.station_refresh(spark, str(first), target, DAY1)
+    jobs.station_refresh(spark, str(second), target, DAY2)
+    assert rows(tables.read_table(spark, target, STATION_TABLE)) == [("a", 1.5, 2.0, DAY1, DAY2)]
+    assert rows(jobs.coverage_job(spark, str(first), target)) == [
+        ("a", 1.5, 2.0, "with_met"),
+        ("b", 3.0, 4.0, "without_met"),
+    ]
+
+
 @pytest.mark.parametrize("name", ["a/b", "x"])
 def test_targets(name):
     assert tables.is_path(name) == ("/" in name)

@@ -35,9 +35,10 @@ def daily_buoy_asset(
 ) -> dict[str, object]:
     """Ingest the landed files of known stations, then store and report the last day."""
     known = tables.read_table(spark, stations, STATION_TABLE)
-    parsed = buoy_text.scan_buoy_files(spark, landing).join(
+    scanned = buoy_text.scan_buoy_files(spark, landing).join(
         enrich.distinct_stations(known), "station_id", "left_semi"
     )
+    parsed = materialize(scanned, "parsed")  # read by the merge and by the report
     inserted = tables.insert_observations_if_absent(observations_from(parsed, known), observations)
     recent = queries.last_day(tables.stored_observations(spark, observations), as_of).select(
         *OBSERVATION.fieldNames()
