@@ -17,6 +17,7 @@ CELL_POINTS = 64
 FAN_BITS = 2  # a cell has 4 x 4 children
 MAX_DEPTH = 20
 PAIRING_SALTS = 32
+PLAN_LEVELS = 6
 
 
 def _squared(lat: Column, lon: Column) -> Column:
@@ -124,12 +125,13 @@ def nearest_points(
     if depth:
         root = F.lit(0).cast("bigint")
         front = front.withColumns({"cx": root, "cy": root})
-        levels = [leaves]
-        for _ in range(depth - 1):
-            up = {"cx": F.shiftright("cx", FAN_BITS), "cy": F.shiftright("cy", FAN_BITS)}
-            levels.append(_cells(levels[-1].withColumns(up), F.col("n"), "lat0", "lat1", "lon0", "lon1"))
         per_spot = Window.partitionBy("_g", "_s")
-        for cells in reversed(levels):
+        for level in range(1, depth + 1):
+            up = FAN_BITS * (depth - level)
+            cells = leaves if not up else _cells(
+                leaves.withColumns({"cx": F.shiftright("cx", up), "cy": F.shiftright("cy", up)}),
+                F.col("n"), "lat0", "lat1", "lon0", "lon1",
+            )
             children = cells.select(
                 "_g",
                 F.col("cx").alias("_cx"),
@@ -147,6 +149,8 @@ def nearest_points(
                 .where(F.col("near") <= F.col("best"))
                 .drop("near", "far", "best")
             )
+            if level % PLAN_LEVELS == 0:
+                front = materialize(front, "front")  # a deep search in plans of bounded size
         candidates = front.join(_with_cell(placed, half, depth), ["_g", "cx", "cy"])
     else:
         candidates = front.join(placed, "_g")
@@ -170,21 +174,27 @@ def nearest_grid_value(
 
     A missing value at the nearest point stays NULL; the next point is not taken. By
     default every message has a grid of its own. Where messages share grids, name the
-    columns that tell the grids apart (none if there is just one): the search then runs
-    once per grid and the values are looked up by (grid, index).
+    columns that tell the grids apart, out of the message columns (none if there is just
+    one grid): the search then runs once per grid, over the points of one of its messages,
+    and the values are looked up by (grid, index).
     """
     message = list(message)
     if geometry is None:
-        found = nearest_points(
-            grid.select(*message, "grid_idx", "lat", "lon", "value"), spots, message, cell_points
-        )
+        points = grid.select(*message, "grid_idx", "lat", "lon", "value")
+        found = nearest_points(points, spots, message, cell_points)
     else:
-        # The literal stands for "one grid" where no column tells grids apart.
-        keyed = grid.withColumn("_one", F.lit(0))
-        shared = ["_one", *geometry]
-        points = keyed.select(*shared, "grid_idx", "lat", "lon").distinct()
-        places = nearest_points(points, spots, shared, cell_points)
-        found = keyed.join(places, [*shared, "grid_idx"]).select(
+        # The literal stands for "one grid" where no column tells grids apart. Structs as
+        # join keys match on NULL fields as well.
+        keyed = grid.withColumns(
+            {"_grid": F.struct(F.lit(0), *geometry), "_message": F.struct(*message)}
+        )
+        fields = keyed.select("_grid", "_message").distinct()
+        one_each = fields.groupBy("_grid").agg(F.min("_message").alias("_message"))
+        points = keyed.join(one_each.select("_message"), "_message", "left_semi").select(
+            "_grid", "grid_idx", "lat", "lon"
+        )
+        places = nearest_points(points, spots, ["_grid"], cell_points)
+        found = keyed.join(places, ["_grid", "grid_idx"]).select(
             *message, "spot", "dist2", "grid_idx", "value", "copies"
         )
     once_per_listing = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))

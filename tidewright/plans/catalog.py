@@ -339,15 +339,14 @@ def nearest_grid_value(spark, sf_dir):
 
 @query
 def nearest_shared_grid(spark, sf_dir):
-    """All parts as one grid that each order priority has a field on."""
-    grid = grids.grid_values(adapters.grid(spark, sf_dir)).drop("units")
-    found = nearest.nearest_grid_value(
-        grid.withColumn("param", F.lit("all")),
-        adapters.spots(spark, sf_dir),
-        message=["param", "analysis_ts"],
-        geometry=[],
+    """Two fields on one grid of all parts: searched once, values looked up per field."""
+    points = grids.grid_values(adapters.grid(spark, sf_dir)).select("grid_idx", "lat", "lon", "value")
+    grid = points.withColumn("parts", F.explode(F.array(F.lit(1), F.lit(2)))).withColumns(
+        {"param": F.when(F.col("parts") == 1, "full").otherwise("half"), "value": F.expr("value / parts")}
+    )
+    return nearest.nearest_grid_value(
+        grid, adapters.spots(spark, sf_dir), message=["param"], geometry=[]
     )
-    return found.drop("analysis_ts")
 
 
 @query

@@ -308,12 +308,13 @@ def all_oracles() -> dict[str, str]:
         "last_day": f"""with {EV} select event_id, station_id, datetime, {", ".join(M)} from ev
             where datetime >= timestamp '2024-01-29 12:00:00'""",
         "nearest_grid_value": f"with {NEAREST} select * from nearest",
-        "nearest_shared_grid": f"""with {GRID}, {SPOT} select 'all' as param, name, country,
+        "nearest_shared_grid": f"""with {GRID}, {SPOT} select param, name, country,
             spot_lat, spot_lng, arg_min(grid_idx, row(d2, grid_idx)) as grid_idx, min(d2) as dist2,
             arg_min_null(value, row(d2, grid_idx)) as value
-            from (select grid_idx, value, name, country, spot.lat as spot_lat, spot.lng as spot_lng,
+            from (select f.param, grid_idx, value / parts as value, name, country,
+              spot.lat as spot_lat, spot.lng as spot_lng,
               (grid.lat - spot.lat) * (grid.lat - spot.lat) + (grid.lon - spot.lng) * (grid.lon - spot.lng) as d2
-              from grid, spot) pairs group by 1, 2, 3, 4, 5""",
+              from grid, spot, (values ('full', 1), ('half', 2)) f(param, parts)) pairs group by 1, 2, 3, 4, 5""",
         "swell_rows": _SWELL_ROWS,
         "model_samples": _SWELL_ROWS,
         "swell_wide": f"""with {NEAREST}
