@@ -42,6 +42,16 @@ def test_monthly_std_agrees_with_pandas(spark):
     assert set(got["latitude"]) == {1.0}
 
 
+def test_nan_counts_as_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame(
+        [("a", ts(f"2024-01-0{d}"), 1.0, 2.0, h, 1.0, 1.0, 1.0) for d, h in ((1, 1.0), (2, nan), (3, 3.0))], OBS
+    )
+    assert consistency.monthly_std_dev(df).first()["wvht_monthly_std"] == pytest.approx(2**0.5)
+    scores = spark.createDataFrame([(v,) for v in (1.0, 2.0, 3.0, nan)], "score double")
+    assert [r["label"] for r in quantiles.with_tertiles(scores, "score").orderBy("score").collect()][-1] is None
+
+
 def test_single_observation_has_no_spread(spark):
     df = spark.createDataFrame([("a", ts("2024-01-01"), 1.0, 2.0, 1.0, 1.0, 1.0, 1.0)], OBS)
     assert consistency.monthly_std_dev(df).first()[2:] == (None,) * 4

@@ -10,6 +10,7 @@ from tidewright.operators.merge import first_non_null
 from tidewright.plans import jobs
 from tidewright.schemas import OBSERVATION, STATION_TABLE
 from tidewright.sinks import tables
+from tidewright.sources import buoy_text
 from tidewright.sources.buoy_text import ORDER, scan_buoy_files
 from tidewright.streaming import ingest
 
@@ -188,6 +189,21 @@ def test_stream_in_many_batches_keeps_every_row(spark, tmp_path):
     assert tables.read_observations(spark, target).count() == 30
 
 
+def test_a_repeated_batch_replaces_itself(spark, tmp_path):
+    (tmp_path / "1.txt").write_text(txt((1, 0, 1.0, "MM"), (1, 1, 2.0, 8)))
+    log = str(tmp_path / "log")
+    lines = stream_lines(spark, tmp_path)
+    for batch_id in (0, 0, 1, 0):
+        ingest.store_batch(lines, batch_id, log)
+    assert ingest.read_log(spark, log).count() == 2
+    assert ingest.merged_observations(spark, log).count() == 2
+
+
+def stream_lines(spark, path):
+    """The columns of the stream for files that are already there."""
+    return buoy_text._lines(spark.read, str(path))
+
+
 # --- jobs -----------------------------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewright.functions.columns import month_start
+from tidewright.functions.columns import month_start, null_if_nan
 from tidewright.operators.moments import moments
 from tidewright.operators.quantiles import UNKNOWN_LABEL, exact_quantiles, tertile_label
 from tidewright.schemas import CONSISTENCY, MEASURES, POSITION, SHORT_NAMES, STD_COLUMNS
@@ -26,15 +26,18 @@ def _first_in_time(c: str) -> Column:
     return F.min_by(c, seen).alias(c)
 
 
+def _spreads() -> list[Column]:
+    return [
+        F.stddev_samp(null_if_nan(m)).alias(f"{SHORT_NAMES[m]}_monthly_std") for m in MEASURES
+    ]
+
+
 def monthly_std_dev(obs: DataFrame) -> DataFrame:
     """Sample standard deviation of the measures per station and month.
 
     A month with one value has no deviation (NULL).
     """
-    spreads = [
-        F.stddev_samp(m).alias(f"{SHORT_NAMES[m]}_monthly_std") for m in MEASURES
-    ]
-    return obs.groupBy("station_id", month_start("datetime").alias("month")).agg(*spreads)
+    return obs.groupBy("station_id", month_start("datetime").alias("month")).agg(*_spreads())
 
 
 def with_locations(monthly: DataFrame, locations: DataFrame) -> DataFrame:
@@ -47,11 +50,8 @@ def monthly_table(obs: DataFrame) -> DataFrame:
     The location is taken per station and month in the same aggregate; the first month that
     has one gives the station's location. The window sees one row per month of a station.
     """
-    spreads = [
-        F.stddev_samp(m).alias(f"{SHORT_NAMES[m]}_monthly_std") for m in MEASURES
-    ]
     months = obs.groupBy("station_id", month_start("datetime").alias("month")).agg(
-        *spreads, *[_first_in_time(c) for c in POSITION]
+        *_spreads(), *[_first_in_time(c) for c in POSITION]
     )
     station = (
         Window.partitionBy("station_id")

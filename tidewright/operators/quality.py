@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewright.functions.columns import null_if_nan
 from tidewright.schemas import OBSERVATION
 
 # Measures whose null rate makes up the missing percentage (fixed values).
@@ -20,7 +21,7 @@ def quality_metrics(df: DataFrame) -> DataFrame:
     Stations are counted over a per-station pre-aggregate, so the full rows are read once
     and only one row per station and task is shuffled.
     """
-    nulls = [F.count_if(F.col(m).isNull()).alias(f"null_{m}") for m in RATED_MEASURES]
+    nulls = [F.count_if(null_if_nan(m).isNull()).alias(f"null_{m}") for m in RATED_MEASURES]
     per_station = df.groupBy("station_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("datetime").alias("first"),

@@ -10,6 +10,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.functions.columns import null_if_nan
+
 # Labels of the three bins, lowest scores first (fixed values).
 TERTILE_LABELS = ["High Consistency", "Medium Consistency", "Low Consistency"]
 UNKNOWN_LABEL = "Unknown, not enough data"
@@ -42,7 +44,7 @@ def exact_quantiles(
     `percentile_approx` passes (bounded state, combined on the map side) and checked by
     counting, until few enough distinct values are left to read off the rank exactly.
     """
-    x = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
+    x = df.select(null_if_nan(F.col(column).cast("double")).alias("x")).where(F.col("x").isNotNull())
     n, low, high = x.agg(F.count("x"), F.min("x"), F.max("x")).first()
     if n == 0:
         return Quantiles(0, None, None, [])
@@ -109,7 +111,7 @@ def tertile_label(score: Column | str, edges: Sequence[float], spread: bool) ->
 
     NULL where all scores are equal (`spread` is false).
     """
-    score = F.col(score) if isinstance(score, str) else score
+    score = null_if_nan(score)
     if not spread:
         return F.lit(None).cast("string")
     return (

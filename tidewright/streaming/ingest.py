@@ -60,26 +60,26 @@ def news(batch: DataFrame, log: DataFrame) -> DataFrame:
     )
 
 
+def store_batch(lines: DataFrame, batch_id: int, log: str) -> None:
+    """Write one micro-batch to its folder of the log; the same batch again replaces itself."""
+    spark = lines.sparkSession
+    rows = materialize(batch_observations(lines), "batch")
+    if table_exists(spark, log):
+        months = [r[0] for r in by_month(rows).select(MONTH).distinct().collect()]
+        earlier = read_log(spark, log).where((F.col(BATCH) < batch_id) & F.col(MONTH).isin(months))
+        rows = news(rows, earlier)
+    by_month(rows).hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(
+        f"{log}/{BATCH}={batch_id}"
+    )
+
+
 def ingest_landing(
     spark: SparkSession, landing: str, log: str, checkpoint: str, max_files: int | None = None
 ) -> StreamingQuery:
     """Read all files that landed since the last run into the log, then stop."""
-
-    def write_batch(lines: DataFrame, batch_id: int) -> None:
-        rows = materialize(batch_observations(lines), "batch")
-        if table_exists(spark, log):
-            months = [r[0] for r in by_month(rows).select(MONTH).distinct().collect()]
-            earlier = read_log(spark, log).where(
-                (F.col(BATCH) < batch_id) & F.col(MONTH).isin(months)
-            )
-            rows = news(rows, earlier)
-        by_month(rows).hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(
-            f"{log}/{BATCH}={batch_id}"
-        )
-
     return (
         stream_buoy_lines(spark, landing, max_files)
-        .writeStream.foreachBatch(write_batch)
+        .writeStream.foreachBatch(lambda lines, batch_id: store_batch(lines, batch_id, log))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
