@@ -2,7 +2,28 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_chat_formatting": r"""
+        with t as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+            union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        ), e as (
+            select *, replace(replace(replace(text, '\', '\b'), '</turn>', '\t'), '### ', '\h') as body,
+                   replace(replace(replace(replace(role, '\', '\b'), '</turn>', '\t'), '### ', '\h'), ':', '\c') as head
+            from t
+        ), g as (
+            select conv_id, count(*) as n_turns,
+                   string_agg(role || chr(10) || text || chr(10), '' order by turn nulls last, role, text) as turns,
+                   coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn nulls last, role, text), '') as loss,
+                   sum(length(head) + length(body) + 14) as formatted_chars
+            from e group by conv_id
+        )
+        select conv_id, n_turns, sha256(turns) as turns_sha256, length(loss)::bigint as loss_chars,
+               sha256(loss) as loss_sha256, formatted_chars::bigint as formatted_chars
+        from g
+    """,
+}
 
 
 def llm_oracles() -> dict[str, str]:
