@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import bpe, chat, mixing, quality, secrets
+from tidewright.llm import bpe, chat, html_text, mixing, quality, secrets
 from tidewright.llm.common import sha256_hex, table, text_or_empty
 
 #: The conversation that tries to imitate the template, in the layout of a message list.
@@ -28,6 +28,11 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document by weak supervision."""
     return quality.judge_quality(table(spark, sf_dir, "documents")).select(
