@@ -3,6 +3,25 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {
+    "op2_substring_dedup": r"""
+        with w as (
+            select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') as words
+            from documents
+        ), s as (
+            select doc_id, i, array_to_string(words[i : i + 12], ' ') as seq
+            from w, unnest(range(1, len(words) - 11)) as u(i)
+        ), f as (
+            select seq, min(doc_id) as first_id from s group by seq having count(distinct doc_id) > 1
+        ), c as (
+            select distinct doc_id, i + k as p
+            from s join f using (seq), unnest(range(13)) as o(k) where doc_id > first_id
+        ), g as (
+            select doc_id, list(p) as gone from c group by doc_id
+        )
+        select doc_id, len(words)::bigint as n_words, coalesce(len(gone), 0)::bigint as n_removed,
+               sha256(array_to_string(list_filter(words, lambda x, i: not list_contains(coalesce(gone, []), i)), ' ')) as kept_sha256
+        from w left join g using (doc_id)
+    """,
     "op9_chat_formatting": r"""
         with t as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations

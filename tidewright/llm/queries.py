@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import bpe, chat, html_text, mixing, quality, secrets
+from tidewright.llm import bpe, chat, html_text, mixing, quality, secrets, substring_dedup
 from tidewright.llm.common import sha256_hex, table, text_or_empty
 
 #: The conversation that tries to imitate the template, in the layout of a message list.
@@ -28,6 +28,13 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document earlier documents have, and a digest of the others."""
+    cut = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select("doc_id", "n_words", n_removed.alias("n_removed"), sha256_hex(F.col("kept")).alias("kept_sha256"))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html_text.extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
