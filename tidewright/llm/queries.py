@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import ann, bpe, chat, html_text, mixing, quality, secrets, substring_dedup
+from tidewright.llm import ann, bpe, chat, html_text, mixing, pii, quality, secrets, substring_dedup
 from tidewright.llm.common import sha256_hex, table, text_or_empty
 
 #: The conversation that tries to imitate the template, in the layout of a message list.
@@ -35,6 +35,18 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", n_removed.alias("n_removed"), sha256_hex(F.col("kept")).alias("kept_sha256"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and digest, and all spans, of every document."""
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in pii.KINDS),
+        sha256_hex(pii.span_text(F.col("base"))).alias("base_sha256"),
+        pii.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every 20th vector."""
     return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
