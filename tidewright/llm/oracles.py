@@ -22,6 +22,26 @@ ORACLES: dict[str, str] = {
                sha256(array_to_string(list_filter(words, lambda x, i: not list_contains(coalesce(gone, []), i)), ' ')) as kept_sha256
         from w left join g using (doc_id)
     """,
+    "op4_jaccard_join": r"""
+        with recursive w as (
+            select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') as words
+            from documents
+        ), s as (
+            select distinct doc_id, array_to_string(words[i : i + 4], ' ') as shingle
+            from w, unnest(range(1, greatest(len(words) - 3, 2))) as u(i) where len(words) > 0
+        ), n as (
+            select doc_id, count(*) as n from s group by doc_id
+        ), p as (
+            select a.doc_id as a, b.doc_id as b, count(*) as c
+            from s a join s b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by all
+        ), l as (
+            select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where c / (x.n + y.n - c) >= 0.8
+        ), r(a, b) as (
+            select doc_id, doc_id from documents union select r.a, l.b from r join l on l.a = r.b
+        )
+        select a as doc_id, min(b) as class_id, (select count(*) from l where l.a = r.a) as n_links
+        from r group by r.a
+    """,
     "op9_chat_formatting": r"""
         with t as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import ann, bpe, chat, html_text, mixing, pii, quality, secrets, substring_dedup
+from tidewright.llm import ann, bpe, chat, html_text, jaccard_join, mixing, pii, quality, secrets, substring_dedup
 from tidewright.llm.common import sha256_hex, table, text_or_empty
 
 #: The conversation that tries to imitate the template, in the layout of a message list.
@@ -47,6 +47,11 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document and the number of documents it is linked to."""
+    return jaccard_join.similarity_classes(table(spark, sf_dir, "documents"))
+
+
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every 20th vector."""
     return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
