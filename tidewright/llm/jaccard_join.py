@@ -15,17 +15,17 @@ documents is ever a row: tasks return counts of links and a spanning forest.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import staged, text_or_empty
 from tidewright.llm.components import connected_components
-from tidewright.llm.windows import mixed, window_hashes, word_slices, words_of
+from tidewright.llm.windows import mixed, window_hashes, word_slices
 
 SHINGLE, SIMILARITY = 5, 0.8
 PLACES = 64
@@ -45,13 +45,12 @@ _TERMS = _RNG.integers(0, 1 << 63, PLACES, dtype=np.uint64)
 _PLACE_MARKS = mixed(np.arange(1, PLACES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def shingle_sets(texts: list[str], width: int = SHINGLE) -> Iterator[np.ndarray]:
+def shingle_sets(texts: Iterable[str], width: int = SHINGLE) -> Iterator[np.ndarray]:
     """The sorted shingle hashes of each text. A text of fewer words is one shingle; one without words, none."""
-    split = [words_of(t) for t in texts]
-    for a, b in word_slices(split, SLICE_WORDS):
-        hashes, owner = window_hashes(split[a:b], width)
-        bounds = np.searchsorted(owner, np.arange(b - a + 1))
-        for i, own in enumerate(split[a:b]):
+    for _, split in word_slices(texts, SLICE_WORDS):
+        hashes, owner = window_hashes(split, width)
+        bounds = np.searchsorted(owner, np.arange(len(split) + 1))
+        for i, own in enumerate(split):
             if len(own) >= width:
                 yield np.unique(hashes[bounds[i] : bounds[i + 1]])
             else:
@@ -68,6 +67,11 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _entry(shingles: np.ndarray) -> int | None:
+    """The 64-bit mark of a set; None for the empty one."""
+    return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63) if len(shingles) else None
+
+
 def runs_needed(recall: float = RECALL, depth: int = DEPTH) -> int:
     """Runs after which a pair at the threshold has met with probability `recall`. In one run it meets at
     a node when the places picked are shared: a branching process with one shared child on average."""
@@ -238,12 +242,12 @@ def similarity_classes(
                 full = [s for s in held if len(s)]
                 made = iter(signatures(full)) if full else iter(())
                 for s in held:
-                    entries.append(xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None)
+                    entries.append(_entry(s))
                     marks.append(next(made).tobytes() if len(s) else None)
                 held.clear()
 
             words = 0
-            for s in shingle_sets(batch.column(1).to_pylist()):
+            for s in shingle_sets(t.as_py() for t in batch.column(1)):
                 held.append(s)
                 words += len(s)
                 if words >= SLICE_WORDS:
@@ -331,16 +335,16 @@ def _exact_classes(rows: DataFrame, entries: DataFrame, loose: DataFrame, simila
     texts = rows.join(members, F.col("doc") == F.col("first")).select("loose", "sets", "entry", "copies", "text")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["loose", "sets", "entry", "copies", "shingles"]
         for batch in batches:
-            sets = list(shingle_sets(batch.column(4).to_pylist()))
-            entry = batch.column(2).to_pylist()
-            # rows that share an id may have other texts
-            own = pa.array([bool(len(s)) and xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) == e for s, e in zip(sets, entry)], pa.bool_())
-            made = pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(4)), pa.array([s.tobytes() for s in sets], pa.binary())],
-                names=["loose", "sets", "entry", "copies", "shingles"],
-            )
-            yield made.filter(own)
+            for a in range(0, batch.num_rows, 1000):
+                part = batch.slice(a, 1000)
+                sets = list(shingle_sets(t.as_py() for t in part.column(4)))
+                # rows that share an id may have other texts
+                own = [_entry(s) == e.as_py() for s, e in zip(sets, part.column(2))]
+                shingles = pa.array([s.tobytes() for s in sets], pa.binary())
+                made = pa.RecordBatch.from_arrays([*(part.column(i) for i in range(4)), shingles], names=names)
+                yield made.filter(pa.array(own, pa.bool_()))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, 3):
@@ -377,3 +381,16 @@ def _exact_classes(rows: DataFrame, entries: DataFrame, loose: DataFrame, simila
     made = staged(there.mapInArrow(compare, "entry long, links long, to long"), "links")
     linked = connected_components(made.where(F.col("to").isNotNull()).select(F.col("entry").alias("a"), F.col("to").alias("b")))
     return linked, made.where(F.col("to").isNull()).select("entry", "links")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of `docs` without near duplicates: of each class the document with the smallest id stays.
+
+    Of rows that share an id the one with the smallest text stays. Rows without id all stay.
+    """
+    classes = similarity_classes(docs, id_col, text_col, **options)
+    stay = classes.where(F.col(id_col) == F.col("class_id")).select(F.col(id_col).alias("_stay")).distinct()
+    kept = docs.where(F.col(id_col).isNotNull()).join(stay, F.col(id_col).cast("long") == F.col("_stay"), "left_semi")
+    first = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))
+    kept = kept.withColumn("_first", first).where("_first = 1").drop("_first")
+    return kept.unionByName(docs.where(F.col(id_col).isNull()))

@@ -24,7 +24,7 @@ from tidewright.llm.windows import mixed, pack, unpack, window_hashes, word_slic
 
 WIDTH = 13
 #: Words that a task compares among themselves at a time, and windows that meet in a group on average.
-SLICE_WORDS, GROUP_WINDOWS = 2_000_000, 1 << 18
+SLICE_WORDS, GROUP_WINDOWS = 1_000_000, 1 << 18
 #: Characters per word, for the number of groups only.
 CHARS_PER_WORD = 6
 
@@ -80,10 +80,9 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, width: int = W
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            texts = [words_of(t) for t in batch.column(1).to_pylist()]
-            for a, b in word_slices(texts, SLICE_WORDS):
-                hashes, owner = window_hashes(texts[a:b], width)
-                h, d, later = _unique(hashes, ids[a:b][owner])
+            for start, texts in word_slices((t.as_py() for t in batch.column(1)), SLICE_WORDS):
+                hashes, owner = window_hashes(texts, width)
+                h, d, later = _unique(hashes, ids[start + owner])
                 yield _by_bucket(h[~later], d[~later], bucket(h[~later]), settled=False)
                 h, d = h[later], d[later]
                 place = bucket(mixed(d.view(np.uint64)))

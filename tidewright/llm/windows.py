@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import xxhash
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Words whose hash a worker remembers; it starts afresh beyond, which only costs time.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 18
 
 
 class WordHashes(dict):
@@ -56,16 +56,21 @@ def window_hashes(texts: list[list[bytes]], width: int) -> tuple[np.ndarray, np.
     return mixed(rolled[inside]), owner[: total - width + 1][inside]
 
 
-def word_slices(texts: list[list[bytes]], most: int) -> Iterator[tuple[int, int]]:
-    """Runs of texts with about `most` words together; one longer text makes a run of its own."""
-    start = total = 0
+def word_slices(texts: Iterable[str], most: int) -> Iterator[tuple[int, list[list[bytes]]]]:
+    """Runs of texts, split into words, with about `most` words together, and where each run starts.
+
+    Only one run is held in words at a time; one longer text makes a run of its own.
+    """
+    start, total, run = 0, 0, []
     for i, text in enumerate(texts):
-        if total and total + len(text) > most:
-            yield start, i
-            start, total = i, 0
-        total += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+        own = words_of(text)
+        if total and total + len(own) > most:
+            yield start, run
+            start, total, run = i, 0, []
+        run.append(own)
+        total += len(own)
+    if run:
+        yield start, run
 
 
 def pack(values: np.ndarray) -> bytes:
