@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewright.llm import quality
+from tidewright.llm import bpe, jaccard_join, mixing, pii, quality
 from tidewright.llm.common import staged, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,8 +22,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, by the n-gram Jaccard join."""
+    return jaccard_join.drop_near_duplicates(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their personal data masked."""
+    return pii.mask_personal_data(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents, parts and repeats of them, so that sources have their target weights."""
+    return mixing.mix_documents(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with digests of the ids and of the text they decode to."""
+    return bpe.encode_documents(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("source_mix", source_mix),
+    ("token_ids", token_ids),
 ]
 
 #: SQL cannot express the first stage (expectation-maximisation); tests compare with plain Python.

@@ -205,7 +205,7 @@ def base_failed() -> Column:
 
 
 def judge_quality(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.9
 ) -> DataFrame:
     """Measures, votes, `posterior` and `kept` of every row of `docs`.
 
@@ -223,16 +223,16 @@ def judge_quality(
     )
 
 
-def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = 0.9) -> DataFrame:
     """The rows of `docs`, with all their columns, whose text is kept.
 
-    The votes depend on the text alone, so the model is fitted in a first pass and the verdict is a
-    column expression in a second; no join is needed and repeated rows or null ids are no matter.
+    The rows are written down with their votes before the model is fitted, so that the verdict is a
+    look at the votes; no join is needed, and repeated rows or null ids are no matter.
     """
     names = docs.columns
     whole = docs.select(F.struct(*names).alias("row"), F.col(text_col).alias("text"))
     votes = with_votes(text_measures(whole, "row", "text"))
-    slim = staged(votes.select("n_words", *(f"vote_{r.name}" for r in RULES)), "votes")
-    model = fit_label_model(slim)
+    votes = staged(votes.select("row", "n_words", "n_repeat_words", *(f"vote_{r.name}" for r in RULES)), "votes")
+    model = fit_label_model(votes)
     kept = votes.where(~base_failed() & (model.posterior() >= threshold))
     return kept.select(*(F.col("row")[c].alias(c) for c in names))
