@@ -28,15 +28,16 @@ K = 20
 #: Vectors the tree is fitted on at most, and bytes of them.
 SAMPLE, SAMPLE_BYTES = 65_536, 64 << 20
 #: Children of a node, sample vectors of a leaf, rounds of k-means per node.
-BRANCHES, LEAF, ROUNDS = 16, 32, 8
+BRANCHES, LEAF, ROUNDS = 16, 256, 8
 #: Wanted share of true neighbours, and queries it is measured on.
-RECALL, CALIBRATION = 0.97, 256
-#: Entries of the index, and queries, that meet in one group at most on average.
-ENTRIES, QUERIES = 8192, 4096
+RECALL, CALIBRATION = 0.94, 512
+#: Entries of the index that make a part of their own, and queries that meet one part at most on average.
+ENTRIES, QUERIES = 8192, 1024
 #: Rows with the same vector that one group numbers on average.
 SALT_ROWS = 1 << 16
 
 FOUND = pa.schema([("entry", pa.int64()), ("vec_id", pa.list_(pa.int64())), ("score", pa.list_(pa.float64()))])
+WALK = pa.schema([("part", pa.int32()), ("entry", pa.int64()), ("leaves", pa.binary()), ("vector", pa.list_(pa.float64()))])
 
 
 @dataclass
@@ -163,20 +164,41 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.array(column.to_pylist(), dtype=np.float64).reshape(len(column), -1)
 
 
-def best(query: np.ndarray, entries: np.ndarray, ids: list[list[int]], k: int) -> list[tuple[list[int], list[float]]]:
-    """Per query the ids and scores of its k + 1 nearest rows, ties to smaller ids."""
-    scores = query @ entries.T
-    out = []
-    for row in scores:
-        if len(row) > k + 1:
-            row_ids = np.flatnonzero(row >= np.partition(row, len(row) - k - 1)[len(row) - k - 1])
-        else:
-            row_ids = np.arange(len(row))
-        found = sorted((-float(row[i]), v) for i in row_ids for v in ids[i])[: k + 1]
-        out.append(([v for _, v in found], [-s for s, _ in found]))
+def part_of_leaves(sizes: dict[int, int], leaves: int, entries: int = ENTRIES) -> list[tuple[int, int]]:
+    """(first part, number of parts) of every leaf: leaves next to each other share a part until it is
+    full, a leaf that is larger than a part gets several of its own."""
+    out, part, filled = [], 0, 0
+    for leaf in range(leaves):
+        size = sizes.get(leaf, 0)
+        if filled and filled + size > entries:
+            part, filled = part + 1, 0
+        count = max(1, -(-size // entries))
+        out.append((part, count))
+        filled += size
+        if count > 1:
+            part, filled = part + count, 0
     return out
 
 
+def best(query: np.ndarray, leaves: list[np.ndarray], entries: np.ndarray, leaf: np.ndarray, ids: list[list[int]], k: int) -> Iterator[tuple[list[int], list[float]]]:
+    """Per query the ids and scores of its k + 1 nearest rows in its leaves, ties to smaller ids."""
+    order = np.argsort(leaf, kind="stable")
+    names, starts = np.unique(leaf[order], return_index=True)
+    ends = np.append(starts[1:], len(order))
+    for low in range(0, len(query), 256):
+        own = query[low : low + 256]
+        scores = np.full((len(own), len(entries)), -np.inf)
+        for name, a, b in zip(names, starts, ends):
+            asks = [i for i, seen in enumerate(leaves[low : low + 256]) if (s := np.searchsorted(seen, name)) < len(seen) and seen[s] == name]
+            rows = order[a:b]
+            scores[np.ix_(asks, rows)] = own[asks] @ entries[rows].T
+        for row in scores:
+            least = np.partition(row, len(row) - k - 1)[len(row) - k - 1] if len(row) > k + 1 else -np.inf
+            near = np.flatnonzero((row >= least) & (row > -np.inf))
+            found = sorted((-float(row[i]), v) for i in near for v in ids[i])[: k + 1]
+            yield [v for _, v in found], [-s for s, _ in found]
+
+
 def nearest_neighbours(
     vectors: DataFrame,
     is_query: Column,
@@ -211,41 +233,50 @@ def nearest_neighbours(
 
     def filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            leaf = pa.array(tree.file(_matrix(batch.column(2))), pa.int64())
+            leaf = pa.array(tree.file(_matrix(batch.column(2))), pa.int32())
             yield pa.RecordBatch.from_arrays([leaf, *batch.columns], names=["leaf", *batch.schema.names])
 
+    index = staged(entries.mapInArrow(filed, "leaf int, entry long, ids array<long>, vector array<double>"), "index")
+    sizes = {r["leaf"]: r["count"] for r in index.groupBy("leaf").count().collect()}  # a row per leaf of the bounded tree
+    parts = part_of_leaves(sizes, tree.leaves)
+
     def visited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            leaves = [tree.visit(q, visits) for q in _matrix(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([pa.array(leaves, pa.list_(pa.int64())), *batch.columns], names=["leaves", *batch.schema.names])
+            for entry, vector in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                by_part: dict[int, list[int]] = {}
+                for leaf in tree.visit(np.array(vector), visits):
+                    first, count = parts[leaf]
+                    for part in range(first, first + count):
+                        by_part.setdefault(part, []).append(leaf)
+                rows = [(p, entry, np.sort(np.array(x, "<i4")).tobytes(), vector) for p, x in by_part.items()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), WALK)], schema=WALK)
 
-    kind = "ids array<long>, vector array<double>"
-    index = entries.mapInArrow(filed, f"leaf long, entry long, {kind}")
     asked = rows.where("asks").select("vec_id", "vector")
     asked = asked.join(entries.select("entry", F.col("vector").alias("same")), F.col("vector") == F.col("same"))
     asked = staged(asked.select(F.col("vec_id").alias("query_id"), "entry"), "asked")
     asking = entries.join(asked.select("entry").distinct(), "entry", "left_semi").select("entry", "vector")
-    walks = asking.mapInArrow(visited, "leaves array<long>, entry long, vector array<double>")
-    # a full leaf is searched in parts, and so are the queries that come to it
-    cut = 1 + n // max(1, tree.leaves) // ENTRIES
-    load = 1 + asked.count() * visits // max(1, tree.leaves) // QUERIES
-    part = F.pmod(F.xxhash64("entry"), F.lit(cut)).cast("int")
-    turn = F.pmod(F.xxhash64("entry"), F.lit(load)).cast("int")
-    every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    index = index.withColumn("part", part).withColumn("turn", every(load))
-    walks = walks.withColumn("leaf", F.explode("leaves")).drop("leaves").withColumn("turn", turn).withColumn("part", every(cut))
-    walks = walks.select("leaf", "part", "turn", "entry", "vector")
-    index = index.select("leaf", "part", "turn", "ids", "vector")
+    walks = staged(asking.mapInArrow(visited, "part int, entry long, leaves binary, vector array<double>"), "walks")
+    # where very many queries come to a part, they come in turns
+    load = walks.groupBy("part").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("turns"))
+    places = F.array(*(F.struct(F.lit(f).alias("first"), F.lit(c).alias("count")) for f, c in parts))
+    place = F.element_at(places, F.col("leaf") + 1)
+    index = index.withColumn("part", (place["first"] + F.pmod(F.xxhash64("entry"), place["count"])).cast("int"))
+    index = index.join(load, "part").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)))
+    walks = walks.join(load, "part").withColumn("turn", F.pmod(F.xxhash64("entry"), F.col("turns")).cast("int"))
+    index = index.select("part", "turn", "leaf", "ids", "vector")
+    walks = walks.select("part", "turn", "entry", "leaves", "vector")
 
     def search(asks: pa.Table, there: pa.Table) -> pa.Table:
         if not asks.num_rows or not there.num_rows:
             return FOUND.empty_table()
-        made = best(_matrix(asks["vector"]), _matrix(there["vector"]), there["ids"].to_pylist(), k)
+        leaves = [np.frombuffer(x, "<i4") for x in asks["leaves"].to_pylist()]
+        made = list(best(_matrix(asks["vector"]), leaves, _matrix(there["vector"]), there["leaf"].to_numpy(), there["ids"].to_pylist(), k))
         columns = [asks["entry"].combine_chunks(), pa.array([v for v, _ in made], pa.list_(pa.int64())), pa.array([s for _, s in made], pa.list_(pa.float64()))]
         return pa.table(columns, schema=FOUND)
 
-    place = ["leaf", "part", "turn"]
-    found = walks.groupBy(*place).cogroup(index.groupBy(*place)).applyInArrow(search, "entry long, vec_id array<long>, score array<double>")
+    found = walks.groupBy("part", "turn").cogroup(index.groupBy("part", "turn")).applyInArrow(
+        search, "entry long, vec_id array<long>, score array<double>"
+    )
     pairs = F.zip_with("vec_id", "score", lambda v, s: F.struct((-s).alias("low"), v.alias("vec_id")))
     found = found.groupBy("entry").agg(F.slice(F.array_sort(F.flatten(F.collect_list(pairs))), 1, k + 1).alias("near"))
     out = asked.join(found, "entry")
