@@ -171,14 +171,16 @@ def plan_mix(
 def mix_documents(docs: DataFrame, text_col: str = "text", n_chars_col: str = "n_chars", **options) -> DataFrame:
     """The mixed corpus with the columns of `docs`: a row per whole pass over a document, and a row of
     the chosen blocks of words, with the white space after them, where the last pass takes only some.
+    Of a text without words nothing can be taken.
     """
     planned = plan_mix(docs, text_col=text_col, keep=docs.columns, **options)
     i = lambda at: F.call_function("div", at, F.col("block_words").cast("long"))
     pieces = F.regexp_extract_all(F.col(text_col), F.lit(f"([^\\x20\\x09-\\x0D]+{SPACE_CLASS}*)"), 1)
     part = F.filter(pieces, lambda w, k: _chosen(i(F.col("start") + k) + 1) > _chosen(i(F.col("start") + k)))
     rest = F.col("taken") - F.col("passes") * F.col("size")
+    copies = F.when(F.col("size") > 0, F.col("passes")).otherwise(0)
     texts = F.concat(
-        F.array_repeat(F.col(text_col), F.col("passes").cast("int")),
+        F.array_repeat(F.col(text_col), copies.cast("int")),
         F.when((rest == F.col("size")) & (rest > 0), F.array(F.col(text_col)))
         .when(rest > 0, F.array(F.array_join(part, "")))
         .otherwise(F.array().cast("array<string>")),

@@ -59,7 +59,7 @@ RULES = (
     Rule("capitals", "capital_ratio", None, 0.50),
     Rule("shouting", "shout_ratio", None, 0.40),
     Rule("variety", "variety", 0.60, 0.30, True),
-    Rule("function_words", "function_word_level", 0.50, 0.10, True),
+    Rule("function_words", "function_word_level", 0.30, 0.10, True),
     Rule("word_length", "mean_length_gap", 1.5, 4.0),
 )
 OUTCOMES = (-1, 0, 1)
@@ -128,7 +128,8 @@ def text_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.least(F.lit(1.0), F.col("_distinct") / F.least(n, 40 * F.sqrt(n / 40.0))).alias("variety"),
         (F.col("_capitals") / F.greatest(F.col("word_chars"), F.lit(1))).alias("capital_ratio"),
         (F.col("_shouts") / n).alias("shout_ratio"),
-        (F.col("_stops") / F.sqrt(F.greatest(F.col("_distinct"), F.lit(1)))).alias("function_word_level"),
+        # there are only so many function words, so beyond 400 different words more are not expected
+        (F.col("_stops") / F.sqrt(F.least(F.greatest(F.col("_distinct"), F.lit(1)), F.lit(400)))).alias("function_word_level"),
         F.abs(F.col("word_chars") / n - 5.5).alias("mean_length_gap"),
     )
 
@@ -163,13 +164,17 @@ def with_votes(measures: DataFrame) -> DataFrame:
     return measures.select("*", *(r.vote().alias(f"vote_{r.name}") for r in RULES))
 
 
-def fit_label_model(votes: DataFrame, rounds: int = 100, floor: float = 0.003) -> LabelModel:
+def fit_label_model(
+    votes: DataFrame, rounds: int = 100, floor: float = 0.003, most_errors: float = 0.01
+) -> LabelModel:
     """Expectation-maximisation on the counts of vote patterns.
 
     Good and bad texts differ in how often a rule votes good, bad, or abstains. The start takes a
     pattern for good unless bad votes outweigh it, which also fixes which class is called good.
-    `floor` is the least share of each outcome: a rule that has never erred may still err. Texts
-    without words are left out. With no rows the model is the starting one.
+    `floor` is the least share of each outcome: a rule that has never erred may still err. No rule is
+    believed to vote bad on more than `most_errors` of the good texts, else a frequent kind of junk
+    could pass for a kind of good text. Texts without words are left out. With no rows the model is
+    the starting one.
     """
     names = [f"vote_{r.name}" for r in RULES]
     counted = votes.where("n_words > 0").groupBy(*names).agg(F.count("*").alias("n")).collect()  # <= 3 ** rules rows
@@ -182,7 +187,11 @@ def fit_label_model(votes: DataFrame, rounds: int = 100, floor: float = 0.003) -
         for w, (p, _) in zip(weights, patterns):
             count[p[i]] += w
         whole = sum(count.values())
-        return {v: floor + (1 - 3 * floor) * count[v] / whole for v in OUTCOMES}
+        share = {v: floor + (1 - 3 * floor) * count[v] / whole for v in OUTCOMES}
+        if lean == 1 and share[0] > most_errors:
+            rest = (1 - most_errors) / (1 - share[0])
+            share = {v: most_errors if v == 0 else share[v] * rest for v in OUTCOMES}
+        return share
 
     for _ in range(rounds):
         ups = [c * n for c, (_, n) in zip(chance, patterns)]
