@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 from conftest import OBS, rows, ts
+from pyspark.sql import functions as F
 
 from tidewright.operators import clustering
 from tidewright.schemas import MEASURES
@@ -77,8 +78,27 @@ def test_first_best_k_wins():
     assert clustering.best_k([(3, 0.5), (4, 0.7), (5, 0.7)]) == 4
 
 
-def test_weighted_points_keep_the_row_count(spark):
-    df, x = blobs(spark)
-    points = clustering.weighted_points(df.union(df), MEASURES)
-    assert points.agg({"w": "sum"}).first()[0] == pytest.approx(2 * len(x))
-    assert points.count() == len(np.unique(x, axis=0))
+def test_clusters_do_not_depend_on_the_partitioning(spark):
+    df, _ = blobs(spark)
+    found = []
+    for parts in (2, 16):
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            got = clustering.cluster_observations(df.repartition(parts), k=6)
+            found.append(rows(got.select("station_id", "datetime", "cluster")))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert found[0] == found[1]
+
+
+def test_clusters_are_numbered_by_their_centres(spark):
+    df, _ = blobs(spark)
+    got = clustering.cluster_observations(df, k=4).groupBy("cluster").agg(*[F.avg(m).alias(m) for m in MEASURES])
+    centres = [tuple(r[m] for m in MEASURES) for r in got.orderBy("cluster").collect()]
+    assert centres == sorted(centres)
+
+
+def test_k_is_chosen_on_a_sample_only_if_asked_for(spark):
+    df, _ = blobs(spark)
+    assert clustering.cluster_observations(df, sample=40).select("cluster").distinct().count() == 4

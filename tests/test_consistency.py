@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from conftest import OBS, ts
 
 from tidewright.operators import consistency, quantiles
@@ -159,8 +160,15 @@ def test_quantiles_by_narrowing_are_exact(spark, kind):
     }[kind]
     sdf = spark.createDataFrame(pd.DataFrame({"x": x}))
     probs = [1 / 3, 2 / 3, 0.0, 1.0, 0.5]
-    direct = quantiles.exact_quantiles(sdf, "x", probs)
-    narrowed = quantiles.exact_quantiles(sdf, "x", probs, direct_rows=10, driver_values=20)
-    assert narrowed.edges == pytest.approx(np.quantile(x, probs), rel=1e-12, abs=1e-15)
-    assert narrowed.edges == pytest.approx(direct.edges, rel=1e-12, abs=1e-15)
-    assert (narrowed.n, narrowed.low, narrowed.high) == (n, x.min(), x.max())
+    direct = sdf.agg(F.percentile("x", probs)).first()[0]
+    for accuracy in (10_000, 300):
+        found = quantiles.exact_quantiles(sdf, "x", probs, accuracy=accuracy)
+        assert found.edges == list(direct)  # to the last bit, so that no tied score moves
+        assert (found.n, found.low, found.high) == (n, x.min(), x.max())
+
+
+@pytest.mark.parametrize(("n", "value"), [(8, -1.5058290012607418), (21, 0.9777226473527388)])
+def test_an_edge_between_equal_values_is_that_value(spark, n, value):
+    sdf = spark.createDataFrame([(value,)] * n + [(value + 5,)], "x double")
+    for accuracy in (10_000, 2):
+        assert quantiles.exact_quantiles(sdf, "x", [1 / 3, 0.5], accuracy=accuracy).edges == [value, value]

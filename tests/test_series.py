@@ -31,17 +31,17 @@ def series(spark, n=1500, seed=4, nulls=0.05):
     return pdf, spark.createDataFrame(data, SERIES)
 
 
-@pytest.mark.parametrize(("bucket", "series_rows"), [("day", 10**6), ("day", 100), ("hour", 0), ("month", 0)])
+@pytest.mark.parametrize("bucket", ["day", "hour", "month"])
 @pytest.mark.parametrize("per_station", [True, False])
-def test_lags_agree_with_shift(spark, per_station, bucket, series_rows):
+def test_lags_agree_with_shift(spark, per_station, bucket):
     pdf, sdf = series(spark)
     pdf = pdf.sort_values(["datetime", "station_id"]).reset_index(drop=True)
     shifted = (pdf.groupby("station_id") if per_station else pdf)[MEASURES].shift(1)
     want = pdf.join(shifted.add_suffix("_lag1"))
-    got = lagged.lag_features(sdf, per_station=per_station, bucket=bucket, complete=False, series_rows=series_rows).toPandas()
+    got = lagged.lag_features(sdf, per_station=per_station, bucket=bucket, complete=False).toPandas()
     got = got.sort_values(["datetime", "station_id"]).reset_index(drop=True)
     pd.testing.assert_frame_equal(got, want[got.columns], check_dtype=False)
-    complete = lagged.lag_features(sdf, per_station=per_station, bucket=bucket, series_rows=series_rows)
+    complete = lagged.lag_features(sdf, per_station=per_station, bucket=bucket)
     assert complete.count() == len(want.dropna())
 
 
@@ -53,6 +53,32 @@ def test_lag_does_not_cross_stations(spark):
     ]
 
 
+@pytest.mark.parametrize("bucket", ["day", "hour", "year"])
+def test_lags_of_null_stations_null_times_and_ties(spark, bucket):
+    """NULLs come first and are a station of their own; ties follow the measures. The slots do not show."""
+    data = [
+        (None, ts(f"2024-01-0{d}"), float(d), None, None, None) for d in range(1, 5)
+    ] + [
+        ("a", None, 9.0, None, None, None), ("a", ts("2024-01-01"), 2.0, None, None, None),
+        ("a", ts("2024-01-01"), 1.0, None, None, None), ("a", ts("2024-02-01"), 5.0, None, None, None),
+    ]
+    df = spark.createDataFrame(data, SERIES)
+    got = lagged.lag_features(df, bucket=bucket, complete=False)
+    lag = {(r["station_id"], r["wave_height"]): r["wave_height_lag1"] for r in got.collect()}
+    assert lag == {
+        (None, 1.0): None, (None, 2.0): 1.0, (None, 3.0): 2.0, (None, 4.0): 3.0,
+        ("a", 9.0): None, ("a", 1.0): 9.0, ("a", 2.0): 1.0, ("a", 5.0): 2.0,
+    }
+    last = {r["station_id"]: r["wave_height"] for r in lagged.latest_per_station(df.where("wave_height <> 5")).collect()}
+    assert last == {None: 4.0, "a": 2.0}
+
+
+def test_no_training_rows_no_model(spark):
+    df = spark.createDataFrame([("a", ts("2024-01-01"), 1.0, 1.0, 1.0, 1.0)], SERIES)
+    with pytest.raises(ValueError, match="training"):
+        forecast_job(df)
+
+
 def test_last_rows(spark):
     pdf, sdf = series(spark)
     want = pdf.sort_values("datetime").groupby("station_id").tail(1).sort_values("station_id")

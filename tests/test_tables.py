@@ -26,6 +26,18 @@ def heights(df):
     return rows(df.select("station_id", "datetime", "wave_height"))
 
 
+def test_a_key_comes_once_per_batch(spark, tmp_path):
+    target = str(tmp_path / "obs")
+    twice = obs(spark, ("a", DAY1, 2.0), ("a", DAY1, 1.0), ("b", None, 1.0), (None, DAY1, 1.0))
+    assert tables.insert_observations_if_absent(twice, target) == 1
+    assert heights(tables.read_observations(spark, target)) == [("a", DAY1, 1.0)]
+    places = spark.createDataFrame([("s", 2.0, 1.0), ("s", 1.0, 5.0), (None, 0.0, 0.0)], "station_id string, latitude double, longitude double")
+    for _ in range(2):
+        tables.insert_stations_if_absent(places, str(tmp_path / "st"), DAY1)
+    stored = tables.read_table(spark, str(tmp_path / "st"), STATION_TABLE)
+    assert rows(stored.select("station_id", "latitude")) == [("s", 1.0)]
+
+
 def test_insert_if_absent_is_idempotent(spark, tmp_path):
     target = str(tmp_path / "obs")
     first = obs(spark, ("a", DAY1, 1.0), ("b", ts("2024-11-30 23:00"), 2.0))
@@ -184,9 +196,16 @@ def test_stream_in_many_batches_keeps_every_row(spark, tmp_path):
     log = run_ingest(spark, tmp_path, max_files=2)
     assert ingest.merged_observations(spark, log).count() == 30
     assert ingest.read_log(spark, log).select("batch_id").distinct().count() == 3
-    target = str(tmp_path / "table")
-    ingest.compact(spark, log, target)
-    assert tables.read_observations(spark, target).count() == 30
+    want = rows(ingest.merged_observations(spark, log))
+    for _ in range(2):  # the second time changes nothing
+        ingest.compact(spark, log)
+        assert ingest.read_log(spark, log).count() == 30
+        assert rows(ingest.merged_observations(spark, log)) == want
+    (landing / "s1.spec").write_text(spec((1, 0, 99.0), (9, 0, 1.5)))
+    run_ingest(spark, tmp_path)
+    ingest.compact(spark, log)
+    got = {r["datetime"]: r["wave_height"] for r in ingest.merged_observations(spark, log).where("station_id = 's1'").collect()}
+    assert got[ts("2024-12-01 00:00")] == 0.5 and got[ts("2024-12-09 00:00")] == 1.5 and len(got) == 6
 
 
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):

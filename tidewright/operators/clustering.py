@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.columns import null_if_nan
 from tidewright.schemas import KEY, MEASURES
-from tidewright.session import materialize
 
+# Size of a sample where the caller asks for one without saying how large.
 SAMPLE_ROWS = 60_000
+# Partitions that K-means starts from: fixed, so that its random start does not follow the cluster.
+PARTS = 64
 CLUSTER_RANGE = range(3, 8)
 SEED = 42
 
@@ -70,59 +72,53 @@ def impute_scale(df: DataFrame, columns: Sequence[str] = tuple(MEASURES)) -> Dat
 
 
 def sample_rows(df: DataFrame, n: int = SAMPLE_ROWS, key: Sequence[str] = tuple(KEY)) -> DataFrame:
-    """At most `n` rows without replacement: those with the lowest key hash.
+    """At most `n` rows without replacement: those with the lowest MD5 of their key.
 
-    The same rows come out for any partitioning. A hash bound leaves little more than `n`
-    rows before the sort; if it leaves fewer, it is raised.
+    The same rows come out for any partitioning and in another engine. Each task keeps its lowest
+    `n`, then they are merged.
     """
-    total = df.count()
-    if total <= n:
-        return df
-    hashed = df.withColumn("_h", F.xxhash64(*key))
-    share = 1.2 * n / total
-    while True:
-        if share < 1:
-            hashed_low = hashed.where(F.col("_h") < F.lit(int(-(2**63) + share * 2**64)))
-        else:
-            hashed_low = hashed
-        ordered = hashed_low.orderBy("_h", *df.columns).limit(n).drop("_h")
-        picked = materialize(ordered, "sample")
-        if share >= 1 or picked.count() >= n:
-            return picked
-        share *= 4
+    at = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key]))
+    return df.withColumn("_h", at).orderBy("_h", *df.columns).limit(n).drop("_h")
 
 
 def _vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(df)
 
 
-def weighted_points(scaled: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct points with their number of rows.
+def fixed_layout(scaled: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The vectors in a fixed number of partitions by value, sorted: the same for any session and input.
 
-    Measures are reported in coarse steps, so the iterations of K-means run over far fewer
-    rows than there are observations.
+    The scaling may differ in the last digits with the order of its sums, so values are rounded to
+    find their place.
     """
-    points = scaled.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("w"))
-    return _vectors(points, columns).select("features", "w")
+    places = [F.round(c, 6) for c in columns]
+    points = scaled.select(*columns).repartition(PARTS, *places).sortWithinPartitions(*places)
+    return _vectors(points, columns).select("features")
 
 
 def fit_kmeans(points: DataFrame, k: int, seed: int = SEED) -> KMeansModel:
-    """K-means on weighted points; stops when the summed squared shift is below 1e-4."""
-    kmeans = KMeans(k=k, seed=seed, maxIter=300, tol=math.sqrt(1e-4 / k), weightCol="w")
-    return kmeans.setPredictionCol("cluster").fit(points)
+    """K-means; stops when the summed squared shift is below 1e-4. `points` comes from `fixed_layout`."""
+    kmeans = KMeans(k=k, seed=seed, maxIter=300, tol=math.sqrt(1e-4 / k))
+    return kmeans.setPredictionCol("_nearest").fit(points)
+
+
+def with_cluster(model: KMeansModel, vectors: DataFrame) -> DataFrame:
+    """Add `cluster`: the nearest centre, numbered in the order of the centres' coordinates."""
+    centres = [tuple(c) for c in model.clusterCenters()]
+    place = sorted(range(len(centres)), key=lambda i: centres[i])
+    number = F.array(*[F.lit(place.index(i)) for i in range(len(centres))])
+    return model.transform(vectors).withColumn("cluster", F.element_at(number, F.col("_nearest") + 1)).drop("_nearest")
 
 
 def silhouettes(
-    sample: DataFrame, columns: Sequence[str], ks: Sequence[int] = CLUSTER_RANGE
+    scaled: DataFrame, columns: Sequence[str], ks: Sequence[int] = CLUSTER_RANGE
 ) -> list[tuple[int, float]]:
-    """Mean squared-Euclidean silhouette for each k, on a sample of bounded size."""
-    vectors = _vectors(sample, columns).select("features").persist()
-    points = weighted_points(sample, columns).persist()
+    """Mean squared-Euclidean silhouette for each k over all rows; its cost is linear in them."""
+    points = fixed_layout(scaled, columns).persist()
     judge = ClusteringEvaluator(predictionCol="cluster", metricName="silhouette")
     try:
-        return [(k, judge.evaluate(fit_kmeans(points, k).transform(vectors))) for k in ks]
+        return [(k, judge.evaluate(with_cluster(fit_kmeans(points, k), points))) for k in ks]
     finally:
-        vectors.unpersist()
         points.unpersist()
 
 
@@ -132,16 +128,22 @@ def best_k(scores: Sequence[tuple[int, float]]) -> int:
 
 
 def cluster_observations(
-    obs: DataFrame, columns: Sequence[str] = tuple(MEASURES), k: int | None = None
+    obs: DataFrame,
+    columns: Sequence[str] = tuple(MEASURES),
+    k: int | None = None,
+    sample: int | None = None,
 ) -> DataFrame:
-    """Observations with their `cluster`; k is chosen by silhouette unless it is given."""
+    """Observations with their `cluster`; k is chosen by silhouette unless it is given.
+
+    All rows take part in the choice unless the caller names the size of a `sample`.
+    """
     scaling = fit_scaling(obs, columns)
     scaled = scaling.apply(obs)
     names = scaling.outputs
     if k is None:
-        k = best_k(silhouettes(sample_rows(scaled), names))
-    model = fit_kmeans(weighted_points(scaled, names), k)
-    return model.transform(_vectors(scaled, names)).select(*obs.columns, "cluster")
+        k = best_k(silhouettes(sample_rows(scaled, sample) if sample else scaled, names))
+    model = fit_kmeans(fixed_layout(scaled, names), k)
+    return with_cluster(model, _vectors(scaled, names)).select(*obs.columns, "cluster")
 
 
 def cluster_histogram(clustered: DataFrame) -> DataFrame:

@@ -6,10 +6,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewright.operators.lagged import lag_features, lag_names, latest_overall, latest_per_station
+from tidewright.operators.lagged import lag_names, latest_overall, latest_per_station
 from tidewright.operators.moments import moments
 from tidewright.schemas import MEASURES
 
@@ -45,9 +45,12 @@ def is_test_row(share: float = 0.2) -> Column:
 def fit_lag_model(train: DataFrame, measures: Sequence[str] = tuple(MEASURES)) -> LagModel:
     """Least squares from the means and covariances: one pass over the training rows.
 
-    The least-norm solution is taken, so a constant or repeated measure does no harm.
+    The least-norm solution is taken, so a constant or repeated measure does no harm. Without
+    training rows there is no model: ValueError.
     """
     found = moments(train, [*lag_names(measures), TARGET])
+    if not found.n:
+        raise ValueError("no complete training rows: nothing to fit a forecast on")
     slopes = np.linalg.lstsq(found.covariance[:-1, :-1], found.covariance[:-1, -1], rcond=None)[0]
     intercept = found.means[-1] - found.means[:-1] @ slopes
     return LagModel(measures, float(intercept), [float(b) for b in slopes])
@@ -77,5 +80,11 @@ def forecast_refit_last(model: LagModel, obs: DataFrame) -> DataFrame:
 
     This is what the lag columns of the last row give when stations are not told apart.
     """
-    lagged = lag_features(obs, model.measures, per_station=False, complete=False)
-    return latest_overall(lagged).withColumn("forecast", model.predict(lag_names(model.measures)))
+    names = lag_names(model.measures)
+    two = latest_overall(obs.select("station_id", "datetime", *model.measures), 2)
+    newest_first = Window.partitionBy(F.lit(1)).orderBy(
+        *[F.col(c).desc() for c in ("datetime", "station_id", *model.measures)]
+    )
+    before = [F.lead(c).over(newest_first).alias(n) for c, n in zip(model.measures, names)]
+    last = two.select("*", *before, F.row_number().over(newest_first).alias("_nth")).where("_nth = 1").drop("_nth")
+    return last.withColumn("forecast", model.predict(names))

@@ -10,72 +10,39 @@ from pyspark.sql import functions as F
 from tidewright.schemas import MEASURES
 
 
-# A series of up to this many rows is sorted by one task.
-SERIES_ROWS = 5_000_000
-
-
 def with_previous(
     df: DataFrame,
     columns: Sequence[str],
     names: Sequence[str],
     per_station: bool = True,
     bucket: str = "day",
-    series_rows: int = SERIES_ROWS,
 ) -> DataFrame:
     """Add the previous row's value of each column, in time order.
 
-    The rows of the longest series (a station, or with `per_station=False` the whole table)
-    are counted first, which reads one column. While no series is longer than `series_rows`
-    this is a plain window. Otherwise see `_with_previous_by_slot`.
+    A series (a station, or with `per_station=False` the whole table) is cut into time slots of one
+    `bucket`, so that no task sorts a long series. The last row of each slot is carried over to the
+    head of the next one, which holds rows, and is dropped after the slot has been sorted.
+
+    The order is total: time, then the station if the series has several, then all other columns.
+    NULLs come first, in the order and as a station or slot of their own.
     """
     keys = ["station_id"] if per_station else []
     order = ["datetime"] if per_station else ["datetime", "station_id"]
-    longest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if longest > series_rows:
-        return _with_previous_by_slot(df, columns, names, keys, order, bucket)
-    series = Window.partitionBy(*keys).orderBy(*order)
-    return df.select("*", *[F.lag(c).over(series).alias(n) for c, n in zip(columns, names)])
-
-
-def _with_previous_by_slot(
-    df: DataFrame,
-    columns: Sequence[str],
-    names: Sequence[str],
-    keys: list[str],
-    order: list[str],
-    bucket: str,
-) -> DataFrame:
-    """The series cut into time slots, so that a long one is sorted by many tasks.
-
-    The first row of a slot takes its values from the last row of the slot before, found in
-    a small table with one row per slot.
-    """
+    order += [c for c in df.columns if c not in ("station_id", "datetime")]
     slot = F.col("datetime").cast("date") if bucket == "day" else F.date_trunc(bucket, "datetime")
     rows = df.withColumn("_slot", slot)
-    group = [*keys, "_slot"]
-
-    in_slot = Window.partitionBy(*group).orderBy(*order)
-    local = rows.withColumns(
-        {
-            "_head": F.row_number().over(in_slot) == 1,
-            **{f"_prev_{c}": F.lag(c).over(in_slot) for c in columns},
-        }
-    )
-    at = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    ends = rows.groupBy(*group).agg(*[F.max_by(c, at).alias(f"_end_{c}") for c in columns])
-    across = Window.partitionBy(*keys).orderBy("_slot")
-    before = ends.select(
-        *group, *[F.lag(f"_end_{c}").over(across).alias(f"_before_{c}") for c in columns]
-    )
-
-    joined = local.join(before, group, "left")
-    return joined.select(
-        *df.columns,
-        *[
-            F.when(F.col("_head"), F.col(f"_before_{c}")).otherwise(F.col(f"_prev_{c}")).alias(n)
-            for c, n in zip(columns, names)
-        ],
+    last = rows.groupBy(*keys, "_slot").agg(F.max(F.struct(*order)).alias("_last"))
+    slots = Window.partitionBy(*keys).orderBy("_slot")
+    carried = last.withColumn("_next", F.lead(F.struct("_slot")).over(slots)).where(F.col("_next").isNotNull())
+    carried = carried.select(
+        *[(F.col("_last")[c] if c in order else F.col(c)).alias(c) for c in df.columns],
+        F.col("_next._slot").alias("_slot"),
+        F.lit(True).alias("_carried"),
     )
+    rows = rows.withColumn("_carried", F.lit(False)).unionByName(carried)
+    in_slot = Window.partitionBy(*keys, "_slot").orderBy(F.desc("_carried"), *order)
+    rows = rows.select("*", *[F.lag(c).over(in_slot).alias(n) for c, n in zip(columns, names)])
+    return rows.where(~F.col("_carried")).select(*df.columns, *names)
 
 
 def lag_names(columns: Sequence[str] = tuple(MEASURES)) -> list[str]:
@@ -88,21 +55,21 @@ def lag_features(
     per_station: bool = True,
     bucket: str = "day",
     complete: bool = True,
-    series_rows: int = SERIES_ROWS,
 ) -> DataFrame:
     """Lag-1 features of the measures; with `complete`, only rows without any NULL."""
     rows = obs.select("station_id", "datetime", *columns)
-    lagged = with_previous(rows, columns, lag_names(columns), per_station, bucket, series_rows)
+    lagged = with_previous(rows, columns, lag_names(columns), per_station, bucket)
     return lagged.dropna("any") if complete else lagged
 
 
 def latest_per_station(df: DataFrame) -> DataFrame:
-    """Last row of each station in time order."""
+    """Last row of each station in time order; of rows at one time the one with the largest values."""
     rest = [c for c in df.columns if c not in ("station_id", "datetime")]
-    last = [F.max_by(c, "datetime").alias(c) for c in rest]
-    return df.groupBy("station_id").agg(F.max("datetime").alias("datetime"), *last).select(*df.columns)
+    last = df.groupBy("station_id").agg(F.max(F.struct("datetime", *rest)).alias("_last"))
+    return last.select(*[F.col("station_id") if c == "station_id" else F.col(f"_last.{c}") for c in df.columns])
 
 
-def latest_overall(df: DataFrame) -> DataFrame:
-    """The last row of the table in (datetime, station) order."""
-    return df.orderBy(F.col("datetime").desc(), F.col("station_id").desc()).limit(1)
+def latest_overall(df: DataFrame, n: int = 1) -> DataFrame:
+    """The last `n` rows of the table in (datetime, station, other columns) order."""
+    rest = [c for c in df.columns if c not in ("station_id", "datetime")]
+    return df.orderBy(*[F.col(c).desc() for c in ("datetime", "station_id", *rest)]).limit(n)

@@ -16,7 +16,10 @@ from tidewright.session import materialize
 CELL_POINTS = 64
 FAN_BITS = 2  # a cell has 4 x 4 children
 MAX_DEPTH = 20
-PAIRING_SALTS = 32
+# Spots, and grids, that are paired under one key at most on average.
+PAIRING_BLOCK = 256
+# Upper levels at which very many spots may still be in one cell: they are looked up by block of spots.
+SHARED_LEVELS = 2
 PLAN_LEVELS = 6
 
 
@@ -115,12 +118,17 @@ def nearest_points(
     placed, leaves, half, depth = _search_cells(placed, cell_points)
 
     # Every spot is looked up in every geometry; the size of this pairing is the size of the
-    # result. Spots are copied to each salt, so the pairing is a hash join over many keys.
-    grids = (leaves if depth else placed).select("_g").distinct()
-    front = grids.withColumn("_salt", F.pmod(F.xxhash64("_g"), F.lit(PAIRING_SALTS))).join(
-        sites.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(PAIRING_SALTS - 1)).cast("array<bigint>"))),
-        "_salt",
-    )
+    # result. Blocks of spots meet blocks of grids, each pair of blocks under a key of its own, so
+    # the number of keys grows with the result and one grid with many spots is many keys as well.
+    grids = materialize((leaves if depth else placed).select("_g").distinct(), "grids")
+    sites = materialize(sites, "sites")
+    n_sites, n_grids = (max(1, math.ceil(df.count() / PAIRING_BLOCK)) for df in (sites, grids))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    sites = sites.withColumn("_a", block("_s", n_sites))
+    front = grids.withColumn("_b", block("_g", n_grids)).withColumn("_a", every(n_sites)).join(
+        sites.withColumn("_b", every(n_grids)), ["_a", "_b"]
+    ).drop("_b")
 
     if depth:
         root = F.lit(0).cast("bigint")
@@ -140,11 +148,14 @@ def nearest_points(
                 F.shiftright("cy", FAN_BITS).alias("cy"),
                 "lat0", "lat1", "lon0", "lon1",
             )
+            keys = ["_g", "cx", "cy"]
+            if level <= SHARED_LEVELS:
+                children, keys = children.withColumn("_a", every(n_sites)), [*keys, "_a"]
             near = _squared(_nearest_corner("lat0", "lat1", "_s.lat"), _nearest_corner("lon0", "lon1", "_s.lng"))
             far = _squared(_farthest_corner("lat0", "lat1", "_s.lat"), _farthest_corner("lon0", "lon1", "_s.lng"))
             front = (
-                front.join(children, ["_g", "cx", "cy"])
-                .select("_g", "_s", "copies", F.col("_cx").alias("cx"), F.col("_cy").alias("cy"), near.alias("near"), far.alias("far"))
+                front.join(children, keys)
+                .select("_g", "_s", "_a", "copies", F.col("_cx").alias("cx"), F.col("_cy").alias("cy"), near.alias("near"), far.alias("far"))
                 .withColumn("best", F.min("far").over(per_spot))
                 .where(F.col("near") <= F.col("best"))
                 .drop("near", "far", "best")

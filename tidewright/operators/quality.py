@@ -39,26 +39,39 @@ def quality_metrics(df: DataFrame) -> DataFrame:
     )
 
 
-def ingest_report(parsed: DataFrame) -> DataFrame:
-    """Per station: rows read, rows dropped, and whether anything usable was left."""
+def ingest_report(parsed: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Per station: rows read, rows dropped, and whether anything usable was left.
+
+    With `files` (station_id, file_path), which lists all landed files, also the files that gave
+    no line: unreadable, of an unknown layout, or headers only. A station without a usable row is
+    `failed` if it has such a file and `empty` otherwise.
+    """
     good = F.count_if(F.col("valid"))
-    return parsed.groupBy("station_id").agg(
+    report = parsed.groupBy("station_id").agg(
         good.alias("rows_ok"),
         F.count_if(~F.col("valid")).alias("rows_failed"),
         F.when(good > 0, F.lit("processed")).otherwise(F.lit("empty")).alias("status"),
     )
+    if files is None:
+        return report
+    silent = files.join(parsed.where("valid").select("file_path"), "file_path", "left_anti")
+    silent = silent.groupBy("station_id").agg(F.count(F.lit(1)).alias("files_failed"))
+    both = files.select("station_id").distinct().join(report, "station_id", "left").join(silent, "station_id", "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
+    status = F.when(F.col("rows_ok") > 0, "processed").when(F.col("files_failed") > 0, "failed").otherwise("empty")
+    return both.select("station_id", zero("rows_ok"), zero("rows_failed"), zero("files_failed"), status.alias("status"))
 
 
 def ingest_totals(report: DataFrame) -> DataFrame:
-    return report.agg(
-        F.count_if(F.col("status") == "processed").alias("stations_processed"),
-        F.count_if(F.col("status") == "empty").alias("stations_empty"),
-        F.sum("rows_failed").alias("rows_failed"),
-    )
+    """Stations by status and dropped rows."""
+    by_status = [
+        F.count_if(F.col("status") == s).alias(f"stations_{s}") for s in ("processed", "empty", "failed")
+    ]
+    return report.agg(*by_status, F.sum("rows_failed").alias("rows_failed"))
 
 
-def split_valid(df: DataFrame, schema: T.StructType = OBSERVATION, required: list[str] | None = None):
-    """(good, rejects): rows with every required column, and the others.
+def flag_valid(df: DataFrame, schema: T.StructType = OBSERVATION, required: list[str] | None = None) -> DataFrame:
+    """The rows in the types of `schema`, with `valid`: whether every required column has a value.
 
     Text in a numeric column counts as absent; measures may be absent.
     """
@@ -69,5 +82,10 @@ def split_valid(df: DataFrame, schema: T.StructType = OBSERVATION, required: lis
             for f in schema.fields
         ]
     )
-    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required])
-    return cast.where(complete), cast.where(~complete)
+    return cast.withColumn("valid", reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required]))
+
+
+def split_valid(df: DataFrame, schema: T.StructType = OBSERVATION, required: list[str] | None = None):
+    """(good, rejects) of `flag_valid`. Each reads the input; write the flagged rows first if both are used."""
+    flagged = flag_valid(df, schema, required)
+    return flagged.where("valid").drop("valid"), flagged.where(~F.col("valid")).drop("valid")

@@ -6,7 +6,6 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +15,6 @@ from tidewright.functions.columns import null_if_nan
 TERTILE_LABELS = ["High Consistency", "Medium Consistency", "Low Consistency"]
 UNKNOWN_LABEL = "Unknown, not enough data"
 
-# Up to this many rows the built-in exact percentile is used as is: one task can hold them.
-DIRECT_ROWS = 1_000_000
-# Most distinct values that are brought to the driver to read off a rank.
-DRIVER_VALUES = 100_000
-
 
 @dataclass(frozen=True)
 class Quantiles:
@@ -30,80 +24,90 @@ class Quantiles:
     edges: list[float]
 
 
-def exact_quantiles(
-    df: DataFrame,
-    column: str,
-    probs: Sequence[float],
-    direct_rows: int = DIRECT_ROWS,
-    driver_values: int = DRIVER_VALUES,
-) -> Quantiles:
+@dataclass
+class _Search:
+    """The value at one 0-based rank: known to lie in [low, high], with `below` values under `low`
+    and `inside` values in the range."""
+
+    rank: int
+    low: float
+    high: float
+    below: int
+    inside: int
+
+
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], accuracy: int = 10_000) -> Quantiles:
     """Linearly interpolated quantiles of the non-null values.
 
-    The built-in `percentile` keeps every distinct value in one task, so it serves only up
-    to `direct_rows`. Beyond that the value range around each rank is narrowed by
-    `percentile_approx` passes (bounded state, combined on the map side) and checked by
-    counting, until few enough distinct values are left to read off the rank exactly.
+    Each wanted rank keeps a range of values. A pass estimates the rank's place in it with
+    `percentile_approx`, whose state is bounded and combined on the map side; a second pass
+    counts the rows around the estimates, which either settles the value or cuts the range
+    down, whatever the estimate was worth. With up to `accuracy` different values in the range
+    the estimate is the value. All ranks share the passes; no value list reaches one task.
     """
     x = df.select(null_if_nan(F.col(column).cast("double")).alias("x")).where(F.col("x").isNotNull())
     n, low, high = x.agg(F.count("x"), F.min("x"), F.max("x")).first()
     if n == 0:
         return Quantiles(0, None, None, [])
-    if n <= direct_rows:
-        edges = x.agg(F.percentile("x", [float(p) for p in probs]).alias("e")).first()["e"]
-        return Quantiles(n, low, high, list(edges))
+    places = [(n - 1) * p for p in probs]
+    ranks = sorted({f(at) for at in places for f in (math.floor, math.ceil)})
+    value = _values_at(x, [_Search(r, low, high, 0, n) for r in ranks], accuracy)
     edges = []
-    for p in probs:
-        position = (n - 1) * p
-        below, above = math.floor(position), math.ceil(position)
-        a, b = _values_at(x, n, low, high, below, above, driver_values)
-        edges.append(a if below == above else (above - position) * a + (position - below) * b)
+    for at in places:
+        a, b = value[math.floor(at)], value[math.ceil(at)]
+        # equal neighbours stand as they are: rounding must not move an edge off a tied score
+        edges.append(a if a == b else (math.ceil(at) - at) * a + (at - math.floor(at)) * b)
     return Quantiles(n, low, high, edges)
 
 
-def _values_at(
-    x: DataFrame, n: int, low: float, high: float, first: int, last: int, driver_values: int
-) -> tuple[float, float]:
-    """Values at the 0-based ranks `first` and `last` (neighbours) of `x` in sorted order."""
-    below, inside, margin = 0, n, 3e-4
-    while low < high:
-        bracket = x.where(F.col("x").between(low, high))
-        share = [
-            max((first - below) / inside - margin, 0.0),
-            min((last - below + 1) / inside + margin, 1.0),
-        ]
-        distinct, (lo, hi) = bracket.agg(
-            F.approx_count_distinct("x", 0.02), F.percentile_approx("x", share, 10_000)
-        ).first()
-        if distinct <= driver_values:
-            # Equal values are counted before the shuffle, so a frequent one is no burden.
-            pairs = bracket.groupBy("x").agg(F.count(F.lit(1)).alias("c")).toPandas()
-            pairs = pairs.sort_values("x")
-            upto = below + pairs["c"].to_numpy().cumsum()
-            at = np.searchsorted(upto, [first, last], side="right")
-            values = pairs["x"].to_numpy()[at]
-            return float(values[0]), float(values[1])
-        before, within = bracket.agg(
-            F.count_if(F.col("x") < lo), F.count_if(F.col("x").between(lo, hi))
-        ).first()
-        if below + before <= first and last < below + before + within and within < inside:
-            low, high, below, inside = lo, hi, below + before, within
-            continue
-        margin *= 4  # the estimate missed the rank or cut nothing off: look wider
-        if margin < 1:
-            continue
-        # Nothing is cut off any more: keep the half of the value range with both ranks.
-        margin, middle = 3e-4, low + (high - low) / 2
-        upper = F.col("x") > middle
-        upto, top, start = bracket.agg(
-            F.count_if(~upper), F.max(F.when(~upper, F.col("x"))), F.min(F.when(upper, F.col("x")))
-        ).first()
-        if last < below + upto:
-            high, inside = top, upto
-        elif first >= below + upto:
-            low, below, inside = start, below + upto, inside - upto
-        else:
-            return top, start
-    return low, low
+def _values_at(x: DataFrame, searches: list[_Search], accuracy: int) -> dict[int, float]:
+    found: dict[int, float] = {}
+    margin = 2.0 / accuracy
+    while searches:
+        within = [F.when(F.col("x").between(s.low, s.high), F.col("x")) for s in searches]
+        shares = []
+        for s in searches:
+            at = (s.rank - s.below + 0.5) / s.inside
+            shares.append([max(at - margin, 0.0), at, min(at + margin, 1.0)])
+        row = x.agg(*[F.percentile_approx(w, share, accuracy) for w, share in zip(within, shares)]).first()
+        tries = [sorted({s.low, s.high, *guess}) for s, guess in zip(searches, row)]
+        counts = x.agg(*[f(w, v) for w, vs in zip(within, tries) for v in vs for f in (_under, _upto, _before, _after)]).first()
+        at, left = 0, []
+        for s, values in zip(searches, tries):
+            low, high, below, inside = s.low, s.high, s.below, s.inside
+            for v in values:
+                under, upto, before, after = counts[at : at + 4]
+                at += 4
+                if s.below + under <= s.rank < s.below + upto:
+                    found[s.rank] = v
+                elif s.below + upto <= s.rank:  # the value lies above v
+                    low, below, inside = after, s.below + upto, inside - (s.below + upto - below)
+                elif v <= high:  # the value lies under v
+                    high, inside = before, s.below + under - below
+                    at += 4 * (len(values) - 1 - values.index(v))
+                    break
+            if s.rank not in found:
+                left.append(_Search(s.rank, low, high, below, inside))
+        searches = left
+    return found
+
+
+def _under(w: Column, v: float) -> Column:
+    return F.count_if(w < v)
+
+
+def _upto(w: Column, v: float) -> Column:
+    return F.count_if(w <= v)
+
+
+def _before(w: Column, v: float) -> Column:
+    """The largest value under `v`."""
+    return F.max(F.when(w < v, w))
+
+
+def _after(w: Column, v: float) -> Column:
+    """The smallest value above `v`."""
+    return F.min(F.when(w > v, w))
 
 
 def tertile_label(score: Column | str, edges: Sequence[float], spread: bool) -> Column:

@@ -71,6 +71,32 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def regimes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders: customer = station; each of the five priorities is a sea state of its own, far from
+    the others, so that any correct clustering finds the priorities."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "cast(o_custkey % 50 as string) as station_id",
+        "o_orderdate as datetime",
+        "o_orderkey",
+        "cast(substring(o_orderpriority, 1, 1) as int) * 10 + o_totalprice % 1 as wave_height",
+        "cast(substring(o_orderpriority, 1, 1) as int) * 7 % 5 * 10 + o_custkey % 10 / 10.0D as dominant_period",
+        "cast(substring(o_orderpriority, 1, 1) as int) * 3 % 5 * 10 + o_orderkey % 10 / 10.0D as average_period",
+        "cast(substring(o_orderpriority, 1, 1) as int) * 4 % 5 * 10 + o_orderkey % 7 / 7.0D as mean_wave_direction",
+    )
+
+
+def untidy_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders: series with a station and times that are NULL, and many rows at one time."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "case when o_custkey % 20 > 0 then cast(o_custkey % 20 as string) end as station_id",
+        "case when o_orderkey % 50 > 0 then cast(date_trunc('month', o_orderdate) as timestamp_ntz) end as datetime",
+        "cast(o_orderkey as double) as wave_height",
+        "case when o_orderkey % 11 > 0 then o_totalprice end as dominant_period",
+        "cast(o_custkey as double) as average_period",
+        "cast(o_orderkey % 360 as double) as mean_wave_direction",
+    )
+
+
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """supplier: made-up coordinates from the key; `met` from the balance."""
     return table(spark, sf_dir, "supplier").selectExpr(
@@ -117,9 +143,10 @@ def rendered(rows: DataFrame, layout: str, *kept: str) -> DataFrame:
     return rows.select(*kept, render_lines(rows, layout).alias("value"))
 
 
-def write_landing(spark: SparkSession, sf_dir: str) -> str:
-    """All events as station files in the three layouts, each with its two header rows."""
-    rows = events(spark, sf_dir).withColumn(
+def write_landing(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None, path: str | None = None) -> str:
+    """Rows (by default all events) as station files in the three layouts, each with its two header
+    rows; added to the files of `path` if one is given."""
+    rows = (events(spark, sf_dir) if rows is None else rows).withColumn(
         "src", F.element_at(F.array(*[F.lit(s) for s in SOURCES]), (F.col("event_id") % 3 + 1).cast("int"))
     )
     text = F.lit(None).cast("string")
@@ -133,13 +160,14 @@ def write_landing(spark: SparkSession, sf_dir: str) -> str:
     headers = F.array(F.lit("#YY MM DD hh mm"), F.lit("yr mo dy hr mn"))
     heads = body.select(*file).distinct().select(*file, F.posexplode(headers).alias("pos", "value"))
     heads = heads.withColumn("ord", F.col("pos") - F.lit(2).cast("bigint")).drop("pos")
-    path = scratch_path(spark, "landing")
+    path = path or scratch_path(spark, "landing")
     (
         body.unionByName(heads)
         .repartition(*file)
         .sortWithinPartitions("src", "station_id", "month", "ord")
         .select("value", "src", "station_id")
-        .write.partitionBy("src", "station_id")
+        .write.mode("append")
+        .partitionBy("src", "station_id")
         .text(path)
     )
     return path

@@ -81,16 +81,23 @@ def merge_first_nonnull(spark, sf_dir):
 
 @query
 def union_sources(spark, sf_dir):
-    rows = adapters.observations(spark, sf_dir)
-    spec = rows.where("src = 0").drop("dominant_period")
-    txt = rows.where("src = 1")
-    drift = rows.where("src = 2").drop("average_period", "mean_wave_direction")
-    return merge.union_sources(spec, txt, drift).select("l_orderkey", "src", *KEY, *MEASURES)
+    """Three written source tables that lack different columns; each is read once."""
+    rows = adapters.observations(spark, sf_dir).select("l_orderkey", "src", *KEY, *MEASURES)
+    path = scratch_path(spark, "sources")
+    rows.write.partitionBy("src").parquet(path)
+    kept = {0: ["wave_height", "average_period", "mean_wave_direction"], 1: MEASURES, 2: ["wave_height", "dominant_period"]}
+    frames = [
+        spark.read.schema(rows.drop("src").schema).parquet(f"{path}/src={src}").select("l_orderkey", *KEY, *own).withColumn("src", F.lit(src))
+        for src, own in kept.items()
+    ]
+    return merge.union_sources(*frames).select("l_orderkey", "src", *KEY, *MEASURES)
 
 
 @query
 def single_frame_first(spark, sf_dir):
-    return merge.single_frame_first(adapters.events(spark, sf_dir), ["event_id"])
+    """Events of one user and day are one observation: the first value of each measure counts."""
+    rows = adapters.events(spark, sf_dir).withColumn("datetime", F.date_trunc("day", "datetime").cast("timestamp_ntz"))
+    return merge.single_frame_first(rows, ["event_id"])
 
 
 def _parsed(spark, sf_dir, layout):
@@ -138,10 +145,18 @@ def ingest_report(spark, sf_dir):
 
 @query
 def stream_ingest(spark, sf_dir):
+    """Two overlapping deliveries: the first lacks half of the rows and some wave heights, the second
+    brings all rows with other periods. What is stored stays; gaps are filled. Compacted after each."""
     log, offsets = scratch_path(spark, "log"), scratch_path(spark, "offsets")
-    landing = adapters.write_landing(spark, sf_dir)
-    for _ in range(2):  # the second run finds no new files
-        ingest.ingest_landing(spark, landing, log, offsets).awaitTermination()
+    rows = adapters.events(spark, sf_dir)
+    first = rows.where("event_id % 2 = 0").withColumn("wave_height", F.expr("case when event_id % 4 > 0 then wave_height end"))
+    second = rows.withColumn("average_period", F.col("average_period") + 100)
+    landing = None
+    for delivery in (first, second):
+        landing = adapters.write_landing(spark, sf_dir, delivery, landing)
+        for _ in range(2):  # the second run finds no new files
+            ingest.ingest_landing(spark, landing, log, offsets).awaitTermination()
+        ingest.compact(spark, log)
     return ingest.merged_observations(spark, log)
 
 
@@ -211,7 +226,8 @@ def station_insert_if_absent(spark, sf_dir):
     target = scratch_path(spark, "station-table")
     everyone = adapters.stations(spark, sf_dir)
     tables.insert_stations_if_absent(everyone.where("met"), target, dt.datetime(2024, 1, 1))
-    tables.insert_stations_if_absent(everyone, target, dt.datetime(2024, 2, 1))
+    twice = everyone.unionByName(everyone.withColumn("latitude", F.col("latitude") + 1))
+    tables.insert_stations_if_absent(twice, target, dt.datetime(2024, 2, 1))
     return tables.read_table(spark, target, STATION_TABLE)
 
 
@@ -234,10 +250,7 @@ def row_validation(spark, sf_dir):
             ),
         }
     )
-    good, rejects = quality.split_valid(rows)
-    return good.withColumn("accepted", F.lit(True)).unionByName(
-        rejects.withColumn("accepted", F.lit(False))
-    )
+    return quality.flag_valid(rows).withColumnRenamed("valid", "accepted")
 
 
 # --- consistency ------------------------------------------------------------------------
@@ -282,7 +295,7 @@ def consistency_popups(spark, sf_dir):
     rows = adapters.table(spark, sf_dir, "orders").selectExpr(
         "cast(o_custkey as string) as station_id",
         "o_orderdate as month",
-        "(o_custkey % 9) / 8.0D as consistency_score",
+        "least(1.0D, o_totalprice / 400000) as consistency_score",
         "cast(o_custkey % 90 as double) as latitude",
         "cast(o_orderkey % 180 as double) as longitude",
     )
@@ -305,6 +318,15 @@ def tertile_scores(spark, sf_dir):
     return quantiles.with_tertiles(rows, "o_totalprice", "consistency_label")
 
 
+@query
+def tertile_ties(spark, sf_dir):
+    """Nineteen different scores, and some that are NULL, NaN: many rows share each edge."""
+    score = "case when o_orderkey % 13 = 0 then null when o_orderkey % 17 = 0 then cast('NaN' as double) else o_custkey % 19 / 7.0D end"
+    rows = adapters.table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{score} as score")
+    labelled = quantiles.with_tertiles(rows, "score", "consistency_label")
+    return labelled.select("o_orderkey", "consistency_label")
+
+
 # --- read queries -----------------------------------------------------------------------
 
 
@@ -425,6 +447,21 @@ def lag_features_all_stations(spark, sf_dir):
     return lagged.lag_features(adapters.events(spark, sf_dir), per_station=False, complete=False)
 
 
+@query
+def lag_features_untidy(spark, sf_dir):
+    return lagged.lag_features(adapters.untidy_series(spark, sf_dir), complete=False)
+
+
+@query
+def lag_features_untidy_all(spark, sf_dir):
+    return lagged.lag_features(adapters.untidy_series(spark, sf_dir), per_station=False, bucket="year", complete=False)
+
+
+@query
+def latest_untidy(spark, sf_dir):
+    return lagged.latest_per_station(adapters.untidy_series(spark, sf_dir))
+
+
 @query
 def latest_per_station(spark, sf_dir):
     return lagged.latest_per_station(adapters.events(spark, sf_dir))
@@ -458,30 +495,38 @@ def impute_scale(spark, sf_dir):
 
 @query
 def sample_rows(spark, sf_dir):
-    return clustering.sample_rows(stored(spark, sf_dir))
+    return clustering.sample_rows(stored(spark, sf_dir), 2000)
+
+
+def regimes(spark, sf_dir):
+    return materialize(adapters.regimes(spark, sf_dir), "regimes")
 
 
 @query
 def kmeans_clusters(spark, sf_dir):
-    return clustering.cluster_observations(stored(spark, sf_dir), k=4)
+    """All rows with their cluster; the number of clusters is chosen."""
+    return clustering.cluster_observations(regimes(spark, sf_dir)).select("o_orderkey", "cluster")
+
+
+@query
+def kmeans_centres(spark, sf_dir):
+    found = clustering.cluster_observations(regimes(spark, sf_dir), k=5)
+    return found.groupBy("cluster").agg(F.count("*").alias("n"), *[F.round(F.avg(m), 6).alias(m) for m in MEASURES])
 
 
 @query
 def silhouette_by_k(spark, sf_dir):
-    obs = stored(spark, sf_dir)
+    """The chosen number of clusters and its silhouette."""
+    obs = regimes(spark, sf_dir)
     scaling = clustering.fit_scaling(obs)
-    scores = clustering.silhouettes(
-        clustering.sample_rows(scaling.apply(obs)), scaling.outputs
-    )
+    scores = clustering.silhouettes(scaling.apply(obs), scaling.outputs)
     best = clustering.best_k(scores)
-    return spark.createDataFrame(
-        [(k, s, k == best) for k, s in scores], "k int, silhouette double, chosen boolean"
-    )
+    return spark.createDataFrame([(k, round(s, 6)) for k, s in scores if k == best], "k int, silhouette double")
 
 
 @query
 def cluster_histogram(spark, sf_dir):
-    return clustering.cluster_histogram(clustering.cluster_observations(stored(spark, sf_dir), k=4))
+    return clustering.cluster_histogram(clustering.cluster_observations(regimes(spark, sf_dir), k=5))
 
 
 # --- stored tables ----------------------------------------------------------------------
@@ -494,7 +539,8 @@ def insert_if_absent(spark, sf_dir):
     tables.append_observations(rows.where(F.col("datetime") < instant(SPLIT)), target)
     again = rows.where(F.col("datetime") >= instant(SPLIT - dt.timedelta(days=400)))
     changed = again.withColumn("average_period", F.col("average_period") + 1000)
-    tables.insert_observations_if_absent(changed, target)
+    twice = changed.unionByName(changed.withColumn("average_period", F.col("average_period") + 1))
+    tables.insert_observations_if_absent(twice, target)
     return tables.read_observations(spark, target)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,14 +94,19 @@ def model_sampling(
     end: dt.datetime,
     params: Mapping[str, str] | None = None,
     interval_hours: int = 6,
+    geometry: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Wide samples at every spot, for the model runs between two instants."""
+    """Wide samples at every spot, for the model runs between two instants.
+
+    Fields that share a grid are searched once if `geometry` names the columns that tell grids
+    apart (none for one grid).
+    """
     spark = grid.sparkSession
     runs = grids.run_manifest(spark, start, end, interval_hours)
     wanted = grids.grid_values(grid).join(
         runs.withColumnRenamed("run_ts", "analysis_ts"), "analysis_ts", "left_semi"
     )
-    return nearest.swell_rows(nearest.nearest_grid_value(wanted, spots), params)
+    return nearest.swell_rows(nearest.nearest_grid_value(wanted, spots, geometry=geometry), params)
 
 
 def store_samples(samples: DataFrame, target: str) -> None:

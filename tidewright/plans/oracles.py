@@ -56,6 +56,20 @@ SPOT = """spot as (
     cast(n_nationkey * 14 % 360 - 180 as double) as lng
   from nation)"""
 
+UNTIDY = """untidy as (
+  select case when o_custkey % 20 > 0 then cast(o_custkey % 20 as varchar) end as station_id,
+    case when o_orderkey % 50 > 0 then cast(date_trunc('month', o_orderdate) as timestamp) end as datetime,
+    cast(o_orderkey as double) as wave_height, case when o_orderkey % 11 > 0 then o_totalprice end as dominant_period,
+    cast(o_custkey as double) as average_period, cast(o_orderkey % 360 as double) as mean_wave_direction
+  from orders)"""
+UNTIDY_ORDER = ", ".join(f"{m} nulls first" for m in M)
+
+REGIMES = """regimes as (
+  select cast(o_custkey % 50 as varchar) as station_id, o_orderkey, p,
+    p * 10 + o_totalprice % 1 as wave_height, p * 7 % 5 * 10 + (o_custkey % 10) / 10.0 as dominant_period,
+    p * 3 % 5 * 10 + (o_orderkey % 10) / 10.0 as average_period, p * 4 % 5 * 10 + (o_orderkey % 7) / 7.0 as mean_wave_direction
+  from (select *, cast(substr(o_orderpriority, 1, 1) as int) as p from orders) x)"""
+
 LOCATED = f"{OBS}, {ST}, located as (select obs.*, latitude, longitude from obs join st using (station_id))"
 
 
@@ -187,6 +201,17 @@ def _landing() -> str:
   from files group by 1, 2)"""
 
 
+def _delivery(name: str, where: str, height: str, period: str) -> str:
+    """The merged rows of landed files that hold the events in `where`."""
+    return f"""{EV}, {name} as (
+  select station_id, datetime, {", ".join(_first("src, event_id", c) for c in M)}
+  from (select station_id, date_trunc('minute', datetime) as datetime, event_id % 3 as src, event_id, {height} as wave_height,
+      case when event_id % 3 <> 0 then dominant_period end as dominant_period,
+      case when event_id % 3 <> 2 then {period} end as average_period,
+      case when event_id % 3 <> 2 then mean_wave_direction end as mean_wave_direction
+    from ev where {where}) x group by 1, 2)"""
+
+
 def _swell_columns(value: str, units: str) -> str:
     brand = {m: b for b, m in BRAND_PARAMS.items()}
     return ", ".join(
@@ -216,7 +241,7 @@ def all_oracles() -> dict[str, str]:
         + ", ".join(_first(ROW_ORDER, c) for c in M)
         + " from obs_src group by station_id, datetime",
         "union_sources": f"with {OBS_SRC} select l_orderkey, src, station_id, datetime, {', '.join(M)} from obs_src",
-        "single_frame_first": f"with {EV} select station_id, datetime, "
+        "single_frame_first": f"with {EV} select station_id, cast(date_trunc('day', datetime) as timestamp) as datetime, "
         + ", ".join(_first("event_id", c) for c in M)
         + " from ev group by 1, 2",
         "parse_txt_lines": _line(
@@ -231,7 +256,11 @@ def all_oracles() -> dict[str, str]:
             "cast(null as double) as LAT, cast(null as double) as LON, wave_height as WVHT, dominant_period as DPD"
         ),
         "landing_scan": f"with {_landing()} select * from landed",
-        "stream_ingest": f"with {_landing()} select * from landed",
+        "stream_ingest": f"""with {_delivery("first", "event_id % 2 = 0", "case when event_id % 4 > 0 then wave_height end", "average_period")},
+            {_delivery("second", "true", "wave_height", "average_period + 100").removeprefix(f"{EV}, ")}
+            select station_id, datetime, cast(null as double) as latitude, cast(null as double) as longitude,
+            {", ".join(f"coalesce(first.{c}, second.{c}) as {c}" for c in M)}
+            from second left join first using (station_id, datetime)""",
         "ingest_report": f"""with {EV} select station_id, count(*) filter (where event_id % 11 <> 0) as rows_ok,
             count(*) filter (where event_id % 11 = 0) as rows_failed,
             case when count(*) filter (where event_id % 11 <> 0) > 0 then 'processed' else 'empty' end as status
@@ -287,10 +316,9 @@ def all_oracles() -> dict[str, str]:
             strftime(o_orderdate, '%Y-%m') as month,
             case when s >= 0.8 then '#ff0000' when s >= 0.6 then '#ffff00' when s >= 0.4 then '#00ff00'
               when s >= 0.2 then '#00ffff' else '#4169e1' end as colour,
-            case o_custkey % 9 when 0 then '0.00' when 1 then '0.13' when 2 then '0.25' when 3 then '0.38'
-              when 4 then '0.50' when 5 then '0.63' when 6 then '0.75' when 7 then '0.88' else '1.00' end as score_text,
+            printf('%.2f', s) as score_text,
             (o_custkey % 90) || '.00' as latitude_text, (o_orderkey % 180) || '.00' as longitude_text
-            from (select *, (o_custkey % 9) / 8.0 as s from orders) x""",
+            from (select *, least(1.0, o_totalprice / 400000) as s from orders) x""",
         "score_join": f"""with {OBS}, monthly as (
             select station_id, {MONTH} as month, {", ".join(f"stddev_samp({m}) as {s}" for m, s in zip(M, STD))}
             from obs group by 1, 2)
@@ -301,6 +329,11 @@ def all_oracles() -> dict[str, str]:
             select o_orderkey, o_totalprice, case when o_totalprice <= e[1] then 'High Consistency'
               when o_totalprice <= e[2] then 'Medium Consistency' else 'Low Consistency' end as consistency_label
             from orders, edges""",
+        "tertile_ties": """with s as (select o_orderkey,
+              case when o_orderkey % 13 <> 0 and o_orderkey % 17 <> 0 then (o_custkey % 19) / 7.0 end as score from orders),
+            edges as (select quantile_cont(score, [1.0/3, 2.0/3]) as e from s)
+            select o_orderkey, case when score <= e[1] then 'High Consistency' when score <= e[2] then 'Medium Consistency'
+              when score is not null then 'Low Consistency' end as consistency_label from s, edges""",
         "wave_data_range": f"""with {EV} select station_id, datetime, {", ".join(M)} from ev
             where datetime between timestamp '2024-01-05' and timestamp '2024-01-20'""",
         "wave_data_station": f"""with {EV} select station_id, datetime, {", ".join(M)} from ev
@@ -343,6 +376,26 @@ def all_oracles() -> dict[str, str]:
             select * from lagged where {" and ".join(f"{m} is not null and {m}_lag1 is not null" for m in M)}""",
         "lag_features_all_stations": f"""with {EV} select station_id, datetime, {", ".join(M)},
             {", ".join(f"lag({m}) over (order by datetime, station_id) as {m}_lag1" for m in M)} from ev""",
+        "lag_features_untidy": f"""with {UNTIDY} select station_id, datetime, {", ".join(M)},
+            {", ".join(f"lag({m}) over (partition by station_id order by datetime nulls first, {UNTIDY_ORDER}) as {m}_lag1" for m in M)} from untidy""",
+        "lag_features_untidy_all": f"""with {UNTIDY} select station_id, datetime, {", ".join(M)},
+            {", ".join(f"lag({m}) over (order by datetime nulls first, station_id nulls first, {UNTIDY_ORDER}) as {m}_lag1" for m in M)} from untidy""",
+        "latest_untidy": f"""with {UNTIDY} select * from untidy qualify row_number() over (
+            partition by station_id order by datetime desc nulls last, {", ".join(f"{m} desc nulls last" for m in M)}) = 1""",
+        "sample_rows": f"with {MERGED} select * from merged order by md5(station_id || '|' || cast(datetime as varchar)) limit 2000",
+        "kmeans_clusters": f"with {REGIMES} select o_orderkey, p - 1 as cluster from regimes",
+        "kmeans_centres": f"""with {REGIMES} select p - 1 as cluster, count(*) as n,
+            {", ".join(f"round(avg({m}), 6) as {m}" for m in M)} from regimes group by 1""",
+        "cluster_histogram": f"with {REGIMES} select station_id, p - 1 as cluster, count(*) as n from regimes group by 1, 2",
+        "silhouette_by_k": f"""with {REGIMES}, z as (
+              select p, {", ".join(f"({m} - avg({m}) over ()) / stddev_pop({m}) over () as x{i}" for i, m in enumerate(M))} from regimes),
+            c as (select p as q, count(*) as n, {", ".join(f"avg(x{i}) as m{i}" for i in range(4))},
+              avg({" + ".join(f"x{i} * x{i}" for i in range(4))}) as s from z group by 1),
+            zz as (select row_number() over () as id, * from z),
+            d as (select id, p, q, n, {" + ".join(f"x{i} * x{i}" for i in range(4))} + s
+              - 2 * ({" + ".join(f"x{i} * m{i}" for i in range(4))}) as far from zz, c),
+            ab as (select id, max(case when p = q then far * n / (n - 1) end) as a, min(case when p <> q then far end) as b from d group by 1)
+            select 5 as k, round(avg(1 - a / b), 6) as silhouette from ab""",
         "latest_per_station": f"""with {EV} select * from ev
             qualify row_number() over (partition by station_id order by datetime desc) = 1""",
         "forecast_mse": f"""with {by_station}

@@ -33,30 +33,37 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
     return df
 
 
+def _ordered_bounds(texts: tuple[str, str], layout: str, shown: str) -> tuple[dt.datetime, dt.datetime]:
+    """Two instants from texts of one layout, the earlier one first."""
+    bounds = []
+    for text in texts:
+        try:
+            bounds.append(dt.datetime.strptime(text, layout))
+        except ValueError:
+            raise ValueError(f"{text!r} does not read as {shown}") from None
+    if bounds != sorted(bounds):
+        raise ValueError(f"the range {texts[0]} to {texts[1]} runs backwards")
+    return bounds[0], bounds[1]
+
+
 def validate_date_range(
     start_date: str, end_date: str, now: dt.datetime | None = None
 ) -> tuple[dt.datetime, dt.datetime]:
     """Bounds of a `YYYY-MM-DD` range; ValueError if it is malformed, reversed, too long or
     in the future. The end means 00:00 of that day, in UTC."""
-    now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    start, end = (dt.datetime.strptime(d, "%Y-%m-%d") for d in (start_date, end_date))
-    if end < start:
-        raise ValueError("End date must be after start date")
-    if end - start > MAX_RANGE:
-        raise ValueError(f"Date range cannot exceed {MAX_RANGE.days} days")
-    if end > now or start > now:
-        raise ValueError("End date cannot be in the future")
-    return start, end
+    first, last = _ordered_bounds((start_date, end_date), "%Y-%m-%d", "YYYY-MM-DD")
+    today = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    days = (last - first).days
+    if days > MAX_RANGE.days:
+        raise ValueError(f"{days} days asked for, {MAX_RANGE.days} are allowed")
+    if last > today:  # the start is not later than the end
+        raise ValueError(f"{end_date} has not begun yet")
+    return first, last
 
 
 def validate_month_range(start_month: str, end_month: str) -> tuple[dt.datetime, dt.datetime]:
-    try:
-        start, end = (dt.datetime.strptime(m, "%Y-%m") for m in (start_month, end_month))
-    except ValueError as error:
-        raise ValueError("Invalid month format. Use YYYY-MM.") from error
-    if start > end:
-        raise ValueError("Start month must be before end month.")
-    return start, end
+    """Bounds of a `YYYY-MM` range; ValueError if it is malformed or reversed."""
+    return _ordered_bounds((start_month, end_month), "%Y-%m", "YYYY-MM")
 
 
 def between_dates(

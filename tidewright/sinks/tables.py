@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,10 +35,17 @@ def is_path(target: str) -> bool:
 
 
 def table_exists(spark: SparkSession, target: str) -> bool:
+    """Whether a catalog table, or the folder of a path, is there."""
     if not is_path(target):
         return spark.catalog.tableExists(target)
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    try:
+        # a read checks its path while it is planned; no file is opened
+        spark.read.schema("_ int").parquet(target)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def create_table(
@@ -122,12 +130,15 @@ def insert_observations_if_absent(
 ) -> int:
     """Append the rows whose (station, datetime) is not stored; returns how many.
 
-    Of several rows for one key the first in `order` counts. Only the months the batch
-    touches are searched for stored keys.
+    Of several rows for one key the first in `order` counts, then in the order of the remaining
+    columns. Rows without a key are left out. Only the months the batch touches are searched
+    for stored keys. The batch is written down once, as it must not change between reading the
+    stored keys and appending to them.
     """
     spark = new.sparkSession
     columns = OBSERVATION.fieldNames()
-    batch = first_row(new.select(*dict.fromkeys([*columns, *order])), list(order)) if order else new
+    keyed = new.where(F.col("station_id").isNotNull() & F.col("datetime").isNotNull())
+    batch = first_row(keyed.select(*dict.fromkeys([*columns, *order])), list(order))
     batch = materialize(batch.select(*columns), "batch")
     first, last = batch.agg(F.min("datetime"), F.max("datetime")).first()
     if first is None:
@@ -138,12 +149,9 @@ def insert_observations_if_absent(
             & F.col("datetime").between(instant(first), instant(last))
         )
         batch = absent_rows(batch, known, KEY)
-    # The batch must not change between reading the stored keys and appending to them.
-    written = Observation("inserted")
-    fresh = materialize(batch.observe(written, F.count(F.lit(1)).alias("n")), "fresh")
-    n = written.get["n"]
+    n = batch.count()  # reads the keys only
     if n:
-        append_observations(fresh, target)
+        append_observations(batch, target)
     return n
 
 
@@ -194,12 +202,14 @@ def upsert_stations(incoming: DataFrame, target: str, as_of: dt.datetime) -> Non
 
 
 def insert_stations_if_absent(incoming: DataFrame, target: str, as_of: dt.datetime) -> None:
-    """Add the stations whose id is not stored; stored ones stay as they are."""
+    """Add the stations whose id is not stored; stored ones stay as they are.
+
+    Of several rows for one id the first by latitude, then longitude, counts; rows without id are left out.
+    """
     spark = incoming.sparkSession
     now = instant(as_of)
-    rows = incoming.select("station_id", "latitude", "longitude").withColumns(
-        {"created_at": now, "updated_at": now}
-    )
+    rows = incoming.where(F.col("station_id").isNotNull()).select("station_id", "latitude", "longitude")
+    rows = first_row(rows, [], ["station_id"]).withColumns({"created_at": now, "updated_at": now})
     if table_exists(spark, target):
         rows = absent_rows(rows, read_table(spark, target, STATION_TABLE), ["station_id"])
     append(materialize(rows, "stations"), target)

@@ -44,7 +44,7 @@ CANONICAL_FIELD = {
 HEADER = r"(?i)^(yy|yr|year)\s"
 
 # Order of rows that carry the same (station, timestamp); see `scan_buoy_files`.
-ORDER = ["file_order", "line_order"]
+ORDER = ["file_order", "file_path", "block_start", "line_order"]
 
 _FIELDS = "_fields"
 
@@ -166,11 +166,11 @@ def parse_observations(lines: DataFrame, layout: str | None = None) -> DataFrame
     )
 
 
-def _lines(reader, path: str) -> DataFrame:
+def _lines(reader, path: str, skip_corrupt: bool = False) -> DataFrame:
     raw = (
         reader.option("recursiveFileLookup", True)
         .option("ignoreMissingFiles", True)
-        .option("ignoreCorruptFiles", True)
+        .option("ignoreCorruptFiles", skip_corrupt)
         .option("pathGlobFilter", "*.{txt,spec,drift}")
         .text(path)
     )
@@ -184,31 +184,41 @@ def _lines(reader, path: str) -> DataFrame:
     priority = F.lit(None).cast("bigint")
     for name, rank in SOURCE_PRIORITY.items():
         priority = F.when(src == name, rank).otherwise(priority)
-    # Layout first, then file age.
-    file_order = F.shiftleft(priority, 56) + F.unix_micros(F.col("_metadata.file_modification_time"))
+    # Layout first, then file age; a layout that is not known sorts last and has no valid rows.
+    last = F.lit(max(SOURCE_PRIORITY.values()) + 1)
+    age = F.unix_micros(F.col("_metadata.file_modification_time"))
     return raw.select(
         "value",
         station.alias("station_id"),
         src.alias("src"),
-        file_order.alias("file_order"),
+        (F.shiftleft(F.coalesce(priority, last).cast("bigint"), 56) + age).alias("file_order"),
+        file.alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
-    ).where(F.col("file_order").isNotNull())
+    )
 
 
 def with_line_order(lines: DataFrame) -> DataFrame:
-    """Number the lines of each file; apply to scanned lines before any shuffle.
+    """Number the lines; apply to scanned lines before any shuffle.
+
+    One task reads a split of a file from its start to its end, so within a file and a
+    `block_start` the running number of the task follows the lines, whatever else it reads.
+    """
+    return lines.withColumn("line_order", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+
+
+def scan_buoy_lines(spark: SparkSession, path: str, skip_corrupt: bool = False) -> DataFrame:
+    """Raw lines of a landing folder with station, layout and row order.
 
-    The split's offset in the file (in steps of 64 KiB) comes first, then the row number
-    within the task that reads the split.
+    A file that cannot be read stops the scan. With `skip_corrupt` the scan goes on without the
+    rest of such a file; `landed_files` then tells which files gave no rows.
     """
-    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    split = F.floor(F.col("block_start") / 65536).cast("bigint")
-    return lines.withColumn("line_order", F.shiftleft(split, 33) + in_task).drop("block_start")
+    return with_line_order(_lines(spark.read, path, skip_corrupt))
 
 
-def scan_buoy_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Raw lines of a landing folder with station, layout and row order."""
-    return with_line_order(_lines(spark.read, path))
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """`file_path`, `bytes` of every file of a landing folder, whatever its layout."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return listed.select(F.col("path").alias("file_path"), F.col("length").alias("bytes"))
 
 
 def stream_buoy_lines(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -219,13 +229,13 @@ def stream_buoy_lines(spark: SparkSession, path: str, max_files: int | None = No
     return _lines(reader, path)
 
 
-def scan_buoy_files(spark: SparkSession, path: str) -> DataFrame:
+def scan_buoy_files(spark: SparkSession, path: str, skip_corrupt: bool = False) -> DataFrame:
     """All files of a landing folder as observation rows with `valid` and a total row order.
 
-    `file_order`, `line_order` order the rows that share a (station, timestamp) in the same
-    way for any partitioning: spec before txt before drift, older file first, then file order.
+    The columns of `ORDER` order the rows that share a (station, timestamp) in the same way for any
+    partitioning: spec before txt before drift, older file first, then path and place in the file.
     """
-    return parse_observations(scan_buoy_lines(spark, path))
+    return parse_observations(scan_buoy_lines(spark, path, skip_corrupt))
 
 
 def render_lines(obs: DataFrame, layout: str) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewright.operators.merge import first_non_null
 from tidewright.schemas import KEY, MEASURES, OBSERVATION, POSITION
 from tidewright.session import materialize
-from tidewright.sinks.tables import MONTH, append_observations, by_month, table_exists
+from tidewright.sinks.tables import MONTH, by_month, table_exists
 from tidewright.sources.buoy_text import (
     ORDER,
     parse_observations,
@@ -37,6 +37,10 @@ LOG = T.StructType(
     OBSERVATION.fields + [T.StructField(BATCH, T.LongType()), T.StructField(MONTH, T.StringType())]
 )
 
+# A compacted state has the rows of all batches up to the one it is named by.
+UPTO = "upto"
+STATES = T.StructType(OBSERVATION.fields + [T.StructField(UPTO, T.LongType()), T.StructField(MONTH, T.StringType())])
+
 
 def batch_observations(lines: DataFrame) -> DataFrame:
     """Lines of one micro-batch to one row per (station, datetime)."""
@@ -65,8 +69,8 @@ def store_batch(lines: DataFrame, batch_id: int, log: str) -> None:
     spark = lines.sparkSession
     rows = materialize(batch_observations(lines), "batch")
     if table_exists(spark, log):
-        months = [r[0] for r in by_month(rows).select(MONTH).distinct().collect()]
-        earlier = read_log(spark, log).where((F.col(BATCH) < batch_id) & F.col(MONTH).isin(months))
+        months = by_month(rows).agg(F.min(MONTH), F.max(MONTH)).first()
+        earlier = read_log(spark, log).where((F.col(BATCH) < batch_id) & F.col(MONTH).between(*months))
         rows = news(rows, earlier)
     by_month(rows).hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(
         f"{log}/{BATCH}={batch_id}"
@@ -86,8 +90,19 @@ def ingest_landing(
     )
 
 
+def _compacted(log: str) -> str:
+    return f"{log.rstrip('/')}-compacted"
+
+
 def read_log(spark: SparkSession, log: str) -> DataFrame:
-    return spark.read.schema(LOG).parquet(log)
+    """The last compacted state and the batches after it."""
+    later = spark.read.schema(LOG).parquet(log)
+    if not table_exists(spark, _compacted(log)):
+        return later
+    states = spark.read.schema(STATES).parquet(_compacted(log))
+    upto = states.agg(F.max(UPTO)).first()[0]
+    state = states.where(F.col(UPTO) == upto).withColumn(BATCH, F.col(UPTO)).drop(UPTO)
+    return state.unionByName(later.where(F.col(BATCH) > upto))
 
 
 def merged_observations(spark: SparkSession, log: str) -> DataFrame:
@@ -95,6 +110,14 @@ def merged_observations(spark: SparkSession, log: str) -> DataFrame:
     return first_non_null(read_log(spark, log), [BATCH])
 
 
-def compact(spark: SparkSession, log: str, target: str) -> None:
-    """Write the merged log as an observation table of its own, by month."""
-    append_observations(merged_observations(spark, log), target)
+def compact(spark: SparkSession, log: str) -> None:
+    """Write the merged log as one state; reads take it instead of the batches up to its last one.
+
+    Repeating it changes nothing. Batches and states that a newer state replaces are no longer read
+    and may be expired by age. Call it between runs of the ingest, not during one.
+    """
+    last = read_log(spark, log).agg(F.max(BATCH)).first()[0]
+    if last is None or table_exists(spark, f"{_compacted(log)}/{UPTO}={last}"):
+        return
+    state = by_month(merged_observations(spark, log)).hint("rebalance", MONTH)
+    state.write.mode("overwrite").partitionBy(MONTH).parquet(f"{_compacted(log)}/{UPTO}={last}")
