@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import text_or_empty
+from tidewright.llm.windows import slices
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: A space between two visible ASCII characters.
@@ -204,15 +205,3 @@ def encode_documents(
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return rows.mapInArrow(work, schema).withColumnRenamed("id", id_col)
-
-
-def slices(texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about `chars` together, so that memory does not follow the batch size."""
-    start = total = 0
-    for i, text in enumerate(texts):
-        total += len(text)
-        if total >= chars:
-            yield start, i + 1
-            start, total = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)

@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.bpe import slices
 from tidewright.llm.quality import STOP_WORDS
+from tidewright.llm.windows import slices
 
 TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",

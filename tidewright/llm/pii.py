@@ -136,9 +136,7 @@ def scored_patterns(found: DataFrame, text_words: DataFrame, rounds: int = ROUND
             F.sum(F.col("n") * F.col("worth")).alias("hits"), F.sum((F.col("worth") >= CREDIBLE).cast("int")).alias("values")
         )
         patterns = patterns.where(F.col("values") >= support).join(induced, ["kind", "word"])
-        patterns = staged(
-            patterns.select("kind", "word", F.least(F.lit(1.0), F.col("hits") / F.col("total")).alias("credit")), "patterns"
-        )
+        patterns = patterns.select("kind", "word", F.least(F.lit(1.0), F.col("hits") / F.col("total")).alias("credit"))
         doubt = F.sum(F.log(F.greatest(1.0 - F.col("credit"), F.lit(1e-9))))
         values = edges.where("not seed").join(patterns, ["kind", "word"]).groupBy("kind", "value").agg((1.0 - F.exp(doubt)).alias("belief"))
         worth = edges.join(values, ["kind", "value"], "left").withColumn(

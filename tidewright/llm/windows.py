@@ -1,4 +1,4 @@
-"""Rolling hashes of word windows, computed over whole batches of texts at once."""
+"""Batches of texts in runs of bounded size, and rolling hashes of their word windows."""
 
 from __future__ import annotations
 
@@ -73,6 +73,18 @@ def word_slices(texts: Iterable[str], most: int) -> Iterator[tuple[int, list[lis
         yield start, run
 
 
+def slices(texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about `chars` together, so that memory does not follow the batch size."""
+    start = total = 0
+    for i, text in enumerate(texts):
+        total += len(text)
+        if total >= chars:
+            yield start, i + 1
+            start, total = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def pack(values: np.ndarray) -> bytes:
     """Unsigned 64-bit values as byte planes; planes of zeros at the top are left out."""
     planes = np.ascontiguousarray(values, dtype="<u8").view(np.uint8).reshape(-1, 8).T
