@@ -9,7 +9,7 @@ import random
 
 import numpy as np
 import pytest
-from llm_helpers import make_docs
+from llm_helpers import make_docs, no_docs, odd_docs  # noqa: F401
 from pyspark.sql import functions as F
 
 from tidewright.llm import ann, chat, jaccard_join, mixing, pii, quality, queries, substring_dedup

@@ -10,7 +10,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from llm_helpers import make_docs
+from llm_helpers import make_docs, no_docs, odd_docs  # noqa: F401
 from tidewright.llm import bpe, html_text, pii, quality, secrets
 
 PROSE = "the river of the north is wide and it was cold in the morning when they came to the old town by the bridge"
