@@ -17,8 +17,9 @@ from tidewright.schemas import KEY, MEASURES
 
 # Size of a sample where the caller asks for one without saying how large.
 SAMPLE_ROWS = 60_000
-# Partitions that K-means starts from: fixed, so that its random start does not follow the cluster.
-PARTS = 64
+# Rows of a partition that K-means starts from. The number of partitions follows from the rows alone, so
+# that its random start does not depend on the session.
+PART_ROWS, LEAST_PARTS = 100_000, 8
 CLUSTER_RANGE = range(3, 8)
 SEED = 42
 
@@ -86,13 +87,14 @@ def _vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fixed_layout(scaled: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The vectors in a fixed number of partitions by value, sorted: the same for any session and input.
+    """The vectors in partitions by value, sorted: the same for any session and order of the rows.
 
     The scaling may differ in the last digits with the order of its sums, so values are rounded to
     find their place.
     """
     places = [F.round(c, 6) for c in columns]
-    points = scaled.select(*columns).repartition(PARTS, *places).sortWithinPartitions(*places)
+    parts = max(LEAST_PARTS, math.ceil(scaled.count() / PART_ROWS))
+    points = scaled.select(*columns).repartition(parts, *places).sortWithinPartitions(*places)
     return _vectors(points, columns).select("features")
 
 

@@ -29,6 +29,8 @@ from tidewright.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
+# Where the labelled months of a session and scale are stored.
+_TRENDS: dict[tuple[str, str], str] = {}
 
 # Fixed instants, so that results do not depend on the clock.
 AS_OF = dt.datetime(2024, 1, 30, 12)
@@ -196,6 +198,25 @@ def station_coverage(spark, sf_dir):
     return enrich.station_coverage(listed, everyone.where("met"))
 
 
+@query
+def station_refresh(spark, sf_dir):
+    """The refresh job on a written catalogue, twice: what the station table holds."""
+    target = scratch_path(spark, "station-table")
+    catalogue_path = adapters.write_catalogue(spark, sf_dir)
+    for when in (dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)):
+        jobs.station_refresh(spark, catalogue_path, target, when)
+    return tables.read_table(spark, target, STATION_TABLE)
+
+
+@query
+def coverage_job(spark, sf_dir):
+    """Which stations of a written catalogue the refreshed station table has."""
+    target = scratch_path(spark, "station-table")
+    catalogue_path = adapters.write_catalogue(spark, sf_dir)
+    jobs.station_refresh(spark, catalogue_path, target, dt.datetime(2024, 1, 1))
+    return jobs.coverage_job(spark, catalogue_path, target)
+
+
 @query
 def distinct_stations(spark, sf_dir):
     return enrich.distinct_stations(adapters.observations(spark, sf_dir))
@@ -278,15 +299,25 @@ def consistency_labels(spark, sf_dir):
     return rounded(rounded(trends(spark, sf_dir), 6, *STD_COLUMNS), 4, "consistency_score")
 
 
+def trends_table(spark, sf_dir):
+    """The table that the labelling job leaves, which the read queries look into: written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRENDS:
+        target = scratch_path(spark, "trends")
+        queries.store_consistency(trends(spark, sf_dir), target)
+        _TRENDS[key] = target
+    return queries.stored_consistency(spark, _TRENDS[key])
+
+
 @query
 def consistency_feed(spark, sf_dir):
-    rows = queries.consistency(trends(spark, sf_dir), "1996-03", "1997-10")
+    rows = queries.consistency(trends_table(spark, sf_dir), "1996-03", "1997-10")
     return rounded(rows, 4, "consistency_score")
 
 
 @query
 def consistency_map(spark, sf_dir):
-    return queries.consistency_map(trends(spark, sf_dir))
+    return queries.consistency_map(trends_table(spark, sf_dir))
 
 
 @query
@@ -402,6 +433,15 @@ def decode_values(spark, sf_dir):
     return jobs.satellite_decode(raw).select("p_partkey", "value")
 
 
+@query
+def grid_scan(spark, sf_dir):
+    """The grid as a stored table, read by its scan."""
+    path = scratch_path(spark, "grid")
+    adapters.grid(spark, sf_dir).write.parquet(path)
+    found = grids.grid_metadata(grids.scan_grid(spark, path))
+    return found.select("param", "units", "grid_idx", "lat", "lon", "value", "data_date", "data_time", "forecast_time")
+
+
 @query
 def param_listing(spark, sf_dir):
     return grids.available_parameters(adapters.grid(spark, sf_dir))
@@ -562,6 +602,18 @@ def partition_rewrite(spark, sf_dir):
     )
 
 
+@query
+def asset_metadata(spark, sf_dir):
+    """What the sink reports of each write."""
+    base = scratch_path(spark, "assets")
+    rows = materialize(observation_table(spark, sf_dir), "obs")
+    found = []
+    for key, part in (("199806", rows.where(F.col("datetime") < instant(SPLIT))), ("200112", rows), ("200201", rows.where("false"))):
+        written = tables.write_asset(part, "raw_buoy_data", base, RUN_AS_OF, key)
+        found.append((written["table"], written["partition"], written["row_count"], len(written["columns"])))
+    return spark.createDataFrame(found, "table string, partition string, row_count long, n_columns int")
+
+
 @query
 def asset_reload(spark, sf_dir):
     return tables.load_asset(spark, "raw_buoy_data", _written_assets(spark, sf_dir), "199806")
@@ -571,8 +623,8 @@ def asset_reload(spark, sf_dir):
 def result_replace(spark, sf_dir):
     target = scratch_path(spark, "trends")
     rows = trends(spark, sf_dir)
-    tables.replace(rows, target)
-    tables.replace(rows, target)
+    for _ in range(2):
+        queries.store_consistency(rows, target)
     return rounded(rounded(queries.load_consistency(spark, target), 6, *STD_COLUMNS), 4, "consistency_score")
 
 

@@ -57,7 +57,7 @@ def station_refresh(spark: SparkSession, catalogue_path: str, target: str, as_of
 
 def consistency_labelling(spark: SparkSession, observations: str, target: str) -> None:
     obs = tables.read_observations(spark, observations)
-    tables.replace(consistency.consistency_trends(obs), target)
+    queries.store_consistency(consistency.consistency_trends(obs), target)
 
 
 def cluster_job(spark: SparkSession, observations: str, target: str, k: int | None = None) -> DataFrame:

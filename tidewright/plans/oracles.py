@@ -356,6 +356,17 @@ def all_oracles() -> dict[str, str]:
             {_SWELL_TAIL} from nearest group by name, country, spot_lat, spot_lng""",
         "decode_values": """select p_partkey, case when p_size % 3 = 0 then null
             else p_retailprice * case when p_size % 5 <> 0 then cast(p_size as double) else 1 end end as value from part""",
+        "grid_scan": f"""with {GRID} select param, units, grid_idx, lat, lon, value, '20241022' as data_date, '0000' as data_time,
+            '0 hours' as forecast_time from grid""",
+        "station_refresh": f"""with {ST} select station_id, latitude, longitude, timestamp '2024-01-01' as created_at,
+            timestamp '2024-01-01' as updated_at from st where met""",
+        "coverage_job": f"""with {ST} select station_id, latitude, longitude,
+            case when met then 'with_met' else 'without_met' end as coverage from st""",
+        "asset_metadata": f"""with {TABLE}, n as (select count(*) as everything,
+            count(*) filter (where datetime < timestamp '1998-07-01') as early from obs_table)
+            select 'wave_data_raw_buoy_data' as "table", '199806' as "partition", early as row_count, 11 as n_columns from n
+            union all select 'wave_data_raw_buoy_data', '200112', everything, 11 from n
+            union all select 'wave_data_raw_buoy_data', '200201', 0, 11 from n""",
         "param_listing": f"with {GRID} select param, count(*) as n_values from grid group by 1",
         "run_manifest": f"""with {EV}, bounds as (
             select station_id, time_bucket(interval 6 hours, min(datetime), timestamp '2000-01-01') as a,

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewright.functions.columns import (
     instant,
@@ -18,7 +19,7 @@ from tidewright.functions.columns import (
     utc,
 )
 from tidewright.schemas import CONSISTENCY, MEASURES, OBSERVATION, SHORT_NAMES, STATION
-from tidewright.sinks.tables import MONTH, read_table
+from tidewright.sinks.tables import MONTH, MONTH_FORMAT, read_table, replace
 
 MAX_RANGE = dt.timedelta(days=31)
 
@@ -122,6 +123,8 @@ def consistency(
 ) -> DataFrame:
     """Scored stations of a month range, both months included."""
     start, end = validate_month_range(start_month, end_month)
+    if MONTH in trends.columns:
+        trends = trends.where(F.col(MONTH).between(start.strftime("%Y%m"), end.strftime("%Y%m")))
     rows = trends.where(
         F.col("month").between(instant(start), instant(end)) & is_finite("consistency_score")
     ).select(
@@ -170,5 +173,15 @@ def ordered_series(obs: DataFrame) -> DataFrame:
     return lower_names(rows).orderBy("datetime")
 
 
+def store_consistency(trends: DataFrame, target: str) -> None:
+    """Write the trends anew, by month, so that a range of months is a range of folders."""
+    replace(trends.withColumn(MONTH, F.date_format("month", MONTH_FORMAT)), target, [MONTH])
+
+
+def stored_consistency(spark: SparkSession, target: str) -> DataFrame:
+    """The stored trends with their month folder column."""
+    return read_table(spark, target, T.StructType([*CONSISTENCY.fields, T.StructField(MONTH, T.StringType())]))
+
+
 def load_consistency(spark: SparkSession, target: str) -> DataFrame:
-    return read_table(spark, target, CONSISTENCY)
+    return stored_consistency(spark, target).select(*CONSISTENCY.fieldNames())
