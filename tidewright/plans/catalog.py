@@ -150,7 +150,7 @@ def stream_ingest(spark, sf_dir):
     """Two overlapping deliveries: the first lacks half of the rows and some wave heights, the second
     brings all rows with other periods. What is stored stays; gaps are filled. Compacted after each."""
     log, offsets = scratch_path(spark, "log"), scratch_path(spark, "offsets")
-    rows = adapters.events(spark, sf_dir)
+    rows = adapters.landed_events(spark, sf_dir)
     first = rows.where("event_id % 2 = 0").withColumn("wave_height", F.expr("case when event_id % 4 > 0 then wave_height end"))
     second = rows.withColumn("average_period", F.col("average_period") + 100)
     landing = None
@@ -633,7 +633,7 @@ def daily_asset(spark, sf_dir):
     """The whole daily job on landed files: what it stored for the last day."""
     landing = adapters.write_landing(spark, sf_dir)
     stations, obs, assets = (scratch_path(spark, p) for p in ("stations", "obs", "assets"))
-    ids = adapters.events(spark, sf_dir).select("station_id").distinct()
+    ids = adapters.landed_events(spark, sf_dir).select("station_id").distinct()
     placed = ids.selectExpr(
         "station_id",
         "cast(cast(station_id as bigint) % 90 as double) as latitude",

@@ -36,6 +36,8 @@ EV = """ev as (
     cast(event_id % 360 as double) as mean_wave_direction, event_id
   from events)"""
 
+LANDED = EV.replace("cast(user_id as varchar)", "cast(user_id % 97 as varchar)")
+
 ST = """st as (
   select cast(s_suppkey as varchar) as station_id,
     cast(s_suppkey * 37 % 180 - 90 as double) as latitude,
@@ -190,7 +192,7 @@ def _line(columns: str) -> str:
 
 
 def _landing() -> str:
-    return f"""{EV}, files as (
+    return f"""{LANDED}, files as (
   select station_id, date_trunc('minute', datetime) as datetime, event_id % 3 as src, event_id,
     wave_height, case when event_id % 3 <> 0 then dominant_period end as dominant_period,
     case when event_id % 3 <> 2 then average_period end as average_period,
@@ -203,7 +205,7 @@ def _landing() -> str:
 
 def _delivery(name: str, where: str, height: str, period: str) -> str:
     """The merged rows of landed files that hold the events in `where`."""
-    return f"""{EV}, {name} as (
+    return f"""{LANDED}, {name} as (
   select station_id, datetime, {", ".join(_first("src, event_id", c) for c in M)}
   from (select station_id, date_trunc('minute', datetime) as datetime, event_id % 3 as src, event_id, {height} as wave_height,
       case when event_id % 3 <> 0 then dominant_period end as dominant_period,
@@ -257,7 +259,7 @@ def all_oracles() -> dict[str, str]:
         ),
         "landing_scan": f"with {_landing()} select * from landed",
         "stream_ingest": f"""with {_delivery("first", "event_id % 2 = 0", "case when event_id % 4 > 0 then wave_height end", "average_period")},
-            {_delivery("second", "true", "wave_height", "average_period + 100").removeprefix(f"{EV}, ")}
+            {_delivery("second", "true", "wave_height", "average_period + 100").removeprefix(f"{LANDED}, ")}
             select station_id, datetime, cast(null as double) as latitude, cast(null as double) as longitude,
             {", ".join(f"coalesce(first.{c}, second.{c}) as {c}" for c in M)}
             from second left join first using (station_id, datetime)""",
