@@ -280,6 +280,35 @@ def test_page_without_article():
     assert "cookies" not in html_text.main_text(page) and "Links" not in html_text.main_text(page)
 
 
+LONG_TEXT = "This is the long {} paragraph of the text that is on the page and it has many words in it."
+
+
+def test_teasers_and_comments_give_way_to_the_text_beside_them():
+    text = "".join(f"<p>{LONG_TEXT.format(n)}</p>" for n in ("first", "second"))
+    teaser = "<article><h3><a href=/{0}>Story {0}</a></h3><p>What is in the other story of the day. <a href=/{0}>More</a></p></article>"
+    comment = "<article class='comment'><p>That is the best text of all that I have read on the page.</p></article>"
+    page = f"<body><div><h2>Heading</h2>{text}</div>{teaser.format(1)}{teaser.format(2)}{comment}</body>"
+    assert html_text.main_text(page) == "\n".join(["Heading", LONG_TEXT.format("first"), LONG_TEXT.format("second")])
+
+
+def test_link_lists_inside_the_main_part_go():
+    links = "".join(f"<li><a href=/{i}>Link {i}</a></li>" for i in range(4))
+    page = f"<main><h1>Heading</h1><p>{LONG_TEXT.format('only')}</p><ul>{links}</ul></main>"
+    assert html_text.main_text(page) == f"Heading\n{LONG_TEXT.format('only')}"
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "post tag-news", "sidebar", "banner"])
+def test_class_hints_are_whole_names_and_end_at_an_article(name):
+    page = f"<body><div class='{name}'><article><p>{LONG_TEXT.format('only')}</p></article></div></body>"
+    assert html_text.main_text(page) == LONG_TEXT.format("only")
+
+
+@pytest.mark.parametrize("name", ["comments", "related", "cookie-notice", "site-footer"])
+def test_parts_with_a_class_hint_go(name):
+    page = f"<body><p>{LONG_TEXT.format('only')}</p><div class='{name}'><p>{LONG_TEXT.format('other')}</p></div></body>"
+    assert html_text.main_text(page) == LONG_TEXT.format("only")
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "<p>a", "a</p></div>b", "<script>x", "<!-- x", "<a b='c>d", "&#0; &bogus; &#x110000;", "<" * 3000])
 def test_broken_pages_do_not_crash(page):
     assert isinstance(html_text.main_text(page), str)

@@ -1,9 +1,10 @@
 """Main text of web pages by two-pass block rules.
 
-A page is cut into blocks of text. The first pass decides what it can from each block alone: its
-place (an article, or a menu, form, advert and the like), its link density, its length and its
-density of function words. What stays open, mostly short blocks, gets in the second pass the label
-of the nearest decided blocks on either side.
+A page is cut into blocks of text. Menus, forms, adverts and the like are skipped. The first pass
+decides what it can from each other block alone, inside an article or not: its link density, its
+length and its density of function words. What stays open, mostly short blocks, gets in the second
+pass the label of the nearest decided blocks on either side; being in an article counts there, and
+teasers give way to the text beside them.
 """
 
 from __future__ import annotations
@@ -38,12 +39,22 @@ BLOCKS = frozenset(
 #: Elements that end when the next one of their kind, or a block, begins.
 CLOSES = {"p": "p", "li": "li", "dt": "dd", "dd": "dt", "tr": "tr", "td": "td", "th": "th", "option": "option"}
 HINT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|"
-    r"nav\w*|menu\w*|breadcrumbs?|sidebar|side-?bar|widget|comments?|comment-?list|disqus|respond|repl(?:y|ies)|related|recommended|"
+    r"ads?|advert\w*|banners?|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|"
+    r"nav\w*|menu\w*|breadcrumbs?|sidebar|side-?bar|widgets?|comments?|commentlist|disqus|respond|repl(?:y|ies)|related|recommended|"
     r"share|sharing|social|newsletter|subscribe|signup|login|search|pagination|pager|footer|masthead|toolbar|skip-?link|"
-    r"copyright|legal|disclaimer|tags?)(?:$|[\s_-])",
+    r"copyright|legal|disclaimer|tags?",
     re.IGNORECASE,
 )
+#: Parts of a class name that may stand beside a hint. Others, as in has-sidebar or tag-news, speak of something else.
+BESIDE = re.compile(
+    r"site|page|post|entry|main|global|primary|secondary|top|bottom|left|right|side|first|last|box|bar|block|wrap|wrapper|inner|outer|"
+    r"container|content|body|area|section|group|list|items?|links?|slot|unit|zone|col|column|row|text|form|thread|panel|buttons?|icons?|message|js|\d+",
+    re.IGNORECASE,
+)
+#: Hints of parts that may be lists of articles; an article inside does not end them, as it ends others.
+LISTS = re.compile(
+    r"ads?|advert\w*|sponsor\w*|promo\w*|widgets?|comments?|commentlist|disqus|respond|repl(?:y|ies)|related|recommended", re.IGNORECASE
+)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 STOPS = frozenset(STOP_WORDS)
@@ -51,25 +62,33 @@ STOPS = frozenset(STOP_WORDS)
 LONG, SHORT = 70, 25
 STOPS_HIGH, STOPS_LOW = 0.25, 0.10
 LINKS_HIGH = 0.5
+#: Characters up to which an article with a link may be a teaser.
+TEASER = 300
 
 
 @dataclass
 class Block:
-    """Text of one block, the characters of it in links, whether it is a heading, and its place:
-    True in an article, False in a part that is never main text, None elsewhere."""
+    """Text of one block, the characters of it in links, whether it is a heading, its place (True in
+    an article, False in a part that is never main text, None elsewhere), and which article of the page."""
 
     text: str
     link_chars: int
     heading: bool
     place: bool | None
+    article: int = 0
+
+    @property
+    def linked(self) -> bool:
+        return self.link_chars > LINKS_HIGH * len(self.text)
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order. Unclosed and stray tags are taken as browsers do."""
     out: list[Block] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool | None]] = []  # open elements and the place inside them
-    links = link_chars = breaks = 0
+    # open elements, the place inside them, whether an article would end it, and the article they are in
+    stack: list[tuple[str, bool | None, bool, int]] = []
+    links = link_chars = breaks = articles = 0
     heading = False
     place: bool | None = None
 
@@ -77,7 +96,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal link_chars, heading, breaks
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, link_chars, heading, place))
+            out.append(Block(text, link_chars, heading, place, stack[-1][3] if stack else 0))
         parts.clear()
         link_chars, heading, breaks = 0, False, 0
 
@@ -114,7 +133,7 @@ def blocks(page: str) -> list[Block]:
         if name in VOID:
             continue
         if closing:
-            if any(name == n for n, _ in stack):
+            if any(name == n for n, *_ in stack):
                 while stack.pop()[0] != name:
                     pass
         else:
@@ -122,88 +141,122 @@ def blocks(page: str) -> list[Block]:
                 for open_name in {"p", name if CLOSES.get(name) else "p", CLOSES.get(name, "p")}:
                     if stack and stack[-1][0] == open_name:
                         stack.pop()
-            above = stack[-1][1] if stack else None
-            stack.append((name, _place(name, m[3] or m[6] or "", above)))
+            _, above, soft, article = stack[-1] if stack else ("", None, False, 0)
+            articles += name == "article"
+            stack.append((name, *_place(name, m[3] or m[6] or "", above, soft), articles if name == "article" else article))
         place = stack[-1][1] if stack else None
-        links = sum(n == "a" for n, _ in stack) if name == "a" or closing else links
+        links = sum(n == "a" for n, *_ in stack) if name == "a" or closing else links
         if re.fullmatch("h[1-6]", name):
             heading = not closing
     flush()
     return out
 
 
-def _place(name: str, attributes: str, above: bool | None) -> bool | None:
-    """The place inside an element that opens in the place `above`."""
-    if above is False or name in ASIDE or (name == "header" and above is None):
-        return False
-    if attributes and name not in ("a", "html", "body"):
-        found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)}
-        hints = f"{found.get('class', '')} {found.get('id', '')}"
-        if HINT.search(hints) and name not in MAIN:
-            return False
+def _hints(names: str) -> list[str]:
+    """The hints in class names and ids, each name taken as a whole."""
+    found = []
+    for name in names.split():
+        parts = [name] if HINT.fullmatch(name) else re.split(r"[_-]+", name.strip("_-"))
+        hints = [p for p in parts if HINT.fullmatch(p)]
+        if hints and all(HINT.fullmatch(p) or BESIDE.fullmatch(p) for p in parts):
+            found += hints
+    return found
+
+
+def _place(name: str, attributes: str, above: bool | None, soft: bool) -> tuple[bool | None, bool]:
+    """The place inside an element that opens in the place `above`, and whether a main text inside ends it.
+    `soft`: whether this element may end the place above."""
+    found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)} if attributes else {}
+    main = name in MAIN or found.get("role", "").lower() in MAIN
+    if above is False and not (main and soft) or name in ASIDE or (name == "header" and above is None):
+        return False, name == "form" and above is not False or soft and name not in ASIDE - {"form"}
+    if found and name not in ("a", "html", "body"):
         if found.get("role", "").lower() in ROLES or "hidden" in found or found.get("aria-hidden") == "true":
-            return False
+            return False, False
         if re.search(r"display\s*:\s*none", found.get("style", "")):
-            return False
-        if found.get("role", "").lower() in MAIN:
-            return True
-    return True if name in MAIN else above
-
-
-def first_pass(block: Block, has_main: bool) -> bool | None:
-    """True: main text, False: not, None: open."""
-    if block.place is False:
-        return False
-    if has_main:
-        return bool(block.place)
-    if block.link_chars > LINKS_HIGH * len(block.text):
-        return False
-    found = block.text.lower().split()
-    density = sum(w.strip(".,;:!?\"'()") in STOPS for w in found) / len(found)
-    if len(block.text) >= LONG and density >= STOPS_LOW or len(block.text) >= SHORT and density >= STOPS_HIGH:
-        return True
-    if len(block.text) >= 3 * LONG and block.link_chars == 0:
-        return True
-    return None
+            return False, False
+        hints = [] if name == "main" else _hints(f"{found.get('class', '')} {found.get('id', '')}")
+        if hints and (name != "article" or any(LISTS.fullmatch(h) for h in hints)):
+            return False, not any(LISTS.fullmatch(h) for h in hints)
+    return (True if main else above), False
+
+
+def first_pass(found: list[Block]) -> list[bool | None]:
+    """True: main text, False: not, None: open. A single link between the paragraphs of an article stays open."""
+    labels: list[bool | None] = []
+    for i, block in enumerate(found):
+        if block.place is False:
+            labels.append(False)
+        elif block.linked:
+            beside = [b for b in found[max(i - 1, 0) : i] + found[i + 1 : i + 2] if b.place and b.linked and not b.heading]
+            labels.append(None if block.place and (block.heading or not beside) else False)
+        else:
+            words = block.text.lower().split()
+            density = sum(w.strip(".,;:!?\"'()") in STOPS for w in words) / len(words)
+            prose = len(block.text) >= LONG and density >= STOPS_LOW or len(block.text) >= SHORT and density >= STOPS_HIGH
+            labels.append(True if prose or len(block.text) >= 3 * LONG and block.link_chars == 0 else None)
+    return labels
+
+
+def teasers(found: list[Block], labels: list[bool | None]) -> set[int]:
+    """Articles that only lead to other pages: short, with a link, and several of them or below a linked
+    heading, on a page that has main text beside them."""
+    chars: dict[int, int] = {}
+    linking, headed = set(), set()
+    for b in found:
+        if b.place and b.article:
+            chars[b.article] = chars.get(b.article, 0) + len(b.text)
+            linking |= {b.article} if b.link_chars else set()
+            headed |= {b.article} if b.heading and b.linked else set()
+    short = {a for a in linking if chars[a] <= TEASER}
+    short = short if len(short) > 1 else short & headed
+    return short if any(label and b.article not in short for b, label in zip(found, labels)) else set()
 
 
 def second_pass(found: list[Block], labels: list[bool | None]) -> list[bool]:
-    """Open blocks take the label of the nearest block decided by its own text, not by its place. Where
-    two are equally near, a heading follows the one after it, and any other is main text if either
-    is. Without any decided block the open ones are main text."""
+    """Open blocks take the label of the nearest block of their place, in an article or outside, that is
+    decided by its own text. Where two are equally near, a heading follows the one after it, and any
+    other is main text if either is. Without any decided block the open ones are main text in an
+    article, and outside if the page has none.
+    """
     n = len(labels)
-    decided = [labels[i] is not None and found[i].place is not False for i in range(n)]
-    before, after = [-1] * n, [n] * n
-    last = -1
-    for i in range(n):
-        last = i if decided[i] else last
-        before[i] = last
-    last = n
-    for i in reversed(range(n)):
-        last = i if decided[i] else last
-        after[i] = last
-    out = []
-    for i, label in enumerate(labels):
-        if label is None:
+    outside = not any(b.place for b in found)
+    out = [bool(label) for label in labels]
+    for place in (True, None):
+        of_place = [b.place is place for b in found]
+        before, after = [-1] * n, [n] * n
+        last = -1
+        for i in range(n):
+            last = i if of_place[i] and labels[i] is not None else last
+            before[i] = last
+        last = n
+        for i in reversed(range(n)):
+            last = i if of_place[i] and labels[i] is not None else last
+            after[i] = last
+        for i in range(n):
+            if not of_place[i] or labels[i] is not None:
+                continue
             b, a = before[i], after[i]
             if b < 0 and a >= n:
-                label = True
+                out[i] = bool(place) or outside
             elif b < 0 or (a < n and (a - i < i - b or (a - i == i - b and found[i].heading))):
-                label = labels[a]
+                out[i] = bool(labels[a])
             elif a >= n or i - b < a - i:
-                label = labels[b]
+                out[i] = bool(labels[b])
             else:
-                label = bool(labels[a] or labels[b])
-        out.append(bool(label))
+                out[i] = bool(labels[a] or labels[b])
     return out
 
 
 def main_text(page: str) -> str:
     """The blocks of the main text joined by a line feed; empty if there are none."""
     found = blocks(page)
-    has_main = any(b.place for b in found)
-    labels = second_pass(found, [first_pass(b, has_main) for b in found])
-    return "\n".join(b.text for b, keep in zip(found, labels) if keep)
+    labels = first_pass(found)
+    passed_over = teasers(found, labels)
+    for i, b in enumerate(found):
+        if b.place and b.article in passed_over:
+            b.place, labels[i] = False, False
+    return "\n".join(b.text for b, keep in zip(found, second_pass(found, labels)) if keep)
 
 
 def extract_text(pages: DataFrame, html_col: str = "html", text_col: str = "text") -> DataFrame:
