@@ -280,6 +280,21 @@ def test_mixed_documents_hold_the_words_that_are_taken(spark, odd_docs, no_docs)
     assert mixing.mix_documents(odd_docs).columns == odd_docs.columns
 
 
+def test_a_tiny_source_does_not_shred_the_others(spark):
+    texts = [" ".join(f"w{i}" for i in range(3000)) for _ in range(20)]
+    docs = make_docs(spark, [*texts, "lone words here"], sources=["a"] * 5 + ["b"] * 15 + [None])
+    sizes = {"a": 15000, "b": 45000, None: 3}
+    want, taken = plain_targets(sizes), collections.Counter()
+    for r in mixing.plan_mix(docs).select("doc_id", "source_size", "taken").collect():
+        taken[{v: k for k, v in sizes.items()}[r["source_size"]]] += r["taken"]
+    for source, size in sizes.items():
+        assert taken[source] == pytest.approx(want[source], abs=1), (source, size)
+    for r in mixing.mix_documents(docs).where("source is not null").collect():
+        at = [int(w[1:]) for w in r["text"].split()]
+        runs = 1 + sum(b != a + 1 for a, b in zip(at, at[1:]))
+        assert runs <= -(-len(at) // mixing.BLOCK) + 1
+
+
 def plain_seats(weights, seats):
     won = [0] * len(weights)
     for _ in range(seats if any(weights) else 0):

@@ -1,10 +1,10 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-Every source gets a token target. The targets are divided into blocks of equally many words, which
-the highest quotients hand out as integer quotas: first to the sources, then to the shards of each
-source, a shard being a set of documents picked by a seeded hash. Within a shard the documents form
-one long text in seeded order; the quota is met by whole passes over its blocks and a seeded,
-evenly spaced choice of the remaining ones.
+Every source gets a token target. The highest quotients hand out the words of the mix as integer
+quotas: first to the sources, then to the shards of each source, a shard being a set of documents
+picked by a seeded hash. Within a shard the documents form one long text in seeded order; the quota
+is met by whole passes over it and a seeded, evenly spaced choice of its blocks, the last of which
+is cut to what is left. Blocks have the same size whatever the sources.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidewright.llm.common import SPACE_CLASS, staged, text_or_empty, words
 
 SEED = 17
-#: Words of a block at most; small sources make it smaller, see `block_words`.
+#: Words of a block.
 BLOCK = 64
 #: Documents a shard holds on average.
 SHARD_DOCS = 4096
@@ -77,22 +77,22 @@ def apportion(rows: DataFrame, group: Sequence[str], key: Sequence[str], weight:
     return offers.groupBy(*columns).agg((F.first("_low") + F.sum("_won")).alias("quota"))
 
 
-def block_words(smallest: int, block: int = BLOCK) -> int:
-    """Words per block: at most `block`, and small enough to cut the smallest source in 100."""
-    return max(1, min(block, smallest // 100))
-
-
 def _chosen(upto: Column) -> Column:
     """How many of a shard's first `upto` blocks the evenly spaced choice of `rest` among `blocks` holds."""
     at = lambda i: F.call_function("div", i * F.col("rest"), F.col("blocks"))
     return at(upto + F.col("offset")) - at(F.col("offset"))
 
 
+def _chosen_before(position: Column, block: int) -> tuple[Column, Column]:
+    """Words in chosen blocks among a shard's first `position` words, and whether the next word is in one."""
+    i = F.call_function("div", position, F.lit(block).cast("long"))
+    before, here = _chosen(i), _chosen(i + 1) - _chosen(i)
+    return block * before + (position - i * block) * here, here > 0
+
+
 def _taken_before(position: Column, block: int) -> Column:
     """Words taken of a shard's first `position` words, repeats counted."""
-    i = F.call_function("div", position, F.lit(block))
-    inside = (position - i * block) * (_chosen(i + 1) - _chosen(i))
-    return F.col("passes") * position + block * _chosen(i) + inside
+    return F.col("passes") * position + F.least(_chosen_before(position, block)[0], F.col("rest_words"))
 
 
 def plan_mix(
@@ -131,23 +131,26 @@ def plan_mix(
     )
     sources = by_shard.groupBy("source").agg(F.sum("shard_size").alias("source_size"))
     targets = source_targets(sources, weights, share, most)
-    sums = sources.agg(F.min(F.when(F.col("source_size") > 0, F.col("source_size"))), F.sum("source_size")).first()
-    per_block = block_words(sums[0] or 0, block)
-    seats = round(share * (sums[1] or 0) / per_block)
+    seats = round(share * (sources.agg(F.sum("source_size")).first()[0] or 0))
     given = apportion(targets.withColumn("seats", F.lit(seats).cast("long")), [], ["source"], "target", "seats")
     given = given.select("source", "source_size", "target", F.col("quota").alias("source_quota"))
     on = by_shard["source"].eqNullSafe(given["source"])
     quotas = by_shard.join(given, on).select(by_shard["*"], "source_size", "target", "source_quota")
     quotas = apportion(quotas, ["source"], ["shard"], "shard_size", "source_quota")
-    quotas = quotas.withColumn("blocks", F.greatest(F.call_function("div", F.col("shard_size") + (per_block - 1), F.lit(per_block)), F.lit(1)))
-    quotas = quotas.withColumn("quota", F.least(F.col("quota"), (most * F.col("blocks")).cast("long")))
+    quotas = quotas.withColumn("quota", F.least(F.col("quota"), (most * F.col("shard_size")).cast("long")))
+    words_ = F.greatest(F.col("shard_size"), F.lit(1))
+    quotas = quotas.withColumn("passes", F.call_function("div", F.col("quota"), words_)).withColumn("rest_words", F.col("quota") % words_)
+    # a short block at the end of the shard is chosen only with all the others
+    full = F.call_function("div", F.col("shard_size"), F.lit(block).cast("long"))
+    quotas = quotas.withColumn("blocks", F.when(F.col("rest_words") > full * block, full + 1).otherwise(F.greatest(full, F.lit(1))))
     quotas = quotas.select(
         F.struct("source", "shard").alias("place"),
         "source_size",
         "target",
         "blocks",
-        F.call_function("div", F.col("quota"), F.col("blocks")).alias("passes"),
-        (F.col("quota") % F.col("blocks")).alias("rest"),
+        "passes",
+        "rest_words",
+        F.call_function("div", F.col("rest_words") + (block - 1), F.lit(block).cast("long")).alias("rest"),
         F.pmod(F.xxhash64(F.lit(seed + 1), "source", "shard"), F.col("blocks")).alias("offset"),
     )
     quotas = staged(quotas, "quotas")
@@ -162,21 +165,24 @@ def plan_mix(
         F.col("_size").alias("size"),
         "source_size",
         "target",
-        (_taken_before(F.col("start") + F.col("_size"), per_block) - _taken_before(F.col("start"), per_block)).alias("taken"),
-        "start", "passes", "rest", "blocks", "offset",
-        F.lit(per_block).alias("block_words"),
+        (_taken_before(F.col("start") + F.col("_size"), block) - _taken_before(F.col("start"), block)).alias("taken"),
+        "start", "passes", "rest_words", "rest", "blocks", "offset",
     )
 
 
-def mix_documents(docs: DataFrame, text_col: str = "text", n_chars_col: str = "n_chars", **options) -> DataFrame:
+def mix_documents(docs: DataFrame, text_col: str = "text", n_chars_col: str = "n_chars", block: int = BLOCK, **options) -> DataFrame:
     """The mixed corpus with the columns of `docs`: a row per whole pass over a document, and a row of
     the chosen blocks of words, with the white space after them, where the last pass takes only some.
     Of a text without words nothing can be taken.
     """
-    planned = plan_mix(docs, text_col=text_col, keep=docs.columns, **options)
-    i = lambda at: F.call_function("div", at, F.col("block_words").cast("long"))
+    planned = plan_mix(docs, text_col=text_col, keep=docs.columns, block=block, **options)
     pieces = F.regexp_extract_all(F.col(text_col), F.lit(f"([^\\x20\\x09-\\x0D]+{SPACE_CLASS}*)"), 1)
-    part = F.filter(pieces, lambda w, k: _chosen(i(F.col("start") + k) + 1) > _chosen(i(F.col("start") + k)))
+
+    def taken(_: Column, k: Column) -> Column:
+        before, here = _chosen_before(F.col("start") + k, block)
+        return here & (before < F.col("rest_words"))
+
+    part = F.filter(pieces, taken)
     rest = F.col("taken") - F.col("passes") * F.col("size")
     copies = F.when(F.col("size") > 0, F.col("passes")).otherwise(0)
     texts = F.concat(
