@@ -138,6 +138,34 @@ def test_a_pair_at_the_threshold_meets_in_the_runs():
     assert met >= 396
 
 
+@pytest.mark.parametrize("depth", [2, 3, 4, 5])
+def test_the_runs_reach_the_recall_at_every_depth(depth):
+    """Nodes that split are compared further down; all that is lost stays below what the recall allows."""
+    rng = np.random.default_rng(depth)
+    runs, least = jaccard_join.runs_needed(depth=depth), jaccard_join.least_equal()
+    n, places = 2000, jaccard_join.PLACES
+    a = rng.integers(0, 1 << 32, (n, places), dtype=np.uint32)
+    b = np.where(rng.random((n, places)) < 0.8, a, a + 1).astype(np.uint32)
+    left, right = (np.stack(jaccard_join.first_nodes(x, 0.8, runs, depth)) for x in (a, b))
+    met = set(zip(*left.tolist())) & set(zip(*right.tolist()))
+    found = {i for i, _ in met} & set(np.flatnonzero((a == b).sum(1) >= least).tolist())
+    assert jaccard_join.missed(runs, depth) <= 1 - jaccard_join.RECALL
+    assert n - len(found) <= 5
+
+
+def test_pairs_that_meet_only_in_split_nodes_are_proposed(spark, monkeypatch):
+    """With a tiny limit every node that two pairs share splits down to the last depth."""
+    monkeypatch.setattr(jaccard_join, "NODE_SETS", 1)
+    rng = np.random.default_rng(9)
+    n, places = 1500, jaccard_join.PLACES
+    a = rng.integers(0, 1 << 32, (n, places), dtype=np.uint32)
+    b = np.where(rng.random((n, places)) < 0.8, a, a + 1).astype(np.uint32)
+    rows = [(i, bytearray(x.tobytes())) for i, x in enumerate(a)] + [(n + i, bytearray(x.tobytes())) for i, x in enumerate(b)]
+    loose = jaccard_join._loose_classes(spark.createDataFrame(rows, "entry long, mark binary"), 0.8, jaccard_join.RECALL)
+    root = {r["node"]: r["root"] for r in loose.collect()}
+    assert sum(i in root and root[i] == root.get(n + i) for i in range(n)) >= n - 4
+
+
 def test_one_document_of_each_class_stays(spark, odd_docs, no_docs):
     rng = random.Random(22)
     texts = near_copies(rng)

@@ -15,7 +15,7 @@ documents is ever a row: tasks return counts of links and a spanning forest.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +29,14 @@ from tidewright.llm.windows import mixed, window_hashes, word_slices
 
 SHINGLE, SIMILARITY = 5, 0.8
 PLACES = 64
-#: Wanted share of the pairs at the threshold that meet at a node, and the first depth that is looked at.
+#: Wanted share of the pairs at the threshold that are proposed, and the first and last depth that is looked at.
 RECALL, DEPTH, DEEPEST = 0.9995, 2, 5
 #: Sets of a node that are compared at once; larger nodes split further, at DEEPEST into blocks.
 NODE_SETS = 1024
 #: Sets in a block of the exact comparison, and shingles compared at a time.
 BLOCK_SETS, BLOCK_TOKENS = 1024, 8192
-#: How far below the threshold a signature may lie: over three standard deviations of its estimate.
-SLACK = 0.16
+#: Part of the allowed loss that is left to the signatures, which may lie below the threshold by chance.
+SIGNATURE_LOSS = 0.3
 SLICE_WORDS = 500_000
 
 _RNG = np.random.default_rng(20240501)
@@ -72,13 +72,36 @@ def _entry(shingles: np.ndarray) -> int | None:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63) if len(shingles) else None
 
 
-def runs_needed(recall: float = RECALL, depth: int = DEPTH) -> int:
-    """Runs after which a pair at the threshold has met with probability `recall`. In one run it meets at
-    a node when the places picked are shared: a branching process with one shared child on average."""
-    meets = 1.0
+def _equal_places(similarity: float) -> np.ndarray:
+    """The probability of 0, 1, ... equal places in the signatures of two sets of that similarity."""
+    return np.array([math.comb(PLACES, m) * similarity**m * (1 - similarity) ** (PLACES - m) for m in range(PLACES + 1)])
+
+
+def least_equal(similarity: float = SIMILARITY, recall: float = RECALL) -> int:
+    """Equal places that a pair must have to be proposed; pairs at the threshold have fewer with a
+    probability of at most `SIGNATURE_LOSS` of what `recall` allows."""
+    below = np.cumsum(_equal_places(similarity))
+    return int(np.searchsorted(below, SIGNATURE_LOSS * (1 - recall), side="right"))
+
+
+def missed(runs: int, depth: int = DEPTH, similarity: float = SIMILARITY, recall: float = RECALL) -> float:
+    """The probability that a pair at the threshold has too few equal places or meets in none of the runs
+    at a node of that depth. With m equal places a run is a branching process: every one of them is
+    picked with the same probability and leads to a shared child."""
+    places = np.arange(PLACES + 1)
+    meets = np.ones(PLACES + 1)
     for _ in range(depth):
-        meets = 1 - math.exp(-meets)
-    return math.ceil(math.log(1 - recall) / math.log(1 - meets))
+        meets = 1 - (1 - meets * min(1.0, 1 / (similarity * PLACES))) ** places
+    apart = np.where(places < least_equal(similarity, recall), 1.0, (1 - meets) ** runs)
+    return float(_equal_places(similarity) @ apart)
+
+
+def runs_needed(recall: float = RECALL, depth: int = DEPTH, similarity: float = SIMILARITY) -> int:
+    """Runs after which a pair at the threshold that is compared at `depth` is proposed with probability `recall`."""
+    runs = 1
+    while missed(runs, depth, similarity, recall) > 1 - recall:
+        runs += 1
+    return runs
 
 
 def next_nodes(nodes: np.ndarray, sets: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -89,10 +112,10 @@ def next_nodes(nodes: np.ndarray, sets: np.ndarray, similarity: float) -> tuple[
     return which, mixed(dice[which, place] + value * np.uint64(0x9E3779B97F4A7C15))
 
 
-def first_nodes(sets: np.ndarray, similarity: float, runs: int, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """(index into `sets`, node) of all paths of all runs at the first depth looked at."""
-    roots = mixed(np.arange(1, runs + 1, dtype=np.uint64))
-    who = np.repeat(np.arange(len(sets)), runs)
+def first_nodes(sets: np.ndarray, similarity: float, runs: int, depth: int = DEPTH, done: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(index into `sets`, node) of all paths of the runs after the first `done` at the first depth looked at."""
+    roots = mixed(np.arange(done + 1, runs + 1, dtype=np.uint64))
+    who = np.repeat(np.arange(len(sets)), runs - done)
     nodes = np.tile(roots, len(sets))
     for _ in range(depth):
         which, nodes = next_nodes(nodes, sets[who], similarity)
@@ -278,18 +301,25 @@ def similarity_classes(
 
 
 def _loose_classes(entries: DataFrame, similarity: float, recall: float) -> DataFrame:
-    """`node`, `root`: entries that nodes of the paths hold together, by similar signatures."""
-    runs = runs_needed(recall)
-    least = math.ceil((similarity - SLACK) * PLACES)
+    """`node`, `root`: entries that nodes of the paths hold together, by similar signatures.
 
-    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a in range(0, batch.num_rows, 1024):
-                part = batch.slice(a, 1024)
-                who, nodes = first_nodes(_matrix(part.column(1)), similarity, runs)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes.view(np.int64)), part.column(0).take(pa.array(who))], names=["path", "entry"]
-                )
+    Entries of large nodes get the runs that the last depth needs: a pair that meets only there is
+    compared further down, where fewer pairs meet in a run.
+    """
+    runs, most = runs_needed(recall, DEPTH, similarity), runs_needed(recall, DEEPEST, similarity)
+    least = least_equal(similarity, recall)
+
+    def start(upto: int, done: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for a in range(0, batch.num_rows, 1024):
+                    part = batch.slice(a, 1024)
+                    who, nodes = first_nodes(_matrix(part.column(1)), similarity, upto, done=done)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(nodes.view(np.int64)), part.column(0).take(pa.array(who))], names=["path", "entry"]
+                    )
+
+        return work
 
     def further(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -309,20 +339,30 @@ def _loose_classes(entries: DataFrame, similarity: float, recall: float) -> Data
             if len(pairs):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    paths = staged(entries.mapInArrow(start, "path long, entry long"), "paths")
-    edges = None
-    for depth in range(DEPTH, DEEPEST + 1):
-        sizes = paths.groupBy("path").agg(F.count("*").alias("sets")).where("sets > 1")
-        shared = staged(paths.join(sizes, "path"), "shared")
-        large = F.col("sets") > (NODE_SETS if depth < DEEPEST else float("inf"))
-        there = in_blocks(shared.where(~large), "path", "sets", NODE_SETS).join(entries, "entry")
+    def together(paths: DataFrame) -> DataFrame:
+        return staged(paths.join(paths.groupBy("path").agg(F.count("*").alias("sets")).where("sets > 1"), "path"), "shared")
+
+    def compared(there: DataFrame) -> DataFrame:
+        there = in_blocks(there, "path", "sets", NODE_SETS).join(entries, "entry")
         there = there.select("path", "i", "j", "entry", "mark").repartition("path", "i", "j").sortWithinPartitions("path", "i", "j")
-        found = staged(there.mapInArrow(compare, "a long, b long"), "loose")
-        edges = found if edges is None else edges.unionByName(found)
-        if depth == DEEPEST or not shared.where(large).limit(1).count():
+        return staged(there.mapInArrow(compare, "a long, b long"), "loose")
+
+    large = F.col("sets") > NODE_SETS
+    shared = together(staged(entries.mapInArrow(start(runs, 0), "path long, entry long"), "paths"))
+    edges = compared(shared.where(~large))
+    split = shared.where(large).select("path", "entry")
+    if split.limit(1).count() and most > runs:
+        again = entries.join(split.select("entry").distinct(), "entry", "left_semi")
+        extra = together(staged(again.mapInArrow(start(most, runs), "path long, entry long"), "paths"))
+        edges = edges.unionByName(compared(extra.where(~large)))
+        split = split.unionByName(extra.where(large).select("path", "entry"))
+    for depth in range(DEPTH + 1, DEEPEST + 1):
+        if not split.limit(1).count():
             break
-        deeper = shared.where(large).join(entries, "entry").select("path", "entry", "mark")
-        paths = staged(deeper.mapInArrow(further, "path long, entry long").distinct(), "paths")
+        deeper = split.join(entries, "entry").select("path", "entry", "mark")
+        shared = together(staged(deeper.mapInArrow(further, "path long, entry long").distinct(), "paths"))
+        edges = edges.unionByName(compared(shared.where(~large) if depth < DEEPEST else shared))
+        split = shared.where(large).select("path", "entry")
     return connected_components(edges)
 
 
