@@ -88,6 +88,20 @@ ORACLES: dict[str, str] = {
         select a as doc_id, min(b) as class_id, (select count(*) from l where l.a = r.a) as n_links
         from r group by r.a
     """,
+    "op12_topk_search": r"""
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as w
+            from embeddings
+            where vec_id is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), s as (
+            select q.vec_id as query_id, c.vec_id,
+                   list_sum(list_transform(list_zip(q.w, c.w), lambda p: coalesce(p[1] * p[2], 0)))::bigint as score
+            from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id
+        )
+        select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::integer as rank, vec_id, score
+        from s qualify rank <= 5
+    """,
     "op9_chat_formatting": r"""
         with t as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
