@@ -88,6 +88,35 @@ ORACLES: dict[str, str] = {
         select a as doc_id, min(b) as class_id, (select count(*) from l where l.a = r.a) as n_links
         from r group by r.a
     """,
+    "op11_collocations": r"""
+        with d as (
+            select coalesce(lang, 'und') as lang,
+                   unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) as piece
+            from documents
+        ), p as (
+            select lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') as w from d
+        ), g as (
+            select lang, k, w[i : i + k - 1] as g from p, unnest(range(1, 4)) as s(k), unnest(range(1, len(w) - k + 2)) as u(i)
+        ), f as (
+            select lang, k, g, count(*) as a from g group by all
+        ), n as (
+            select lang, sum(a)::bigint as n from f where k = 1 group by lang
+        ), c as (
+            select * from f where k > 1 and a >= 10
+        ), x as (
+            select c.lang, c.k, c.g, c.a, b.k as cut, b.a as l, e.a as r, ((1000000::hugeint * c.a * c.a) // (b.a::hugeint * e.a))::bigint as score
+            from c join f b on b.lang = c.lang and b.k < c.k and b.g = c.g[1 : b.k]
+            join f e on e.lang = c.lang and e.k = c.k - b.k and e.g = c.g[b.k + 1 :]
+        ), y as (
+            select * from x qualify row_number() over (partition by lang, g order by score, cut) = 1
+        ), z as (
+            select * from y where not exists (
+                select 1 from c where c.lang = y.lang and c.k > y.k and (c.g[1:2] = y.g or c.g[2:3] = y.g) and 100 * c.a >= 50 * y.a)
+        )
+        select lang, rank, phrase, a, l, r, n, score
+        from (select *, array_to_string(g, ' ') as phrase, row_number() over (partition by lang order by score desc, a desc, array_to_string(g, ' ')) as rank from z)
+        join n using (lang) where rank <= 2000
+    """,
     "op12_topk_search": r"""
         with v as (
             select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as w

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import ann, bpe, chat, html_text, jaccard_join, merkle, mixing, pii, quality, secrets, substring_dedup, topk
+from tidewright.llm import ann, bpe, chat, collocations, html_text, jaccard_join, merkle, mixing, pii, quality, secrets, substring_dedup, topk
 from tidewright.llm.common import sha256_hex, table, text_or_empty
 
 #: The conversation that tries to imitate the template, in the layout of a message list.
@@ -106,6 +106,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 highest integer inner products of every 50th vector."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
