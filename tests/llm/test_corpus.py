@@ -125,6 +125,55 @@ def test_classes_agree_with_all_pairs(spark, monkeypatch, node, block):
     assert sorted((tuple(r) for r in got), key=str) == plain_classes(docs)
 
 
+def one_large_class(rng, n):
+    """Copies of one text with a few other words each, others that share a part of it, and small classes."""
+    base = noise(rng, 120)
+    texts = []
+    for _ in range(n):
+        words = list(base)
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(len(words))] = noise(rng, 1)[0]
+        texts.append(" ".join(words))
+    texts += [" ".join(base[: rng.randint(40, 110)] + noise(rng, rng.randint(5, 60))) for _ in range(n // 4)]
+    return texts + near_copies(rng)
+
+
+@pytest.mark.parametrize(("node", "leaders", "shingles"), [(16, 4, 2_000_000), (16, 32, 500), (64, 0, 2000)])
+def test_a_large_class_is_connected_and_the_rest_found(spark, monkeypatch, node, leaders, shingles):
+    """Nodes of one large piece and a few others are compared across their pieces."""
+    monkeypatch.setattr(jaccard_join, "NODE_SETS", node)
+    monkeypatch.setattr(jaccard_join, "LEADERS", leaders)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", shingles)
+    docs = list(enumerate(one_large_class(random.Random(5), 200)))
+    got = jaccard_join.similarity_classes(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == plain_classes(docs)
+
+
+def test_the_work_for_a_class_grows_with_its_size(spark, monkeypatch):
+    """Rows that are dealt for comparison per member are as many for a large class as for a small one."""
+    monkeypatch.setattr(jaccard_join, "NODE_SETS", 32)
+    monkeypatch.setattr(jaccard_join, "LEADERS", 4)
+    rng, made = np.random.default_rng(2), {}
+    base = rng.integers(0, 1 << 32, jaccard_join.PLACES, dtype=np.uint32)
+    real = jaccard_join.staged
+
+    def counted(df, label):
+        out = real(df, label)
+        made[label] = made.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "staged", counted)
+    per_member = []
+    for n in (100, 800):
+        made.clear()
+        near = np.where(rng.random((n, jaccard_join.PLACES)) < 0.97, base, base + 1 + np.arange(n)[:, None]).astype(np.uint32)
+        rows = [(i, bytearray(x.tobytes())) for i, x in enumerate(near)]
+        loose = jaccard_join._loose_classes(spark.createDataFrame(rows, "entry long, mark binary"), 0.8, jaccard_join.RECALL)
+        assert loose.select("root").distinct().count() == 1 and loose.count() == n
+        per_member.append((made["paths"] + made["shared"] + made.get("members", 0) + made.get("judged", 0)) / n)
+    assert per_member[1] <= 1.5 * per_member[0]
+
+
 def test_a_pair_at_the_threshold_meets_in_the_runs():
     """Signatures that agree in 80 % of the places share a node in nearly all cases."""
     rng = np.random.default_rng(3)
@@ -156,6 +205,7 @@ def test_the_runs_reach_the_recall_at_every_depth(depth):
 def test_pairs_that_meet_only_in_split_nodes_are_proposed(spark, monkeypatch):
     """With a tiny limit every node that two pairs share splits down to the last depth."""
     monkeypatch.setattr(jaccard_join, "NODE_SETS", 1)
+    monkeypatch.setattr(jaccard_join, "LEADERS", 0)
     rng = np.random.default_rng(9)
     n, places = 1500, jaccard_join.PLACES
     a = rng.integers(0, 1 << 32, (n, places), dtype=np.uint32)
@@ -177,6 +227,17 @@ def test_one_document_of_each_class_stays(spark, odd_docs, no_docs):
     assert jaccard_join.drop_near_duplicates(no_docs).count() == 0
 
 
+def test_texts_of_one_id_are_judged_one_by_one(spark):
+    """Only a copy goes: the text of a class whose smallest id it shares with another text stays."""
+    rng = random.Random(8)
+    a, b, c = (" ".join(noise(rng, 40)) for _ in range(3))
+    rows = [(1, a, "x"), (1, b, "y"), (2, c, "z"), (3, b, "u"), (2, c, "z"), (4, "", "v"), (4, "", "v"), (4, " ", "v"), (None, a, "w")]
+    docs = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], "doc_id long, text string, _first string, _stay int, root int, `key` int")
+    kept = sorted((r.doc_id or 0, r.text, r._first) for r in jaccard_join.drop_near_duplicates(docs).collect())
+    assert kept == sorted([(1, a, "x"), (1, b, "y"), (2, c, "z"), (4, "", "v"), (4, " ", "v"), (0, a, "w")])
+    assert jaccard_join.drop_near_duplicates(docs).columns == docs.columns
+
+
 def test_components(spark):
     rng = random.Random(1)
     chain = [(i, i + 1) for i in range(40)]

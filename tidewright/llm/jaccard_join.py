@@ -20,7 +20,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import staged, text_or_empty
@@ -31,10 +31,10 @@ SHINGLE, SIMILARITY = 5, 0.8
 PLACES = 64
 #: Wanted share of the pairs at the threshold that are proposed, and the first and last depth that is looked at.
 RECALL, DEPTH, DEEPEST = 0.9995, 2, 5
-#: Sets of a node that are compared at once; larger nodes split further, at DEEPEST into blocks.
-NODE_SETS = 1024
-#: Sets in a block of the exact comparison, and shingles compared at a time.
-BLOCK_SETS, BLOCK_TOKENS = 1024, 8192
+#: Sets of a node that are compared at once, and members that every block of a larger node sees, on average.
+NODE_SETS, LEADERS = 1024, 32
+#: Sets and shingles in a block of the exact comparison, and shingles compared at a time.
+BLOCK_SETS, BLOCK_SHINGLES, BLOCK_TOKENS = 1024, 2_000_000, 8192
 #: Part of the allowed loss that is left to the signatures, which may lie below the threshold by chance.
 SIGNATURE_LOSS = 0.3
 SLICE_WORDS = 500_000
@@ -147,17 +147,19 @@ class Forest:
         return made
 
 
-def similar_forest(sets: np.ndarray, split: int, least: int, step: int = 128) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs of signatures with `least` equal places. Pairs are taken between
-    the first `split` rows and the rest, or among all rows for 0. Blocks within one tree are passed over."""
+def similar_forest(sets: np.ndarray, least: int, pieces: np.ndarray | None = None, step: int = 128) -> list[tuple[int, int]]:
+    """Pairs of signatures with `least` equal places that connect what is not connected yet. Rows of one
+    piece are connected from the start; blocks of rows within one tree are passed over."""
     n, made, forest = len(sets), [], Forest(len(sets))
+    if pieces is not None:
+        _, first, own = np.unique(pieces, return_index=True, return_inverse=True)
+        forest.parent = first[own]
     starts = list(range(0, n, step))
     blocks = [(a, a) for a in starts] + [(a, b) for i, a in enumerate(starts) for b in starts[i + 1 :]]
     for a, b in blocks:
-        if a != b:
-            roots = {forest.find(i) for s in (a, b) for i in range(s, min(s + step, n))}
-            if len(roots) == 1:
-                continue
+        roots = {forest.find(i) for s in {a, b} for i in range(s, min(s + step, n))}
+        if len(roots) == 1:
+            continue
         x, y = sets[a : a + step], sets[b : b + step]
         equal = np.zeros((len(x), len(y)), dtype=np.uint8)
         for place in range(PLACES):
@@ -225,10 +227,10 @@ def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(open_parts)
 
 
-def in_blocks(rows: DataFrame, group: str, size: int, per_block: int) -> DataFrame:
-    """`rows` with `i`, `j`, `side`: a group of `size` rows becomes blocks, and a row of block k comes
+def in_blocks(rows: DataFrame, blocks: Column) -> DataFrame:
+    """`rows` with `i`, `j`, `side`: a group of rows becomes `blocks` blocks, and a row of block k comes
     once for each pair of blocks i <= j it is in; `side` says on which side of the pair."""
-    blocks = F.greatest(F.lit(1), F.ceil(F.col(size) / per_block).cast("int"))
+    blocks = F.greatest(F.lit(1), F.ceil(blocks).cast("int"))
     own = F.pmod(F.xxhash64("entry"), blocks).cast("int")
     rows = rows.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     pair = {"i": F.least("_own", "_other"), "j": F.greatest("_own", "_other"), "side": (F.col("_own") > F.col("_other")).cast("int")}
@@ -251,14 +253,26 @@ def similarity_classes(
     Two documents are linked if the Jaccard similarity of their shingle sets is at least `similarity`;
     `n_links` counts the other rows a row is linked to, copies included. A class holds what links
     connect; `class_id` is its smallest id. Texts without words link to nothing and are their own
-    class, as are rows without id, whose class is null. Repeated rows are copies of each other. An
-    empty table gives none.
+    class, as are rows without id, whose class is null. Repeated rows are copies of each other; rows of one
+    id with different texts are different members. Other columns are not read. An empty table gives none.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), text_or_empty(text_col).alias("text"))
+    signed, found = _classes(docs, id_col, text_col, similarity, recall)
+    alone = signed.where("doc is null or entry is null").select(
+        F.col("doc").alias(id_col), F.col("doc").alias("class_id"), F.lit(0).cast("long").alias("n_links")
+    )
+    known = signed.where("doc is not null and entry is not null").select("doc", "entry")
+    out = known.join(found, "entry").select(F.col("doc").alias(id_col), "class_id", "n_links")
+    return out.unionByName(alone)
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """(`doc`, `key` of the text, `entry` of its set per row; `entry`, `root`, `class_id`, `n_links` per set)."""
+    text = text_or_empty(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("key"), text.alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            entries, marks = [], []
+            entries, sizes, marks = [], [], []
             held: list[np.ndarray] = []
 
             def close() -> None:
@@ -266,45 +280,44 @@ def similarity_classes(
                 made = iter(signatures(full)) if full else iter(())
                 for s in held:
                     entries.append(_entry(s))
+                    sizes.append(len(s))
                     marks.append(next(made).tobytes() if len(s) else None)
                 held.clear()
 
             words = 0
-            for s in shingle_sets(t.as_py() for t in batch.column(1)):
+            for s in shingle_sets(t.as_py() for t in batch.column(2)):
                 held.append(s)
                 words += len(s)
                 if words >= SLICE_WORDS:
                     close()
                     words = 0
             close()
-            columns = [batch.column(0), pa.array(entries, pa.int64()), pa.array(marks, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc", "entry", "mark"])
+            columns = [batch.column(0), batch.column(1), pa.array(entries, pa.int64()), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "key", "entry", "size", "mark"])
 
-    signed = staged(rows.mapInArrow(sign, "doc long, entry long, mark binary"), "signed")
+    signed = staged(rows.mapInArrow(sign, "doc long, key long, entry long, size long, mark binary"), "signed")
     known = signed.where("doc is not null and entry is not null")
     # equal sets have equal signatures, so any of them will do
-    entries = staged(known.groupBy("entry").agg(F.min("doc").alias("first"), F.count("*").alias("copies"), F.max("mark").alias("mark")), "entries")
+    entries = known.groupBy("entry").agg(F.min("doc").alias("first"), F.count("*").alias("copies"), F.max("size").alias("size"), F.max("mark").alias("mark"))
+    entries = staged(entries, "entries")
     loose = _loose_classes(entries.select("entry", "mark"), similarity, recall)
     linked, partial = _exact_classes(rows, entries, loose, similarity)
     counted = partial.groupBy("entry").agg(F.sum("links").alias("links"))
     found = entries.select("entry", "first", "copies").join(linked, F.col("entry") == F.col("node"), "left")
     found = found.join(counted, "entry", "left").withColumn("root", F.coalesce("root", "entry"))
     named = found.groupBy("root").agg(F.min("first").alias("class_id"))
-    found = found.join(named, "root").select(
-        "entry", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links")
-    )
-    alone = signed.where("doc is null or entry is null").select(
-        F.col("doc").alias(id_col), F.col("doc").alias("class_id"), F.lit(0).cast("long").alias("n_links")
-    )
-    out = known.select("doc", "entry").join(found, "entry").select(F.col("doc").alias(id_col), "class_id", "n_links")
-    return out.unionByName(alone)
+    n_links = (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long")
+    return signed.select("doc", "key", "entry"), found.join(named, "root").select("entry", "root", "class_id", n_links.alias("n_links"))
 
 
 def _loose_classes(entries: DataFrame, similarity: float, recall: float) -> DataFrame:
     """`node`, `root`: entries that nodes of the paths hold together, by similar signatures.
 
-    Entries of large nodes get the runs that the last depth needs: a pair that meets only there is
-    compared further down, where fewer pairs meet in a run.
+    Nodes of up to NODE_SETS sets are compared whole. A larger one is first read once in blocks that also
+    see a few leaders of the node, which connects large classes into pieces. What is open then are the pairs
+    between different pieces: a node of one piece is done, one with few open pairs is compared across
+    its pieces, and only one with more splits further. Its members get the runs that the last depth
+    needs, as a pair that meets only there is compared where fewer pairs meet in a run.
     """
     runs, most = runs_needed(recall, DEPTH, similarity), runs_needed(recall, DEEPEST, similarity)
     least = least_equal(similarity, recall)
@@ -330,11 +343,11 @@ def _loose_classes(entries: DataFrame, similarity: float, recall: float) -> Data
             )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups(batches, 3):
+        for group in groups(batches, 2):
             if group.num_rows < 2:
                 continue
             entry = group["entry"].to_numpy()
-            pairs = similar_forest(_matrix(group["mark"]), 0, least)
+            pairs = similar_forest(_matrix(group["mark"]), least, group["piece"].to_numpy())
             a, b = entry[[i for i, _ in pairs]], entry[[j for _, j in pairs]]
             if len(pairs):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
@@ -343,39 +356,81 @@ def _loose_classes(entries: DataFrame, similarity: float, recall: float) -> Data
         return staged(paths.join(paths.groupBy("path").agg(F.count("*").alias("sets")).where("sets > 1"), "path"), "shared")
 
     def compared(there: DataFrame) -> DataFrame:
-        there = in_blocks(there, "path", "sets", NODE_SETS).join(entries, "entry")
-        there = there.select("path", "i", "j", "entry", "mark").repartition("path", "i", "j").sortWithinPartitions("path", "i", "j")
+        """Edges of the rows (path, block, piece, entry) within each block."""
+        there = there.select("path", F.col("block").cast("long").alias("block"), "piece", "entry").join(entries, "entry")
+        there = there.select("path", "block", "piece", "entry", "mark").repartition("path", "block").sortWithinPartitions("path", "block", "piece")
         return staged(there.mapInArrow(compare, "a long, b long"), "loose")
 
-    large = F.col("sets") > NODE_SETS
+    def gathered(nodes: DataFrame) -> DataFrame:
+        """Blocks of large nodes, each with the leaders of its node; a row per member and some for leaders."""
+        blocks = F.ceil(F.col("sets") / NODE_SETS).cast("int")
+        dice = F.pmod(F.xxhash64("path", "entry"), F.col("sets"))
+        own = F.pmod(F.xxhash64("entry", F.lit("block")), blocks).cast("int")
+        seen = F.when(dice < LEADERS, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))
+        return nodes.select("path", F.explode(seen).alias("block"), F.col("entry").alias("piece"), "entry")
+
+    def judged(nodes: DataFrame, pieces: DataFrame) -> DataFrame:
+        """Members of the nodes that hold more than one piece, with their `piece`, the `largest` one and its
+        size `held`, and the number of `open` pairs."""
+        own = nodes.select("path", "entry").join(pieces, F.col("entry") == F.col("node"), "left")
+        own = staged(own.select("path", "entry", F.coalesce("root", "entry").alias("piece")), "members")
+        sizes = own.groupBy("path", "piece").agg(F.count("*").alias("n"))
+        sizes = sizes.groupBy("path").agg(F.sum("n").alias("sets"), F.sum(F.col("n") * F.col("n")).alias("inner"), F.max(F.struct("n", "piece")).alias("top"))
+        sizes = sizes.select("path", "sets", ((F.col("sets") * F.col("sets") - F.col("inner")) / 2).alias("open"), F.col("top.n").alias("held"), F.col("top.piece").alias("largest"))
+        return staged(own.join(sizes.where("open > 0"), "path"), "judged")
+
+    def across(nodes: DataFrame) -> DataFrame:
+        """Blocks of the largest piece, each with all other members of the node, which are few."""
+        blocks = F.ceil(F.col("held") / NODE_SETS).cast("int")
+        own = F.array(F.pmod(F.xxhash64("entry"), blocks).cast("int"))
+        seen = F.when(F.col("piece") == F.col("largest"), own).otherwise(F.sequence(F.lit(0), blocks - 1))
+        return nodes.select("path", F.explode(seen).alias("block"), "piece", "entry")
+
+    large, wide = F.col("sets") > NODE_SETS, F.col("open") > NODE_SETS * NODE_SETS / 2
+    whole = lambda nodes: nodes.select("path", F.lit(0).alias("block"), F.col("entry").alias("piece"), "entry")
     shared = together(staged(entries.mapInArrow(start(runs, 0), "path long, entry long"), "paths"))
-    edges = compared(shared.where(~large))
-    split = shared.where(large).select("path", "entry")
-    if split.limit(1).count() and most > runs:
-        again = entries.join(split.select("entry").distinct(), "entry", "left_semi")
-        extra = together(staged(again.mapInArrow(start(most, runs), "path long, entry long"), "paths"))
-        edges = edges.unionByName(compared(extra.where(~large)))
-        split = split.unionByName(extra.where(large).select("path", "entry"))
-    for depth in range(DEPTH + 1, DEEPEST + 1):
-        if not split.limit(1).count():
+    edges = compared(whole(shared.where(~large)))
+    if shared.where(large).isEmpty():
+        return connected_components(edges)
+    pieces = connected_components(edges.unionByName(compared(gathered(shared.where(large)))))
+    pieces = staged(pieces, "pieces")
+    pending, found, depth = judged(shared.where(large), pieces), [], DEPTH
+    while True:
+        found.append(compared(across(pending.where(~wide))))
+        split = pending.where(wide).select("path", "entry")
+        if split.isEmpty():
             break
+        if depth == DEEPEST:
+            rest = in_blocks(pending.where(wide), F.col("sets") / NODE_SETS)
+            found.append(compared(rest.withColumn("block", F.col("i") * F.lit(1 << 31) + F.col("j"))))
+            break
+        if depth == DEPTH and most > runs:
+            again = entries.join(split.select("entry").distinct(), "entry", "left_semi")
+            extra = judged(together(staged(again.mapInArrow(start(most, runs), "path long, entry long"), "paths")), pieces)
+            found.append(compared(across(extra.where(~wide))))
+            split = split.unionByName(extra.where(wide).select("path", "entry"))
         deeper = split.join(entries, "entry").select("path", "entry", "mark")
-        shared = together(staged(deeper.mapInArrow(further, "path long, entry long").distinct(), "paths"))
-        edges = edges.unionByName(compared(shared.where(~large) if depth < DEEPEST else shared))
-        split = shared.where(large).select("path", "entry")
-    return connected_components(edges)
+        pending = judged(together(staged(deeper.mapInArrow(further, "path long, entry long").distinct(), "paths")), pieces)
+        depth += 1
+    new = found[0]
+    for more in found[1:]:
+        new = new.unionByName(more)
+    if new.isEmpty():
+        return pieces
+    return connected_components(new.unionByName(pieces.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
 
 def _exact_classes(rows: DataFrame, entries: DataFrame, loose: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     """(`node`, `root` of the true classes; `entry`, `links`, to be summed) from the sets of loose classes."""
     loose = loose.withColumnRenamed("root", "loose")
-    sizes = loose.groupBy("loose").agg(F.count("*").alias("sets"))
-    members = loose.join(sizes, "loose").join(entries.select("entry", "first", "copies"), F.col("node") == F.col("entry"))
-    members = members.select("loose", "sets", "entry", "first", "copies")
-    texts = rows.join(members, F.col("doc") == F.col("first")).select("loose", "sets", "entry", "copies", "text")
+    members = loose.join(entries.select("entry", "first", "copies", "size"), F.col("node") == F.col("entry"))
+    blocks = F.greatest(F.count("*") / BLOCK_SETS, F.sum("size") / BLOCK_SHINGLES)
+    members = members.join(members.groupBy("loose").agg(blocks.alias("blocks")), "loose")
+    members = members.select("loose", "blocks", "entry", "first", "copies")
+    texts = rows.join(members, F.col("doc") == F.col("first")).select("loose", "blocks", "entry", "copies", "text")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["loose", "sets", "entry", "copies", "shingles"]
+        names = ["loose", "blocks", "entry", "copies", "shingles"]
         for batch in batches:
             for a in range(0, batch.num_rows, 1000):
                 part = batch.slice(a, 1000)
@@ -391,8 +446,9 @@ def _exact_classes(rows: DataFrame, entries: DataFrame, loose: DataFrame, simila
             table = group.sort_by("side")
             sets = [np.frombuffer(x, "<u8") for x in table["shingles"].to_pylist()]
             entry, copies = table["entry"].to_numpy(), table["copies"].to_numpy()
-            split = 0 if table["i"][0] == table["j"][0] else int((table["side"].to_numpy() == 0).sum())
-            if len(sets) < 2 or split == len(sets):
+            within = table["i"][0] == table["j"][0]
+            split = 0 if within else int((table["side"].to_numpy() == 0).sum())
+            if len(sets) < 2 or not within and split in (0, len(sets)):
                 continue
             linked = exact_links(sets, split, similarity)
             if split:
@@ -414,8 +470,8 @@ def _exact_classes(rows: DataFrame, entries: DataFrame, loose: DataFrame, simila
                 names=["entry", "links", "to"],
             )
 
-    sets = texts.mapInArrow(read, "loose long, sets long, entry long, copies long, shingles binary").dropDuplicates(["entry"])
-    there = in_blocks(sets, "loose", "sets", BLOCK_SETS)
+    sets = texts.mapInArrow(read, "loose long, blocks double, entry long, copies long, shingles binary").dropDuplicates(["entry"])
+    there = in_blocks(sets, F.col("blocks"))
     there = there.select("loose", "i", "j", "side", "entry", "copies", "shingles")
     there = there.repartition("loose", "i", "j").sortWithinPartitions("loose", "i", "j")
     made = staged(there.mapInArrow(compare, "entry long, links long, to long"), "links")
@@ -423,14 +479,21 @@ def _exact_classes(rows: DataFrame, entries: DataFrame, loose: DataFrame, simila
     return linked, made.where(F.col("to").isNull()).select("entry", "links")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of `docs` without near duplicates: of each class the document with the smallest id stays.
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, recall: float = RECALL
+) -> DataFrame:
+    """The rows of `docs` without near duplicates: of each class the row with the smallest id stays.
 
-    Of rows that share an id the one with the smallest text stays. Rows without id all stay.
+    Classes are those of texts, so that an id with different texts may stay several times; of equal ids in one
+    class one text stays, and of rows that share id and text one. Texts without words and rows without id
+    all stay, but for repeated rows of the former. Columns of any name are carried along.
     """
-    classes = similarity_classes(docs, id_col, text_col, **options)
-    stay = classes.where(F.col(id_col) == F.col("class_id")).select(F.col(id_col).alias("_stay")).distinct()
-    kept = docs.where(F.col(id_col).isNotNull()).join(stay, F.col(id_col).cast("long") == F.col("_stay"), "left_semi")
-    first = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))
-    kept = kept.withColumn("_first", first).where("_first = 1").drop("_first")
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    signed, found = _classes(docs, id_col, text_col, similarity, recall)
+    signed = signed.where("doc is not null").join(found.select("entry", "root"), "entry", "left")
+    alone = signed.where("root is null").select("doc", "key")
+    stay = signed.where("root is not null").groupBy("root").agg(F.min(F.struct("doc", "key")).alias("least")).select("least.*")
+    stay = staged(stay.unionByName(alone).distinct(), "stay")
+    rows = docs.where(F.col(id_col).isNotNull())
+    rows = rows.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_or_empty(text_col)).alias("key"), F.struct(*docs.columns).alias("row"))
+    kept = rows.join(stay, ["doc", "key"]).groupBy("doc", "key").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return kept.select("row.*").unionByName(docs.where(F.col(id_col).isNull()))
