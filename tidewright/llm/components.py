@@ -26,7 +26,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = down.unionByName(down.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = staged(large.where("u != v").distinct(), "large")
+        large = staged(large.where("u != v"), "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u != v").distinct()

@@ -170,6 +170,28 @@ def similar_forest(sets: np.ndarray, least: int, pieces: np.ndarray | None = Non
     return made
 
 
+def gathered_pieces(sets: np.ndarray, entry: np.ndarray, leaders: int, least: int) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """(pairs that connect, piece of each row) of a block whose first rows are the leaders of its node.
+
+    The leaders alone make pieces that all blocks of the node agree on. A row is in the piece of leaders that
+    the block connects it with, else in one of the block alone; a piece has the smallest entry as name."""
+    among = Forest(len(sets))
+    pairs = similar_forest(sets[:leaders], least)
+    among.join(*np.array(pairs, dtype=int).reshape(-1, 2).T)
+    lead = np.array([among.find(i) for i in range(len(sets))])
+    pairs += similar_forest(sets, least, lead)
+    for i, j in pairs:
+        among.join(np.array([i]), np.array([j]))
+    roots = np.array([among.find(i) for i in range(len(sets))])
+    named = np.where(roots < leaders, lead[roots], roots)
+    named[:leaders] = lead[:leaders]
+    least_of = np.full(len(sets), np.iinfo(np.int64).max)
+    np.minimum.at(least_of, named[:leaders], entry[:leaders])
+    alone = named >= leaders
+    np.minimum.at(least_of, named[alone], entry[alone])
+    return pairs, least_of[named]
+
+
 def exact_links(sets: list[np.ndarray], split: int, similarity: float) -> np.ndarray:
     """Whether each pair of sets, between the first `split` and the rest, or among all for 0, is similar."""
     sizes = np.array([len(s) for s in sets], dtype=np.float64)
@@ -314,10 +336,10 @@ def _loose_classes(entries: DataFrame, similarity: float, recall: float) -> Data
     """`node`, `root`: entries that nodes of the paths hold together, by similar signatures.
 
     Nodes of up to NODE_SETS sets are compared whole. A larger one is first read once in blocks that also
-    see a few leaders of the node, which connects large classes into pieces. What is open then are the pairs
+    see the leaders of the node, which connects large classes into pieces. What is open then are the pairs
     between different pieces: a node of one piece is done, one with few open pairs is compared across
-    its pieces, and only one with more splits further. Its members get the runs that the last depth
-    needs, as a pair that meets only there is compared where fewer pairs meet in a run.
+    its pieces, and only one with more splits further, at DEEPEST into blocks. Its members get the runs that
+    the last depth needs, as a pair that meets only there is compared where fewer pairs meet in a run.
     """
     runs, most = runs_needed(recall, DEPTH, similarity), runs_needed(recall, DEEPEST, similarity)
     least = least_equal(similarity, recall)
@@ -352,6 +374,18 @@ def _loose_classes(entries: DataFrame, similarity: float, recall: float) -> Data
             if len(pairs):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each block the edges that connect something (no path), and the piece of each member."""
+        for group in groups(batches, 2):
+            entry, leads, own = (group[c].to_numpy() for c in ("entry", "leads", "own"))
+            first = np.argsort(~leads.astype(bool), kind="stable")
+            entry, own, sets = entry[first], own[first].astype(bool), _matrix(group["mark"])[first]
+            pairs, piece = gathered_pieces(sets, entry, int(leads.sum()), least)
+            a, b = entry[[i for i, _ in pairs]], entry[[j for _, j in pairs]]
+            path = pa.array([None] * len(a) + [group["path"][0].as_py()] * int(own.sum()), pa.int64())
+            columns = [path, pa.array(np.concatenate([a, entry[own]])), pa.array(np.concatenate([b, piece[own]]))]
+            yield pa.RecordBatch.from_arrays(columns, names=["path", "a", "b"])
+
     def together(paths: DataFrame) -> DataFrame:
         return staged(paths.join(paths.groupBy("path").agg(F.count("*").alias("sets")).where("sets > 1"), "path"), "shared")
 
@@ -362,22 +396,24 @@ def _loose_classes(entries: DataFrame, similarity: float, recall: float) -> Data
         return staged(there.mapInArrow(compare, "a long, b long"), "loose")
 
     def gathered(nodes: DataFrame) -> DataFrame:
-        """Blocks of large nodes, each with the leaders of its node; a row per member and some for leaders."""
+        """What `gather` finds in blocks of large nodes; a leader is in all blocks of its node."""
         blocks = F.ceil(F.col("sets") / NODE_SETS).cast("int")
-        dice = F.pmod(F.xxhash64("path", "entry"), F.col("sets"))
         own = F.pmod(F.xxhash64("entry", F.lit("block")), blocks).cast("int")
-        seen = F.when(dice < LEADERS, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))
-        return nodes.select("path", F.explode(seen).alias("block"), F.col("entry").alias("piece"), "entry")
-
-    def judged(nodes: DataFrame, pieces: DataFrame) -> DataFrame:
-        """Members of the nodes that hold more than one piece, with their `piece`, the `largest` one and its
-        size `held`, and the number of `open` pairs."""
-        own = nodes.select("path", "entry").join(pieces, F.col("entry") == F.col("node"), "left")
-        own = staged(own.select("path", "entry", F.coalesce("root", "entry").alias("piece")), "members")
-        sizes = own.groupBy("path", "piece").agg(F.count("*").alias("n"))
+        leads = F.pmod(F.xxhash64("path", "entry"), F.col("sets")) < LEADERS
+        seen = F.when(leads, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))
+        there = nodes.select("path", own.alias("home"), leads.cast("int").alias("leads"), F.explode(seen).alias("block"), "entry")
+        there = there.select("path", F.col("block").cast("long").alias("block"), "leads", (F.col("home") == F.col("block")).cast("int").alias("own"), "entry")
+        there = there.join(entries, "entry").select("path", "block", "leads", "own", "entry", "mark")
+        there = there.repartition("path", "block").sortWithinPartitions("path", "block", "entry")
+        return staged(there.mapInArrow(gather, "path long, a long, b long"), "gathered")
+
+    def judged(told: DataFrame) -> DataFrame:
+        """Members (path, entry, piece) of the nodes that hold more than one piece, with the `largest` one
+        and its size `held`, and the numbers of `sets` and of `open` pairs."""
+        sizes = told.groupBy("path", "piece").agg(F.count("*").alias("n"))
         sizes = sizes.groupBy("path").agg(F.sum("n").alias("sets"), F.sum(F.col("n") * F.col("n")).alias("inner"), F.max(F.struct("n", "piece")).alias("top"))
         sizes = sizes.select("path", "sets", ((F.col("sets") * F.col("sets") - F.col("inner")) / 2).alias("open"), F.col("top.n").alias("held"), F.col("top.piece").alias("largest"))
-        return staged(own.join(sizes.where("open > 0"), "path"), "judged")
+        return staged(told.join(sizes.where("open > 0"), "path"), "judged")
 
     def across(nodes: DataFrame) -> DataFrame:
         """Blocks of the largest piece, each with all other members of the node, which are few."""
@@ -386,38 +422,39 @@ def _loose_classes(entries: DataFrame, similarity: float, recall: float) -> Data
         seen = F.when(F.col("piece") == F.col("largest"), own).otherwise(F.sequence(F.lit(0), blocks - 1))
         return nodes.select("path", F.explode(seen).alias("block"), "piece", "entry")
 
-    large, wide = F.col("sets") > NODE_SETS, F.col("open") > NODE_SETS * NODE_SETS / 2
-    whole = lambda nodes: nodes.select("path", F.lit(0).alias("block"), F.col("entry").alias("piece"), "entry")
-    shared = together(staged(entries.mapInArrow(start(runs, 0), "path long, entry long"), "paths"))
-    edges = compared(whole(shared.where(~large)))
-    if shared.where(large).isEmpty():
-        return connected_components(edges)
-    pieces = connected_components(edges.unionByName(compared(gathered(shared.where(large)))))
-    pieces = staged(pieces, "pieces")
-    pending, found, depth = judged(shared.where(large), pieces), [], DEPTH
-    while True:
-        found.append(compared(across(pending.where(~wide))))
-        split = pending.where(wide).select("path", "entry")
-        if split.isEmpty():
-            break
-        if depth == DEEPEST:
-            rest = in_blocks(pending.where(wide), F.col("sets") / NODE_SETS)
-            found.append(compared(rest.withColumn("block", F.col("i") * F.lit(1 << 31) + F.col("j"))))
+    found: list[DataFrame] = []
+
+    def settled(shared: DataFrame) -> DataFrame | None:
+        """Compares what can be compared here; the rows (path, entry, piece, ...) of nodes that split further."""
+        large = F.col("sets") > NODE_SETS
+        found.append(compared(shared.where(~large).select("path", F.lit(0).alias("block"), F.col("entry").alias("piece"), "entry")))
+        if shared.where(large).isEmpty():
+            return None
+        told = gathered(shared.where(large))
+        found.append(told.where("path is null").select("a", "b"))
+        nodes = judged(told.where("path is not null").select("path", F.col("a").alias("entry"), F.col("b").alias("piece")))
+        wide = F.col("open") > NODE_SETS * NODE_SETS / 2
+        if not nodes.where(~wide).isEmpty():
+            found.append(compared(across(nodes.where(~wide))))
+        return None if nodes.where(wide).isEmpty() else nodes.where(wide)
+
+    split = settled(together(staged(entries.mapInArrow(start(runs, 0), "path long, entry long"), "paths")))
+    if split is not None and most > runs:
+        again = entries.join(split.select("entry").distinct(), "entry", "left_semi")
+        extra = settled(together(staged(again.mapInArrow(start(most, runs), "path long, entry long"), "paths")))
+        split = split if extra is None else split.unionByName(extra)
+    for _ in range(DEPTH, DEEPEST):
+        if split is None:
             break
-        if depth == DEPTH and most > runs:
-            again = entries.join(split.select("entry").distinct(), "entry", "left_semi")
-            extra = judged(together(staged(again.mapInArrow(start(most, runs), "path long, entry long"), "paths")), pieces)
-            found.append(compared(across(extra.where(~wide))))
-            split = split.unionByName(extra.where(wide).select("path", "entry"))
-        deeper = split.join(entries, "entry").select("path", "entry", "mark")
-        pending = judged(together(staged(deeper.mapInArrow(further, "path long, entry long").distinct(), "paths")), pieces)
-        depth += 1
-    new = found[0]
+        deeper = split.select("path", "entry").join(entries, "entry").select("path", "entry", "mark")
+        split = settled(together(staged(deeper.mapInArrow(further, "path long, entry long").distinct(), "paths")))
+    if split is not None:
+        rest = in_blocks(split, F.col("sets") / NODE_SETS)
+        found.append(compared(rest.withColumn("block", F.col("i") * F.lit(1 << 31) + F.col("j"))))
+    edges = found[0]
     for more in found[1:]:
-        new = new.unionByName(more)
-    if new.isEmpty():
-        return pieces
-    return connected_components(new.unionByName(pieces.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        edges = edges.unionByName(more)
+    return connected_components(edges)
 
 
 def _exact_classes(rows: DataFrame, entries: DataFrame, loose: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
