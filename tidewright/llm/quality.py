@@ -59,7 +59,8 @@ RULES = (
     Rule("capitals", "capital_ratio", None, 0.50),
     Rule("shouting", "shout_ratio", None, 0.40),
     Rule("variety", "variety", 0.60, 0.30, True),
-    Rule("function_words", "function_word_level", 0.30, 0.10, True),
+    # a text of another language has none of these words, so few of them say nothing
+    Rule("function_words", "function_word_level", 0.30, None, True),
     Rule("word_length", "mean_length_gap", 1.5, 4.0),
 )
 OUTCOMES = (-1, 0, 1)
@@ -134,6 +135,14 @@ def text_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
+def evidence(good: dict[int, float], bad: dict[int, float], vote: int) -> float:
+    """What a vote adds to the log odds of a good text. To abstain tells the classes apart when the model is
+    fitted, but never counts against a text: a rule that cannot judge a kind of text, such as another
+    language, leaves it to the others."""
+    weight = math.log(good[vote] / bad[vote])
+    return max(0.0, weight) if vote == -1 else weight
+
+
 @dataclass(frozen=True)
 class LabelModel:
     """Share of good texts, and per rule how often good and bad texts get each outcome."""
@@ -155,7 +164,7 @@ class LabelModel:
         logit = F.lit(math.log(self.prior / (1 - self.prior)))
         for rule, g, b in zip(RULES, self.good, self.bad):
             vote = F.col(f"vote_{rule.name}")
-            weight = {v: math.log(g[v] / b[v]) for v in OUTCOMES}
+            weight = {v: evidence(g, b, v) for v in OUTCOMES}
             logit = logit + F.when(vote == 1, weight[1]).when(vote == 0, weight[0]).otherwise(weight[-1])
         return 1.0 / (1.0 + F.exp(-logit))
 
@@ -171,8 +180,8 @@ def fit_label_model(
 
     Good and bad texts differ in how often a rule votes good, bad, or abstains. The start takes a
     pattern for good unless bad votes outweigh it, which also fixes which class is called good.
-    `floor` is the least share of each outcome: a rule that has never erred may still err. No rule is
-    believed to vote bad on more than `most_errors` of the good texts, else a frequent kind of junk
+    `floor` is the least share of each outcome: a rule that has never erred may still err. The limits for
+    bad votes are wide, so no rule is believed to vote bad on more than `most_errors` of the good texts, else a frequent kind of junk
     could pass for a kind of good text. Texts without words are left out. With no rows the model is
     the starting one.
     """
