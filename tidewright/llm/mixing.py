@@ -1,9 +1,10 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-Every source gets a token target. The highest quotients hand out the words of the mix as integer
-quotas: first to the sources, then to the shards of each source, a shard being a set of documents
-picked by a seeded hash. Within a shard the documents form one long text in seeded order; the quota
-is met by whole passes over it and a seeded, evenly spaced choice of its blocks, the last of which
+Every source gets a token target. The mix is made of blocks of equal size, the seats: the highest
+quotients hand them out as integer quotas, first to the sources, then to the shards of each source, a
+shard being a set of documents picked by a seeded hash. The last block of a source is a partial one, so
+that its target is met to the word. Within a shard the documents form one long text in seeded order; the
+quota is met by whole passes over it and a seeded, evenly spaced choice of its blocks, the last of which
 is cut to what is left. Blocks have the same size whatever the sources.
 """
 
@@ -108,18 +109,21 @@ def plan_mix(
     shard_docs: int = SHARD_DOCS,
     seed: int = SEED,
 ) -> DataFrame:
-    """Per row of `docs`: `id_col`, `keep`, size, source_size, target, taken, and where it lies in its shard.
+    """Per row of `docs`: `id_col`, `row` (the columns `keep`), size, source_size, target, taken, and where it
+    lies in its shard.
 
     `taken` counts the words of the row that the mix takes, repeats included; it is between 0 and
     `most` (a whole number) times the size. A null text has no words and a null source is a source
-    of its own. Repeated rows are rows of their own; null ids share a shard. Reruns agree, whatever
-    the partitioning. An empty table gives no rows.
+    of its own. Repeated rows are rows of their own; rows without id are dealt by their texts. Rows of one
+    id, text and source may change places, no others: reruns agree, whatever the partitioning. Columns of
+    any name are carried along. An empty table gives no rows.
     """
     size = F.size(words(text_or_empty(text_col))).cast("long")
-    row_key = F.xxhash64(F.lit(seed), F.col(id_col))
+    # rows without id, and those of one id, are told apart by their texts
+    row_key = F.xxhash64(F.lit(seed), F.col(id_col), text_or_empty(text_col))
     named = docs.select(
         F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), size.alias("_size"), row_key.alias("_key"),
-        *(F.col(c) for c in keep),
+        F.struct(*(F.col(c) for c in keep or [id_col])).alias("_row"),
     )
     small = staged(named.select("_source", "_size", "_key"), "sizes")
     n_docs = small.count()
@@ -131,13 +135,18 @@ def plan_mix(
     )
     sources = by_shard.groupBy("source").agg(F.sum("shard_size").alias("source_size"))
     targets = source_targets(sources, weights, share, most)
-    seats = round(share * (sources.agg(F.sum("source_size")).first()[0] or 0))
+    seats = round(share * (sources.agg(F.sum("source_size")).first()[0] or 0) / block)
     given = apportion(targets.withColumn("seats", F.lit(seats).cast("long")), [], ["source"], "target", "seats")
-    given = given.select("source", "source_size", "target", F.col("quota").alias("source_quota"))
+    # the last block of a source is cut, or one more begun, to meet the target
+    partial = F.greatest(F.least(F.round("target").cast("long") - block * F.col("quota"), F.lit(block - 1)), F.lit(1 - block))
+    given = given.select("source", "source_size", "target", F.col("quota").alias("source_quota"), partial.alias("partial"))
     on = by_shard["source"].eqNullSafe(given["source"])
-    quotas = by_shard.join(given, on).select(by_shard["*"], "source_size", "target", "source_quota")
+    quotas = by_shard.join(given, on).select(by_shard["*"], "source_size", "target", "source_quota", "partial")
+    largest = F.max(F.struct("shard_size", (-F.col("shard")).alias("shard"))).over(Window.partitionBy("source"))["shard"]
+    quotas = quotas.withColumn("last", F.col("shard") == -largest)
     quotas = apportion(quotas, ["source"], ["shard"], "shard_size", "source_quota")
-    quotas = quotas.withColumn("quota", F.least(F.col("quota"), (most * F.col("shard_size")).cast("long")))
+    in_words = block * F.col("quota") + F.when(F.col("last"), F.col("partial")).otherwise(0)
+    quotas = quotas.withColumn("quota", F.greatest(F.lit(0), F.least(in_words, (most * F.col("shard_size")).cast("long"))).cast("long"))
     words_ = F.greatest(F.col("shard_size"), F.lit(1))
     quotas = quotas.withColumn("passes", F.call_function("div", F.col("quota"), words_)).withColumn("rest_words", F.col("quota") % words_)
     # a short block at the end of the shard is chosen only with all the others
@@ -154,14 +163,14 @@ def plan_mix(
         F.pmod(F.xxhash64(F.lit(seed + 1), "source", "shard"), F.col("blocks")).alias("offset"),
     )
     quotas = staged(quotas, "quotas")
-    order = Window.partitionBy("place").orderBy("_order", "_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("place").orderBy("_order", "_id", "_key", "_size").rowsBetween(Window.unboundedPreceding, -1)
     rows = named.withColumn("place", F.struct(F.col("_source").alias("source"), shard.alias("shard")))
     rows = rows.withColumn("_order", F.xxhash64(F.lit(seed + 2), "_key"))
     rows = rows.withColumn("start", F.coalesce(F.sum("_size").over(order), F.lit(0)))
     rows = rows.alias("d").join(quotas.alias("q"), F.col("d.place").eqNullSafe(F.col("q.place")))
     return rows.select(
         F.col("_id").alias(id_col),
-        *(F.col(f"d.{c}") for c in keep if c != id_col),
+        *([F.col("_row").alias("row")] if keep else []),
         F.col("_size").alias("size"),
         "source_size",
         "target",
@@ -176,7 +185,8 @@ def mix_documents(docs: DataFrame, text_col: str = "text", n_chars_col: str = "n
     Of a text without words nothing can be taken.
     """
     planned = plan_mix(docs, text_col=text_col, keep=docs.columns, block=block, **options)
-    pieces = F.regexp_extract_all(F.col(text_col), F.lit(f"([^\\x20\\x09-\\x0D]+{SPACE_CLASS}*)"), 1)
+    text = F.col("row")[text_col]
+    pieces = F.regexp_extract_all(text, F.lit(f"([^\\x20\\x09-\\x0D]+{SPACE_CLASS}*)"), 1)
 
     def taken(_: Column, k: Column) -> Column:
         before, here = _chosen_before(F.col("start") + k, block)
@@ -186,11 +196,11 @@ def mix_documents(docs: DataFrame, text_col: str = "text", n_chars_col: str = "n
     rest = F.col("taken") - F.col("passes") * F.col("size")
     copies = F.when(F.col("size") > 0, F.col("passes")).otherwise(0)
     texts = F.concat(
-        F.array_repeat(F.col(text_col), copies.cast("int")),
-        F.when((rest == F.col("size")) & (rest > 0), F.array(F.col(text_col)))
+        F.array_repeat(text, copies.cast("int")),
+        F.when((rest == F.col("size")) & (rest > 0), F.array(text))
         .when(rest > 0, F.array(F.array_join(part, "")))
         .otherwise(F.array().cast("array<string>")),
     )
-    rows = planned.withColumn("_text", F.explode(texts))
-    new = {text_col: F.col("_text"), n_chars_col: F.length("_text").cast("long")}
-    return rows.select(*(new.get(c, F.col(c)).alias(c) for c in docs.columns))
+    rows = planned.select("row", F.explode(texts).alias("mixed"))
+    new = {text_col: F.col("mixed"), n_chars_col: F.length("mixed").cast("long")}
+    return rows.select(*(new.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
