@@ -369,6 +369,19 @@ def test_mixed_documents_hold_the_words_that_are_taken(spark, odd_docs, no_docs)
     assert mixing.mix_documents(odd_docs).columns == odd_docs.columns
 
 
+def test_columns_of_any_name_are_carried_and_rows_without_id_dealt(spark):
+    """Columns with the names that the plan uses itself; null ids lie in several shards."""
+    names = ["size", "target", "taken", "start", "place", "source_size", "passes", "rest_words", "rest", "blocks", "offset", "_order", "row", "mixed", "_row", "_key"]
+    rng = random.Random(3)
+    rows = [(None if i % 2 else i, " ".join(noise(rng, 30)), "s", "en", 1, *[f"mine{i}"] * len(names)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long, " + ", ".join(f"{n} string" for n in names))
+    mixed = mixing.mix_documents(docs, shard_docs=16).collect()
+    assert mixed and all(r[n].startswith("mine") for r in mixed for n in names)
+    plan = mixing.plan_mix(docs, shard_docs=16).where("doc_id is null")
+    assert plan.select("offset", "blocks", "rest_words").distinct().count() > 1
+    assert abs(sum(len(r.text.split()) for r in mixed) - 9000) <= 64
+
+
 def test_a_tiny_source_does_not_shred_the_others(spark):
     texts = [" ".join(f"w{i}" for i in range(3000)) for _ in range(20)]
     docs = make_docs(spark, [*texts, "lone words here"], sources=["a"] * 5 + ["b"] * 15 + [None])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 
@@ -76,6 +77,21 @@ def test_junk_goes_and_prose_stays(spark):
     assert left.columns == ["doc_id", "text", "lang", "source", "n_chars"] and {r["doc_id"] for r in left.collect()} == kept
 
 
+@pytest.mark.parametrize("share", [0.03, 0.33])
+def test_clean_texts_of_another_language_stay(spark, share):
+    """A third of the rows in a language whose function words no rule knows, beside prose and junk."""
+    rng = random.Random(4)
+    syllables = "ka wo zdr prze cie szy ny rza gwi mlo dzie no po sta wia sko wy cho dzi la my tru dno".split()
+    vocabulary = ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(2000)]
+    other = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(60, 160))) + "." for _ in range(int(300 * share / (1 - share)))]
+    prose = [" ".join(rng.choice(["the", "of", "and", "to", "in", "is", *vocabulary[:400]]) for _ in range(rng.randint(60, 160))) for _ in range(270)]
+    junk = ["buy### now$$$ " * 3 + " ".join(f"{rng.choice(vocabulary)}{rng.choice(['###', '$$$', '&&&'])}" for _ in range(80)) for _ in range(30)]
+    kept = {r.doc_id: r.kept for r in quality.judge_quality(make_docs(spark, prose + junk + other)).collect()}
+    assert all(kept[i] for i in range(270)) and all(kept[300 + i] for i in range(len(other)))
+    if share < 0.1:
+        assert not any(kept[270 + i] for i in range(30))
+
+
 def test_quality_of_odd_and_no_documents(odd_docs, no_docs):
     judged = quality.judge_quality(odd_docs)
     assert judged.count() == 9 and judged.where("kept is null or base_failed is null").count() == 0
@@ -149,6 +165,32 @@ def test_novel_strings_are_found_and_names_are_not(spark):
     assert all(not v for i, v in got.items() if i != 20)
 
 
+def test_keys_of_any_alphabet_and_length_are_found():
+    """Random strings of 12 to 4,000 characters in six alphabets; names, paths and words of the corpus are not."""
+    rng = random.Random(6)
+    words = ["settings", "customer", "database", "connection", "internationalization", "configuration", "management", "password", "handler", "manager", "provider", "factory"]
+    novelty = secrets.Novelty("\n".join(words + [f"{a}_{b}" for a in words for b in words]).encode())
+    scan = lambda text: [text[s:e] for s, e, _ in novelty.spans(text, secrets.base_spans(text))]
+    alphabets = [secrets.ALPHABETS[i] for i in (2, 5, 6, 8, 9, 10)]
+    missed = []
+    for alphabet, n in itertools.product(alphabets, (12, 24, 32, 64, 96, 256, 1000, 4000)):
+        keys = ["".join(rng.choices(alphabet, k=n)) for _ in range(5)]
+        missed += [k for k in keys if not any(k.strip("=+/") in found for found in scan(f"the secret key is {k} keep it"))]
+    assert len(missed) <= 4
+    for name in ("configurationmanager", "customer_database_connection", "internationalization_settings", "passwordhandlerfactory", "connection-provider-manager", "=" * 40, "aaaaaaaaaaaaaaaaaaaaaaaa"):
+        assert scan(f"the secret key of {name} is old") == [], name
+
+
+def test_candidates_are_measured_once(monkeypatch):
+    calls = []
+    monkeypatch.setattr(secrets.Novelty, "marginal", lambda self, before, own, after: calls.append(len(own)) or 0)
+    secrets.Novelty(b"").spans("token1" * 8000, [])
+    assert len(calls) <= 1 + secrets.RANDOM
+    calls.clear()
+    secrets.Novelty(b"").spans("secret token password key_abcdefghijkl " * 300, [])
+    assert len(calls) <= 300 * 3 + 10 * secrets.RANDOM
+
+
 # --- personal data ------------------------------------------------------------------------
 
 

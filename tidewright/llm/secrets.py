@@ -1,14 +1,19 @@
 """Secrets in texts: known patterns, and strings in a sensitive place that do not compress.
 
-A candidate is a string that follows a sensitive word closely and mixes letters and digits. Its
-novelty is its marginal size: the bytes that zstandard needs for the surrounding text with the
-candidate, less those without it, the compressor being primed with a dictionary of the code
-identifiers of the corpus. Names, paths and words that occur elsewhere compress well; keys do not.
+A candidate is a string that follows a sensitive word closely. Its novelty is its marginal size: the
+bytes that zstandard needs for the surrounding text with the candidate, less those without it, the
+compressor being primed with a dictionary of the code identifiers and long words of the corpus. It is
+compared with what random strings of the same alphabet and length cost after the same dictionary, so
+that neither a small alphabet nor the length hides a key. Names, paths and words that occur elsewhere,
+whole or in parts, compress well; keys do not.
 """
 
 from __future__ import annotations
 
+import bisect
+import random
 import re
+import string
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,7 +38,15 @@ SENSITIVE = re.compile(
 )
 LEAST_CHARS = 12
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=~$!@%^&*-]{{{LEAST_CHARS},}}")
-IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{2,63}(?=\x20*[=(:])|[A-Za-z][A-Za-z0-9]*_[A-Za-z0-9_]{1,48}")
+#: Code identifiers, and words that are long enough to share parts with others.
+IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{2,63}(?=\x20*[=(:])|[A-Za-z][A-Za-z0-9]*_[A-Za-z0-9_]{1,48}|(?<![A-Za-z])[a-z]{5,24}(?![A-Za-z])")
+#: Alphabets of keys, the smaller first.
+_LETTERS = string.ascii_letters + string.digits
+ALPHABETS = (
+    string.digits, string.digits + "abcdef", string.digits + "ABCDEF", string.ascii_lowercase, string.ascii_uppercase,
+    string.ascii_uppercase + "234567", string.ascii_lowercase + string.digits, string.ascii_uppercase + string.digits,
+    string.ascii_letters, _LETTERS, _LETTERS + "+/=", _LETTERS + "-_=", _LETTERS + "+/_=~$!@%^&*-",
+)
 
 SPANS = pa.list_(
     pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string())])
@@ -41,11 +54,12 @@ SPANS = pa.list_(
 COUNTS = pa.schema([("identifier", pa.string()), ("n", pa.int64())])
 
 #: Most identifiers in the dictionary; with at most 64 bytes each this bounds what is sent to the tasks.
-IDENTIFIERS = 2000
+IDENTIFIERS = 4000
 #: Characters of surrounding text on either side, and how far a candidate may be from the sensitive word.
 AROUND, REACH = 400, 40
-#: Least marginal bytes per character, and in all, for a report.
-NOVELTY, LEAST_BYTES = 0.8, 12
+#: Least share of the bytes that random strings need for a report, how many of them are measured, and the
+#: characters up to which their length is that of the candidate; beyond, lengths are rounded to 1/8.
+NOVELTY, RANDOM, EXACT = 0.9, 5, 64
 
 
 def count_identifiers(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -59,8 +73,6 @@ def count_identifiers(docs: DataFrame, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_pydict({"identifier": [*found], "n": [*found.values()]}, schema=COUNTS)
 
     texts = docs.select(text_or_empty(text_col).alias("text"))
-    # only texts with a mark of code can have one
-    texts = texts.where(F.col("text").rlike("[=(:_]"))
     return texts.mapInArrow(count, "identifier string, n long").groupBy("identifier").agg(F.sum("n").alias("n"))
 
 
@@ -84,6 +96,7 @@ class Novelty:
 
     def __init__(self, dictionary: bytes):
         self.dictionary = dictionary
+        self.expected: dict[tuple[int, int], float] = {}
 
     def marginal(self, before: str, candidate: str, after: str) -> int:
         """Bytes that `candidate` adds when its surroundings and the dictionary are known."""
@@ -93,23 +106,34 @@ class Novelty:
         nothing = len(compressor.compress(b"\n"))
         return len(compressor.compress(candidate.encode("utf-8", "replace") + b"\n")) - nothing
 
+    def random_bytes(self, candidate: str) -> float:
+        """Bytes that a random string of the smallest alphabet around the candidate and of its length adds."""
+        own, n = set(candidate), len(candidate)
+        kind = next((i for i, a in enumerate(ALPHABETS) if own <= set(a)), len(ALPHABETS) - 1)
+        step = 1 if n <= EXACT else 1 << (n.bit_length() - 4)
+        length = n // step * step
+        if (kind, length) not in self.expected:
+            rng = random.Random(kind * 1_000_003 + length)
+            made = ("".join(rng.choices(ALPHABETS[kind], k=length)) for _ in range(RANDOM))
+            self.expected[kind, length] = sum(self.marginal("", x, "") for x in made) / RANDOM
+        return self.expected[kind, length] * n / length
+
     def spans(self, text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-        """Novel candidates near a sensitive word that overlap no span of `taken`."""
+        """Novel candidates near a sensitive word that overlap no span of `taken`; each is measured once."""
         out: list[tuple[int, int, str]] = []
-        last = 0
+        # spans of `taken` that start before the end of a candidate but do not end before it starts overlap it
+        starts, ends, seen = sorted(s for s, _, _ in taken), sorted(e for _, e, _ in taken), 0
         for word in SENSITIVE.finditer(text):
-            at = max(word.end(), last)
+            at = max(word.end(), seen)
             while near := CANDIDATE.search(text, at, word.end() + REACH + LEAST_CHARS):
                 start, end = CANDIDATE.match(text, near.start()).span()
-                own, at = text[start:end], end
-                if not (re.search("[0-9]", own) and re.search("[A-Za-z]", own)):
-                    continue
-                if any(s < end and start < e for s, e, _ in taken):
+                at = seen = end
+                if bisect.bisect_left(starts, end) != bisect.bisect_right(ends, start):
                     continue
+                own = text[start:end]
                 new = self.marginal(text[max(0, start - AROUND) : start], own, text[end : end + AROUND])
-                if new >= LEAST_BYTES and new >= NOVELTY * len(own):
+                if new >= NOVELTY * self.random_bytes(own):
                     out.append((start, end, "novel"))
-                    last = end
         return out
 
 
@@ -117,8 +141,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """`id_col` and `spans`, array of (kind, start, end, value), for every row of `docs`.
 
     Positions are code points, ends exclusive. A null or empty text has no spans; repeated rows and
-    null ids come back as they are; an empty table gives none. Only the identifier dictionary, of
-    bounded size, goes through the driver.
+    null ids come back as they are; an empty table gives none. Long texts and candidates are read once.
+    Other columns are not read. Only the identifier dictionary, of bounded size, goes through the driver.
     """
     dictionary = identifier_dictionary(docs, text_col)
     rows = docs.select(F.col(id_col), text_or_empty(text_col).alias("_text"))
