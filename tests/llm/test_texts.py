@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -243,6 +244,70 @@ def test_patterns_discover_other_notations(spark):
     assert all(len(got[i]) == 1 for i in range(26))
 
 
+def number(rng, n=7):
+    return "".join(rng.choice("123456789") for _ in range(n))
+
+
+@pytest.mark.parametrize("label", ["phone=", "phone:", "Tel:", '"tel":"', "tel;fax=", "call "])
+def test_labels_that_are_glued_to_the_value(spark, label):
+    rng = random.Random(3)
+    texts = [f"{prose(rng, 6)} {label}+1 555{number(rng)}" for _ in range(20)] + [f"{prose(rng, 6)} {label}030 1234567", "x 030 7654321"]
+    got = {r.doc_id: [s["value"] for s in r.spans] for r in pii.find_personal_data(make_docs(spark, texts)).collect()}
+    assert got[20] == ["030 1234567"] and got[21] == []
+
+
+def plain_patterns(rows, texts):
+    """Scores by dictionaries: {(kind, label): credit}, from the spans with their labels."""
+    could = {
+        "email": lambda v: "@" in v,
+        "ip": lambda v: "@" not in v and re.fullmatch(r"[0-9]+([.:][0-9]+){3,}", v),
+        "card": lambda v: "@" not in v and 12 <= len(re.sub("[^0-9]", "", v)) <= 19,
+        "phone": lambda v: "@" not in v and 7 <= len(re.sub("[^0-9]", "", v)) <= 15,
+    }
+    part = "[^ \t-\r\"'()<>\\[\\]{},;&|=:]"
+    totals = collections.Counter(w for t in texts for w in re.findall(part + "+[\"']?[=:]*", t.lower()))
+    n = collections.Counter((s["kind"], s["word"], s["value"].lower(), True) for r in rows for s in r.known if s["word"])
+    n.update((k, s["word"], s["value"].lower(), False) for r in rows for s in r.loose if s["word"] for k in could if could[k](s["value"].lower()))
+    belief, before = {}, None
+    while True:
+        hits, values = collections.Counter(), collections.Counter()
+        for (kind, word, value, seed), times in n.items():
+            worth = 1.0 if seed else belief.get((kind, value), 0.0)
+            hits[kind, word] += times * worth
+            values[kind, word] += worth >= pii.CREDIBLE
+        credit = {p: min(1.0, hits[p] / totals[p[1]]) for p in hits if values[p] >= pii.SUPPORT}
+        credible = {p: c for p, c in credit.items() if c >= pii.CREDIBLE}
+        if len(credible) == before:
+            return credible
+        before, doubt = len(credible), {}
+        for kind, word, value, seed in n:
+            if not seed and (kind, word) in credit:
+                doubt[kind, value] = doubt.get((kind, value), 1.0) * max(1e-9, 1 - credit[kind, word])
+        belief = {v: 1 - d for v, d in doubt.items()}
+
+
+def test_a_label_of_loose_forms_only_is_learned_in_a_later_round(spark):
+    """`rufnummer` never stands before a seed; it is learned from values that `phone:` made credible."""
+    rng = random.Random(11)
+    loose = [f"030 {number(rng)}" for _ in range(8)]
+    texts = [f"{prose(rng, 6)} phone: +1 555{number(rng)}" for _ in range(30)] + [f"phone: {v} {prose(rng, 3)}" for v in loose]
+    texts += [f"rufnummer {v} {prose(rng, 3)}" for v in loose] + ["rufnummer 040 9876543 in town", "order 040 1111111 came"]
+    docs = make_docs(spark, texts)
+    got = {r.doc_id: [s["value"] for s in r.spans] for r in pii.find_personal_data(docs).collect()}
+    assert got[46] == ["040 9876543"] and got[47] == []
+    rows = docs.select(pii.find_known(F.col("text")).alias("known"), "text").withColumn("loose", pii.find_loose(F.col("text"), F.col("known")))
+    said = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(pii.LABEL), 0)).alias("word"))
+    scored = {(r.kind, r.word): r.credit for r in pii.scored_patterns(rows, said).collect()}
+    assert scored == pytest.approx(plain_patterns(rows.collect(), texts)) and ("phone", "rufnummer") in scored
+
+
+def test_long_odd_words_take_linear_time(spark):
+    texts = ["a" * 1_000_000 + "1", "a@" * 300_000 + "1", "1" * 1_000_000 + "x", "phone=" * 100_000 + "1", "+1" * 200_000]
+    start = time.perf_counter()
+    assert pii.find_personal_data(make_docs(spark, texts)).count() == 5
+    assert time.perf_counter() - start < 60
+
+
 def test_masking_keeps_the_rest(spark, odd_docs):
     texts = ["a x@y.zz b +1 (017) 555-7713 c", "none", None, "4539 1488 0343 6467"]
     masked = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pii.mask_personal_data(make_docs(spark, texts)).collect()}

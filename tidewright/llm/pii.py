@@ -1,11 +1,13 @@
 """Personal data in texts: known forms, and further identifiers found by bootstrapping.
 
-The known forms (e-mail, IP address, card and phone number) are the seeds. The word before a seed
-induces a lexical pattern, (kind, word). Patterns and the values they precede form a graph that is
-scored in rounds: a pattern is as credible as the share of all occurrences of its word that is followed
-by a credible value of its kind; a value that is no seed is as credible as its patterns together. Loose
-forms (numbers in other notations, addresses without a full domain) that follow a credible pattern
-are reported as well. All of it is SQL expressions and joins.
+The known forms (e-mail, IP address, card and phone number) are the seeds. The label before a value, a
+word or what stands glued to it (`phone=`, `"tel":"`), is a lexical pattern, (kind, label). Patterns and the
+values they precede form a graph that is scored in rounds: a pattern is as credible as the share of all
+occurrences of its label that is followed by a credible value of its kind; a value that is no seed is as
+credible as its patterns together. Each round induces patterns anew, from the seeds and the values that
+the patterns so far made credible, until a round adds none. Loose forms (numbers in other notations,
+addresses without a full domain) that follow a credible pattern are reported as well. All of it is SQL
+expressions and joins.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import SPACE_CLASS, staged, text_or_empty, words
+from tidewright.llm.common import SPACE_CLASS, staged, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns, written so that a long run of matching characters is tried once only.
@@ -29,12 +31,19 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]"}
 IP_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}$"
 #: Loose forms, and what they need to pass as a value of a kind.
-LOOSE = r"[^\x20\x09-\x0D\"'<>,;()]+@[^\x20\x09-\x0D\"'<>,;()]+|[(+]?[0-9][0-9().:/\x20-]{4,}[0-9]"
+_FREE = r"\x20\x09-\x0D\"'<>,;()="
+LOOSE = rf"(?<![^{_FREE}])[^{_FREE}@]++@[^{_FREE}]++|[(+]?[0-9][0-9().:/\x20-]{{4,}}[0-9]"
 #: A mark that no text holds (it is replaced where one does), so that a text can be split at it.
 MARK, INSTEAD = "￿", "￾"
-LEFT_WORD = rf"([^\x20\x09-\x0D]+){SPACE_CLASS}*[\"'(<\[]*$"
-#: Rounds of scoring; different values a pattern must precede; credibility to count and to report.
-ROUNDS, SUPPORT, CREDIBLE = 3, 3, 0.6
+#: Labels: words, with the quote and the colons or equals signs after them. The same expression finds the
+#: label before a value and counts all labels of the corpus.
+_PART = r"[^\x20\x09-\x0D\"'()<>\[\]{},;&|=:]"
+LABEL = rf"{_PART}++[\"']?+[=:]*+"
+LEFT_LABEL = rf"((?<!{_PART}){LABEL}){SPACE_CLASS}*+[\"'(<\[]*+$"
+#: Characters before a value in which its label is looked for.
+BEFORE = 120
+#: Different values a pattern must precede; credibility to count and to report.
+SUPPORT, CREDIBLE = 3, 0.6
 FOUND = "array<struct<kind:string,start:int,end:int,value:string,word:string>>"
 
 
@@ -72,7 +81,7 @@ def _matches(text: Column, kind: str, pattern: str, valid) -> Column:
             acc["at"].alias("start"),
             end.alias("end"),
             p["part"].alias("value"),
-            F.lower(F.regexp_extract(F.right(acc["before"], F.lit(120)), LEFT_WORD, 1)).alias("word"),
+            F.lower(F.regexp_extract(F.right(acc["before"], F.lit(BEFORE)), LEFT_LABEL, 1)).alias("word"),
         )
         hits = F.when(p["inside"] & valid(p["part"]), F.concat(acc["hits"], F.array(hit))).otherwise(acc["hits"])
         return F.struct(end.alias("at"), p["part"].alias("before"), hits.alias("hits"))
@@ -109,40 +118,43 @@ def could_be(kind: Column, value: Column) -> Column:
     )
 
 
-def scored_patterns(found: DataFrame, text_words: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT) -> DataFrame:
+def scored_patterns(found: DataFrame, text_words: DataFrame, support: int = SUPPORT) -> DataFrame:
     """`kind`, `word`, `credit` of every credible pattern.
 
-    `found`: `known` and `loose` spans; `text_words`: the column `word`, one row per word of the
-    corpus. Values and words are counted before anything is joined, so a frequent word is one row.
+    `found`: `known` and `loose` spans; `text_words`: the column `word`, one row per label of the
+    corpus. Values and labels are counted before anything is joined, so a frequent one is one row. What
+    is credible only grows from round to round, and the rounds end when no pattern is added.
     """
     seeds = found.select(F.explode("known").alias("s")).select("s.kind", "s.word", F.lower("s.value").alias("value"))
-    seeds = seeds.where("word != ''").groupBy("kind", "word", "value").agg(F.count("*").alias("n"))
-    seeds = staged(seeds.withColumn("seed", F.lit(True)), "seeds")
-    induced = seeds.groupBy("kind", "word").agg(F.count("*").alias("values")).where(F.col("values") >= support)
-    totals = text_words.groupBy("word").agg(F.count("*").alias("total"))
-    induced = staged(induced.join(totals, "word").select("kind", "word", "total"), "induced")
+    seeds = seeds.where("word != ''").groupBy("kind", "word", "value").agg(F.count("*").alias("n")).withColumn("seed", F.lit(True))
     loose = found.select(F.explode("loose").alias("s")).select("s.word", F.lower("s.value").alias("value"))
-    loose = loose.where("word != ''").groupBy("word", "value").agg(F.count("*").alias("n"))
-    loose = loose.join(induced.select("kind", "word"), "word").where(could_be(F.col("kind"), F.col("value")))
-    edges = seeds.join(induced.select("kind", "word"), ["kind", "word"]).unionByName(
-        loose.withColumn("seed", F.lit(False)).select("kind", "word", "value", "n", "seed")
-    )
-    edges = staged(edges, "edges")
-    worth = edges.withColumn("worth", F.col("seed").cast("double"))
-    patterns = None
-    for _ in range(rounds):
-        # seeds of the same word count once per occurrence, and a word cannot be more than sure
+    loose = loose.where("word != ''").groupBy("word", "value").agg(F.count("*").alias("n"), F.lit(False).alias("seed"))
+    kinds = F.filter(F.array(*map(F.lit, KINDS)), lambda k: could_be(k, F.col("value")))
+    loose = loose.withColumn("kind", F.explode(kinds)).select("kind", "word", "value", "n", "seed")
+    # a label before fewer values than the support is no pattern in any round
+    edges = seeds.unionByName(loose)
+    enough = edges.groupBy("kind", "word").agg(F.count("*").alias("values")).where(F.col("values") >= support).drop("values")
+    edges = edges.join(enough, ["kind", "word"])
+    totals = text_words.groupBy("word").agg(F.count("*").alias("total"))
+    edges = staged(edges.join(totals, "word"), "edges")
+    worth, before = edges.withColumn("worth", F.col("seed").cast("double")), -1
+    while True:
         patterns = worth.groupBy("kind", "word").agg(
-            F.sum(F.col("n") * F.col("worth")).alias("hits"), F.sum((F.col("worth") >= CREDIBLE).cast("int")).alias("values")
+            F.sum(F.col("n") * F.col("worth")).alias("hits"),
+            F.sum((F.col("worth") >= CREDIBLE).cast("int")).alias("values"),
+            F.first("total").alias("total"),
         )
-        patterns = patterns.where(F.col("values") >= support).join(induced, ["kind", "word"])
-        patterns = patterns.select("kind", "word", F.least(F.lit(1.0), F.col("hits") / F.col("total")).alias("credit"))
+        credit = F.least(F.lit(1.0), F.col("hits") / F.col("total"))
+        patterns = staged(patterns.where(F.col("values") >= support).select("kind", "word", credit.alias("credit")), "patterns")
+        credible = patterns.where(F.col("credit") >= CREDIBLE)
+        if (now := credible.count()) == before:
+            return credible
+        before = now
         doubt = F.sum(F.log(F.greatest(1.0 - F.col("credit"), F.lit(1e-9))))
         values = edges.where("not seed").join(patterns, ["kind", "word"]).groupBy("kind", "value").agg((1.0 - F.exp(doubt)).alias("belief"))
         worth = edges.join(values, ["kind", "value"], "left").withColumn(
             "worth", F.when(F.col("seed"), F.lit(1.0)).otherwise(F.coalesce("belief", F.lit(0.0)))
         )
-    return patterns.where(F.col("credit") >= CREDIBLE)
 
 
 def find_personal_data(
@@ -152,7 +164,7 @@ def find_personal_data(
 
     `base` has the known forms, `spans` also those of credible patterns. Positions are code points,
     ends exclusive. Null and empty texts have none. Repeated rows and null ids come back as they
-    are; an empty table gives none. With `keep_text`, also `row`, the input row.
+    are; an empty table gives none. Long words and texts are read once per expression. With `keep_text`, also `row`, the input row.
     """
     text = F.translate(text_or_empty("_text"), MARK, INSTEAD)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *([F.struct(*docs.columns).alias("row")] if keep_text else []))
@@ -160,7 +172,7 @@ def find_personal_data(
     rows = rows.withColumn("known", find_known(F.col("_text")))
     rows = rows.withColumn("loose", find_loose(F.col("_text"), F.col("known"))).drop("_text")
     rows = staged(rows, "personal")  # the keys of rows hold from here on
-    said = docs.select(F.explode(words(F.lower(text_or_empty(text_col)))).alias("word"))
+    said = docs.select(F.explode(F.regexp_extract_all(F.lower(text_or_empty(text_col)), F.lit(LABEL), 0)).alias("word"))
     patterns = scored_patterns(rows, said)
     more = rows.select("key", F.explode("loose").alias("s")).where("s.word != ''")
     more = more.join(patterns, F.col("s.word") == F.col("word")).where(could_be(F.col("kind"), F.col("s.value")))
