@@ -295,6 +295,29 @@ def test_recall_scores_and_ties(spark, monkeypatch):
     assert [v for v, _ in got[0]][:20] == list(range(1, 21)) and [v for v, _ in got[20]] == list(range(20))
 
 
+def test_rare_vectors_are_searched_as_well_as_a_dense_cluster(spark, monkeypatch):
+    """6,000 vectors in one tight cluster, 60 spread ones: recall of both groups apart, and full lists."""
+    monkeypatch.setattr(ann, "LEAF", 64)
+    rng = np.random.default_rng(1)
+    centre = rng.normal(size=24)
+    x = np.vstack([centre + 0.05 * rng.normal(size=(6000, 24)), rng.normal(size=(60, 24)) * rng.uniform(0.3, 2, (60, 1))])
+    x = x[rng.permutation(len(x))]
+    rare = np.linalg.norm(x - centre, axis=1) > 1.5
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    asked = [*np.flatnonzero(rare).tolist(), *np.flatnonzero(~rare)[::100].tolist()]
+    got = collections.defaultdict(set)
+    for r in ann.nearest_neighbours(frame, F.col("vec_id").isin(asked)).collect():
+        got[r.query_id].add(r.vec_id)
+    recall = {True: [], False: []}
+    for q in asked:
+        score = x @ x[q]
+        score[q] = -np.inf
+        true = set(np.argsort(-score, kind="stable")[:20].tolist())
+        assert len(got[q]) == 20
+        recall[bool(rare[q])].append(len(true & got[q]) / 20)
+    assert np.mean(recall[True]) >= 0.9 and np.mean(recall[False]) >= 0.9
+
+
 def test_few_and_no_vectors(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<float>")
     got = [tuple(r) for r in ann.nearest_neighbours(few, F.col("vec_id") % 20 == 0).orderBy("rank").collect()]

@@ -2,8 +2,10 @@
 
 The tree is fitted on a bounded sample of the vectors and every vector is filed in a leaf. A query walks
 the tree best bin first: a priority queue holds the nodes not yet opened, nearest first, and the
-leaves come out in the order in which they promise neighbours. How many leaves are visited is
-calibrated: visits widen until queries of the sample find the wanted share of their true neighbours.
+leaves come out in the order in which they promise neighbours. How many leaves a query visits is calibrated
+for the leaf it starts in: visits widen until the queries of the sample that start there, and all
+together, find the wanted share of their true neighbours. So a dense cluster does not decide for rare
+vectors. Nor does a query end before its leaves hold enough vectors.
 Nearness is the inner product. Vectors get one more component that makes their norms equal, so that
 the nearest vector by distance is the one of largest inner product.
 
@@ -29,8 +31,8 @@ K = 20
 SAMPLE, SAMPLE_BYTES = 65_536, 64 << 20
 #: Children of a node, sample vectors of a leaf, rounds of k-means per node.
 BRANCHES, LEAF, ROUNDS = 16, 256, 8
-#: Wanted share of true neighbours, and queries it is measured on.
-RECALL, CALIBRATION = 0.94, 512
+#: Wanted share of true neighbours, and queries it is measured on per leaf at most.
+RECALL, CALIBRATION = 0.94, 16
 #: Entries of the index that make a part of their own, and queries that meet one part at most on average.
 ENTRIES, QUERIES = 8192, 1024
 #: Rows with the same vector that one group numbers on average.
@@ -71,20 +73,32 @@ class Tree:
                     todo.append((child, own))
         return out
 
-    def visit(self, query: np.ndarray, most: int) -> list[int]:
-        """The first `most` leaves in best-bin-first order."""
+    def visit(self, query: np.ndarray) -> Iterator[int]:
+        """The leaves in best-bin-first order."""
         if not self.centres:
-            return [0]
+            yield 0
+            return
         lifted = np.append(query / max(float(np.linalg.norm(query)), 1e-300) * self.norm, 0.0)
-        queue, found = [(0.0, 0)], []
-        while queue and len(found) < most:
+        queue = [(0.0, 0)]
+        while queue:
             _, node = heapq.heappop(queue)
             if node < 0:
-                found.append(-1 - node)
+                yield -1 - node
                 continue
             distances = ((self.centres[node] - lifted) ** 2).sum(1)
             for child, distance in zip(self.children[node], distances.tolist()):
                 heapq.heappush(queue, (distance, child))
+
+    def visited(self, query: np.ndarray, visits: np.ndarray, held: dict[int, int], least: int) -> list[int]:
+        """The leaves for a query: as many as the first one asks for, and until they hold `least` vectors."""
+        found, seen, most = [], 0, 1
+        for leaf in self.visit(query):
+            if not found:
+                most = int(visits[leaf])
+            elif len(found) >= most and seen >= least:
+                break
+            found.append(leaf)
+            seen += held.get(leaf, 0)
         return found
 
 
@@ -127,20 +141,32 @@ def fit_tree(sample: np.ndarray, norm: float, seed: int = 7) -> Tree:
     return tree
 
 
-def calibrate(tree: Tree, sample: np.ndarray, k: int, recall: float = RECALL, seed: int = 11) -> int:
-    """The least number of leaf visits with which queries of the sample reach the recall."""
+def calibrate(tree: Tree, sample: np.ndarray, k: int, recall: float = RECALL, seed: int = 11) -> np.ndarray:
+    """Per leaf, the least number of visits with which the queries of the sample that start there reach the
+    recall, and not fewer than all queries need together. A query is not its own neighbour."""
+    if not tree.centres:
+        return np.ones(1, dtype=np.int64)
     rng = np.random.default_rng(seed)
-    queries = sample[rng.choice(len(sample), min(CALIBRATION, len(sample)), replace=False)]
     filed = tree.file(sample)
-    needed = np.zeros(tree.leaves + 1)
-    total = 0
-    for q in queries:
-        true = np.argsort(-(sample @ q), kind="stable")[: k + 1]
-        rank = {leaf: i for i, leaf in enumerate(tree.visit(q, tree.leaves))}
-        for leaf in filed[true].tolist():
-            needed[rank[leaf]] += 1
-        total += len(true)
-    return int(np.searchsorted(np.cumsum(needed), recall * total) + 1)
+    order = rng.permutation(len(sample))
+    order = order[np.argsort(filed[order], kind="stable")]
+    nth = np.arange(len(order)) - np.searchsorted(filed[order], filed[order])
+    queries = order[nth < CALIBRATION]
+    weight = np.bincount(filed, minlength=tree.leaves) / np.maximum(1, np.bincount(filed[queries], minlength=tree.leaves))
+    # how many neighbours a leaf's queries have in the leaf they visit n-th
+    needed = np.zeros((tree.leaves, tree.leaves))
+    for low in range(0, len(queries), 256):
+        some = queries[low : low + 256]
+        scores = sample[some] @ sample.T
+        scores[np.arange(len(some)), some] = -np.inf
+        near = np.argpartition(-scores, min(k, len(sample) - 1) - 1, axis=1)[:, : min(k, len(sample) - 1)]
+        for i, own in zip(some.tolist(), near):
+            rank = np.empty(tree.leaves, dtype=np.int64)
+            way = list(tree.visit(sample[i]))
+            rank[way] = np.arange(len(way))
+            np.add.at(needed[way[0]], rank[filed[own]], weight[filed[i]])
+    enough = lambda x: np.argmax(np.cumsum(x, -1) >= recall * x.sum(-1, keepdims=True), -1) + 1
+    return np.maximum(enough(needed), enough(needed.sum(0)))
 
 
 def usable(vector: Column) -> Column:
@@ -237,14 +263,16 @@ def nearest_neighbours(
             yield pa.RecordBatch.from_arrays([leaf, *batch.columns], names=["leaf", *batch.schema.names])
 
     index = staged(entries.mapInArrow(filed, "leaf int, entry long, ids array<long>, vector array<double>"), "index")
-    sizes = {r["leaf"]: r["count"] for r in index.groupBy("leaf").count().collect()}  # a row per leaf of the bounded tree
+    # a row per leaf of the bounded tree
+    leaves = index.groupBy("leaf").agg(F.count("*").alias("n"), F.sum(F.size("ids")).alias("held")).collect()
+    sizes, held = {r["leaf"]: r["n"] for r in leaves}, {r["leaf"]: r["held"] for r in leaves}
     parts = part_of_leaves(sizes, tree.leaves)
 
     def visited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for entry, vector in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 by_part: dict[int, list[int]] = {}
-                for leaf in tree.visit(np.array(vector), visits):
+                for leaf in tree.visited(np.array(vector), visits, held, k + 1):
                     first, count = parts[leaf]
                     for part in range(first, first + count):
                         by_part.setdefault(part, []).append(leaf)
