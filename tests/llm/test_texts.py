@@ -421,6 +421,37 @@ def test_broken_pages_do_not_crash(page):
     assert isinstance(html_text.main_text(page), str)
 
 
+#: A tag, tried anew at every `<`: slow on broken pages, but plain.
+PLAIN_TAG = re.compile(
+    r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>",
+    re.DOTALL,
+)
+
+
+def plain_tags(page):
+    for m in PLAIN_TAG.finditer(page):
+        yield m.start(), m.end(), bool(m[1] or m[4]), m[2] or m[5] or "", m[3] or m[6] or ""
+
+
+def test_tags_are_those_of_a_plain_search():
+    rng = random.Random(12)
+    pieces = ["<", ">", "<p", "</p>", "<a href='x>y'", 'class="b c"', "'", '"', "<!--", "-->", "--!>", "<!doctype html>", "</", "<?x", " ", "/", "text", "<b>", "é", "=", "\n", "<a<b", "-", "!"]
+    for _ in range(4000):
+        page = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 30)))
+        tags, at, found = html_text.Tags(page), 0, []
+        while tag := tags.search(at):
+            found.append(tag)
+            at = tag[1]
+        assert found == list(plain_tags(page)), page
+
+
+@pytest.mark.parametrize("page", ["<a b='" * 200_000, "<a " * 300_000, "<a" * 300_000, "<div>" * 100_000 + "x" + "</b>" * 100_000, "<a b='>" * 100_000, "<!" * 300_000, "</p x=\"" * 100_000])
+def test_broken_pages_take_linear_time(page):
+    start = time.perf_counter()
+    html_text.main_text(page)
+    assert time.perf_counter() - start < 20
+
+
 def test_pages_keep_their_rows(spark):
     rows = [(1, "u", PAGE, "old"), (None, None, None, "old"), (1, "u", PAGE, "old"), (2, "v", "", None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

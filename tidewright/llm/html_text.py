@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,10 +22,7 @@ from pyspark.sql import functions as F
 from tidewright.llm.quality import STOP_WORDS
 from tidewright.llm.windows import slices
 
-TAG = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.DOTALL,
-)
+_NAME_END, _SPECIAL, _COMMENT_END = re.compile(r"[\s/>]"), re.compile("[>\"']"), re.compile("--!?>")
 #: Elements of which nothing is text, up to their end tag.
 OPAQUE = frozenset("script style title template noscript iframe textarea svg math object audio video canvas select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -82,12 +80,74 @@ class Block:
         return self.link_chars > LINKS_HIGH * len(self.text)
 
 
+class Tags:
+    """Finds the tags of a page, comments and declarations included, without looking twice at any part.
+
+    A tag ends at the first `>` outside quotes; where a quote stays open, at the first `>`, and an end tag
+    counts as a comment then. What lies ahead
+    (the next `>`, the next end of a name, quotes that never close) is remembered, so that broken markup
+    is read once as well. Searches must go forward.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.next: dict[str | re.Pattern, int] = {}
+        #: special characters outside quotes from which no `>` is reached
+        self.hopeless: set[int] = set()
+
+    def ahead(self, what: str | re.Pattern, at: int) -> int:
+        """The next place of `what` from `at` on; the length of the page if there is none."""
+        if self.next.get(what, -1) < at:
+            if isinstance(what, str):
+                found = self.page.find(what, at)
+            else:
+                m = what.search(self.page, at)
+                found = m.start() if m else -1
+            self.next[what] = found if found >= 0 else len(self.page)
+        return self.next[what]
+
+    def closed(self, at: int) -> int:
+        """The first `>` from `at` on that is not in quotes; -1 if a quote stays open or none is left."""
+        passed, here = [], self.ahead(_SPECIAL, at)
+        while here < len(self.page) and here not in self.hopeless:
+            if self.page[here] == ">":
+                return here
+            passed.append(here)
+            close = self.page.find(self.page[here], here + 1)
+            found = _SPECIAL.search(self.page, close + 1) if close >= 0 else None
+            here = found.start() if found else len(self.page)
+        self.hopeless.update(passed)
+        return -1
+
+    def search(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """(start, end, whether an end tag, name, attributes) of the next tag; comments have no name."""
+        page, n = self.page, len(self.page)
+        while (start := page.find("<", at)) >= 0:
+            at = start + 1
+            if page.startswith("<!--", start):
+                m = _COMMENT_END.search(page, start + 4)
+                return start, m.end() if m else n, False, "", ""
+            closing = page.startswith("/", at)
+            first = page[at + closing : at + closing + 1]
+            if first.isascii() and first.isalpha():
+                named = self.ahead(_NAME_END, at + closing)
+                end = self.closed(named)
+                if end < 0 and (end := self.ahead(">", named)) < n and closing:
+                    return start, end + 1, False, "", ""
+                if end < n:
+                    return start, end + 1, closing, page[at + closing : named], page[named:end]
+            elif first and page[at] in "!?/" and (end := self.ahead(">", at)) < n:
+                return start, end + 1, False, "", ""
+        return None
+
+
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order. Unclosed and stray tags are taken as browsers do."""
     out: list[Block] = []
     parts: list[str] = []
     # open elements, the place inside them, whether an article would end it, and the article they are in
     stack: list[tuple[str, bool | None, bool, int]] = []
+    opened: Counter[str] = Counter()
     links = link_chars = breaks = articles = 0
     heading = False
     place: bool | None = None
@@ -100,25 +160,24 @@ def blocks(page: str) -> list[Block]:
         parts.clear()
         link_chars, heading, breaks = 0, False, 0
 
-    at = 0
+    at, tags = 0, Tags(page)
     while True:
-        m = TAG.search(page, at)
-        said = page[at : m.start() if m else len(page)]
+        tag = tags.search(at)
+        said = page[at : tag[0] if tag else len(page)]
         if said:
             parts.append(said)
             if not said.isspace():
                 breaks = 0
             if links:
                 link_chars += len(said.strip())
-        if not m:
+        if not tag:
             break
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
+        _, at, closing, name, attributes = tag
+        name = name.lower()
         if not name:
             continue
-        closing = bool(m[1] or m[4])
         if name in OPAQUE:
-            if not closing and not (m[3] or m[6] or "").endswith("/"):
+            if not closing and not attributes.endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}[\s/>]", re.IGNORECASE).search(page, at)
                 at = end.start() if end else len(page)
             continue
@@ -133,19 +192,22 @@ def blocks(page: str) -> list[Block]:
         if name in VOID:
             continue
         if closing:
-            if any(name == n for n, *_ in stack):
-                while stack.pop()[0] != name:
-                    pass
+            while opened[name]:
+                last = stack.pop()[0]
+                opened[last] -= 1
+                if last == name:
+                    break
         else:
             if name in BLOCKS or name in CLOSES:  # a new block ends an open paragraph, a new item the one before
                 for open_name in {"p", name if CLOSES.get(name) else "p", CLOSES.get(name, "p")}:
                     if stack and stack[-1][0] == open_name:
-                        stack.pop()
+                        opened[stack.pop()[0]] -= 1
             _, above, soft, article = stack[-1] if stack else ("", None, False, 0)
             articles += name == "article"
-            stack.append((name, *_place(name, m[3] or m[6] or "", above, soft), articles if name == "article" else article))
+            stack.append((name, *_place(name, attributes, above, soft), articles if name == "article" else article))
+            opened[name] += 1
         place = stack[-1][1] if stack else None
-        links = sum(n == "a" for n, *_ in stack) if name == "a" or closing else links
+        links = opened["a"] if name == "a" or closing else links
         if re.fullmatch("h[1-6]", name):
             heading = not closing
     flush()
@@ -263,7 +325,7 @@ def extract_text(pages: DataFrame, html_col: str = "html", text_col: str = "text
     """The rows of `pages` without `html_col`, with `text_col` and `n_chars`, which replace such columns.
 
     Null and empty pages have an empty text. Repeated rows come back as they are; an empty table
-    gives none.
+    gives none. Long pages and broken markup are read once.
     """
     keep = [c for c in pages.columns if c.lower() not in (html_col.lower(), text_col.lower(), "n_chars")]
     rows = pages.select(F.struct(*keep).alias("row"), F.coalesce(html_col, F.lit("")).alias("html"))
