@@ -597,9 +597,7 @@ def _written_assets(spark, sf_dir):
 @query
 def partition_rewrite(spark, sf_dir):
     base = _written_assets(spark, sf_dir)
-    return spark.read.schema(tables.ASSET_SCHEMAS["raw_buoy_data"]).parquet(
-        f"{base}/{tables.asset_table('raw_buoy_data')}"
-    )
+    return tables.read_table(spark, f"{base}/{tables.asset_table('raw_buoy_data')}", tables.ASSET_SCHEMAS["raw_buoy_data"])
 
 
 @query

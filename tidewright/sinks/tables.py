@@ -1,6 +1,7 @@
 """Tables: create, append, replace, insert-if-absent, upsert, partition rewrite, reload.
 
-A target is a path (it contains `/`) or a catalog table name. Data is Parquet.
+A target is a path (it contains `/`) or a catalog table name. Data is Parquet. Writes to a path are all
+or nothing (see `versions`); a plain folder without commits can be read and is replaced as a whole.
 """
 
 from __future__ import annotations
@@ -8,7 +9,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +24,7 @@ from tidewright.schemas import (
     STATION_TABLE,
 )
 from tidewright.session import materialize
+from tidewright.sinks import versions
 
 # Observations are stored by month, so date predicates skip whole folders.
 MONTH = "_month"
@@ -38,14 +39,9 @@ def table_exists(spark: SparkSession, target: str) -> bool:
     """Whether a catalog table, or the folder of a path, is there."""
     if not is_path(target):
         return spark.catalog.tableExists(target)
-    try:
-        # a read checks its path while it is planned; no file is opened
-        spark.read.schema("_ int").parquet(target)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    if versions.begun(spark, target):
+        return versions.latest(spark, target) is not None
+    return versions.folder_exists(spark, target)
 
 
 def create_table(
@@ -70,27 +66,35 @@ def read_table(spark: SparkSession, target: str, schema: T.StructType | None = N
     """A stored table; the schema keeps text partition keys text."""
     if not is_path(target):
         return spark.table(target)
+    if versions.begun(spark, target):
+        return versions.read(spark, target, schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(target)
 
 
-def _write(df: DataFrame, target: str, mode: str, partition_by: Sequence[str] = (), **options: str) -> None:
-    writer = df.write.format("parquet").mode(mode).options(**options)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if is_path(target):
-        writer.save(target)
-    else:
-        writer.saveAsTable(target)
+def _save(df: DataFrame, name: str, mode: str, partition_by: Sequence[str]) -> None:
+    writer = df.write.format("parquet").mode(mode)
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
 
 
 def append(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> None:
-    _write(df, target, "append", partition_by)
+    """Add rows; readers see all of them or none, but for a plain folder, which stays one."""
+    if is_path(target):
+        if table_exists(df.sparkSession, target) and not versions.begun(df.sparkSession, target):
+            df.write.mode("append").partitionBy(*partition_by).parquet(target)
+        else:
+            versions.append(df, target, partition_by)
+    else:
+        _save(df, target, "append", partition_by)
 
 
-def replace(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> None:
-    """Write a result table anew. `df` must not read from the target (see `materialize`)."""
-    _write(df, target, "overwrite", partition_by)
+def replace(df: DataFrame, target: str, partition_by: Sequence[str] = (), made_from: int | None = None) -> None:
+    """Write a result table anew; until it is complete the old one is read. At a path, `df` may read from the
+    target; made from a version that is no longer the last one, it raises."""
+    if is_path(target):
+        versions.replace(df, target, partition_by, made_from)
+    else:
+        _save(df, target, "overwrite", partition_by)
 
 
 # --- observations -----------------------------------------------------------------------
@@ -191,14 +195,16 @@ def merge_stations(stored: DataFrame, incoming: DataFrame, as_of: dt.datetime) -
 def upsert_stations(incoming: DataFrame, target: str, as_of: dt.datetime) -> None:
     """Insert or update stations by id; all of the batch or none.
 
-    The merged table is complete in the shared folder before the stored one is replaced.
+    A write that another one overtakes raises and leaves the other's rows.
     """
     spark = incoming.sparkSession
+    before = versions.version(spark, target) if is_path(target) else None
     if table_exists(spark, target):
         stored = read_table(spark, target, STATION_TABLE)
     else:
         stored = spark.createDataFrame([], STATION_TABLE)
-    replace(materialize(merge_stations(stored, incoming, as_of), "stations"), target)
+    merged = merge_stations(stored, incoming, as_of)
+    replace(merged if is_path(target) else materialize(merged, "stations"), target, made_from=before)
 
 
 def insert_stations_if_absent(incoming: DataFrame, target: str, as_of: dt.datetime) -> None:
@@ -244,17 +250,17 @@ def write_asset(
         declared = [f for f in ASSET_SCHEMAS[asset].fields if f.name in rows.columns]
         rows = rows.to(T.StructType([T.StructField(f.name, f.dataType) for f in declared]))
     target = _asset_target(base, asset)
+    key = partition_key or partition_key_of(as_of)
     written = Observation("written")
     counted = rows.observe(written, F.count(F.lit(1)).alias("row_count"))
-    if partition_key is None:
-        _write(counted, target, "append", [PARTITION_KEY])
-    else:
-        _write(counted, target, "overwrite", [PARTITION_KEY], partitionOverwriteMode="dynamic")
+    folder = versions.store(counted, target, [PARTITION_KEY])
     n = written.get["row_count"]
-    key = partition_key or partition_key_of(as_of)
-    if partition_key is not None and n == 0:
-        # A dynamic overwrite leaves a partition alone that gets no rows: empty it here.
-        rows.drop(PARTITION_KEY).write.mode("overwrite").parquet(f"{target}/{PARTITION_KEY}={key}")
+
+    def change(there: versions.Folders) -> versions.Folders:
+        kept = [f for f in there if partition_key is None or f[0] != key]
+        return [*kept, (key, folder)] if n else kept
+
+    versions.commit(df.sparkSession, target, change, rows.schema)
     return {"table": asset_table(asset), "partition": key, "row_count": n, "columns": rows.columns}
 
 
@@ -268,11 +274,8 @@ def load_asset(
     """An asset, or one of its partitions, without the bookkeeping columns."""
     target = _asset_target(base, asset)
     schema = schema or ASSET_SCHEMAS.get(asset)
-    if schema is None:
-        found = spark.read.parquet(target).schema
-        text_key = T.StructField(PARTITION_KEY, T.StringType())
-        schema = T.StructType([text_key if f.name == PARTITION_KEY else f for f in found.fields])
-    rows = spark.read.schema(schema).parquet(target)
+    wanted = None if partition_key is None else lambda part: part == partition_key
+    rows = versions.read(spark, target, schema, wanted)
     if partition_key is not None:
         rows = rows.where(F.col(PARTITION_KEY) == partition_key)
     return rows.drop(*BOOKKEEPING)

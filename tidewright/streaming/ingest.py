@@ -1,20 +1,21 @@
 """Incremental ingest of landed buoy files.
 
-Every landed file is read once. Each micro-batch is merged per (station, datetime) and
-written as one folder of a log, named by its batch number, so a repeated batch replaces
-itself and nothing stored is rewritten. Rows that add nothing to the log are left out: a
-station file is landed again and again with mostly the same rows. Reading the log merges it
-by key: earlier batches win, later ones fill what was NULL.
+Every landed file is read once. Each micro-batch is merged per (station, datetime) and committed as
+one part of a log, named by its batch number, so a repeated batch replaces itself and nothing stored
+is rewritten. Rows that add nothing to the log are left out: a station file is landed again and again
+with mostly the same rows. Reading the log merges it by key: earlier batches win, later ones fill what
+was NULL.
 
 Nothing is dropped for being late, so no watermark is set: the log is the state, and only
-the months a batch touches are looked up in it.
+the months a batch touches are looked up in it. Compaction exchanges batches for one state in a single
+commit, so that it may run beside readers and the ingest.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -22,7 +23,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewright.operators.merge import first_non_null
 from tidewright.schemas import KEY, MEASURES, OBSERVATION, POSITION
 from tidewright.session import materialize
-from tidewright.sinks.tables import MONTH, by_month, table_exists
+from tidewright.sinks import versions
+from tidewright.sinks.tables import MONTH, by_month
 from tidewright.sources.buoy_text import (
     ORDER,
     parse_observations,
@@ -37,9 +39,8 @@ LOG = T.StructType(
     OBSERVATION.fields + [T.StructField(BATCH, T.LongType()), T.StructField(MONTH, T.StringType())]
 )
 
-# A compacted state has the rows of all batches up to the one it is named by.
-UPTO = "upto"
-STATES = T.StructType(OBSERVATION.fields + [T.StructField(UPTO, T.LongType()), T.StructField(MONTH, T.StringType())])
+# A compacted state has the rows of all batches up to the one its part names; in the log it comes before all batches.
+UPTO, STATE = "upto-", -1
 
 
 def batch_observations(lines: DataFrame) -> DataFrame:
@@ -64,17 +65,30 @@ def news(batch: DataFrame, log: DataFrame) -> DataFrame:
     )
 
 
+def _upto(commit: Row | None) -> int:
+    """The last batch that the state of a commit holds."""
+    parts = [f["part"] for f in commit["folders"]] if commit else []
+    return max([int(p.removeprefix(UPTO)) for p in parts if p.startswith(UPTO)], default=STATE)
+
+
+def _stored(rows: DataFrame, batch_id: int) -> DataFrame:
+    return by_month(rows).withColumn(BATCH, F.lit(batch_id).cast("long")).select(*LOG.fieldNames())
+
+
 def store_batch(lines: DataFrame, batch_id: int, log: str) -> None:
-    """Write one micro-batch to its folder of the log; the same batch again replaces itself."""
+    """Commit one micro-batch to the log; the same batch again replaces itself, and is passed over where a
+    state holds it already."""
     spark = lines.sparkSession
+    now = versions.latest(spark, log)
+    if batch_id <= _upto(now):
+        return
     rows = materialize(batch_observations(lines), "batch")
-    if table_exists(spark, log):
+    if now is not None:
         months = by_month(rows).agg(F.min(MONTH), F.max(MONTH)).first()
-        earlier = read_log(spark, log).where((F.col(BATCH) < batch_id) & F.col(MONTH).between(*months))
-        rows = news(rows, earlier)
-    by_month(rows).hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(
-        f"{log}/{BATCH}={batch_id}"
-    )
+        earlier = versions.read(spark, log, LOG, at=now)
+        rows = news(rows, earlier.where((F.col(BATCH) < batch_id) & F.col(MONTH).between(*months)))
+    stored = _stored(rows, batch_id).hint("rebalance", MONTH)
+    versions.rewrite(stored, log, str(batch_id), [BATCH, MONTH])
 
 
 def ingest_landing(
@@ -90,19 +104,9 @@ def ingest_landing(
     )
 
 
-def _compacted(log: str) -> str:
-    return f"{log.rstrip('/')}-compacted"
-
-
 def read_log(spark: SparkSession, log: str) -> DataFrame:
     """The last compacted state and the batches after it."""
-    later = spark.read.schema(LOG).parquet(log)
-    if not table_exists(spark, _compacted(log)):
-        return later
-    states = spark.read.schema(STATES).parquet(_compacted(log))
-    upto = states.agg(F.max(UPTO)).first()[0]
-    state = states.where(F.col(UPTO) == upto).withColumn(BATCH, F.col(UPTO)).drop(UPTO)
-    return state.unionByName(later.where(F.col(BATCH) > upto))
+    return versions.read(spark, log, LOG)
 
 
 def merged_observations(spark: SparkSession, log: str) -> DataFrame:
@@ -111,13 +115,16 @@ def merged_observations(spark: SparkSession, log: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, log: str) -> None:
-    """Write the merged log as one state; reads take it instead of the batches up to its last one.
+    """Exchange the batches of the log for one merged state, in one commit.
 
-    Repeating it changes nothing. Batches and states that a newer state replaces are no longer read
-    and may be expired by age. Call it between runs of the ingest, not during one.
+    Repeating it changes nothing. An ingest may commit batches meanwhile: they stay beside the state.
     """
-    last = read_log(spark, log).agg(F.max(BATCH)).first()[0]
-    if last is None or table_exists(spark, f"{_compacted(log)}/{UPTO}={last}"):
+    now = versions.latest(spark, log)
+    batches = [f["part"] for f in now["folders"] if not f["part"].startswith(UPTO)] if now else []
+    if not batches:
         return
-    state = by_month(merged_observations(spark, log)).hint("rebalance", MONTH)
-    state.write.mode("overwrite").partitionBy(MONTH).parquet(f"{_compacted(log)}/{UPTO}={last}")
+    gone, upto = {f["part"] for f in now["folders"]}, max(map(int, batches))
+    merged = first_non_null(versions.read(spark, log, LOG, at=now), [BATCH])
+    folder = versions.store(_stored(merged, STATE).hint("rebalance", MONTH), log, [BATCH, MONTH])
+    state = (f"{UPTO}{upto}", folder)
+    versions.commit(spark, log, lambda there: [state, *(f for f in there if f[0] not in gone)], LOG)
