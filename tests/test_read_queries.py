@@ -134,3 +134,18 @@ def test_spots(spark, tmp_path):
     path = tmp_path / "spots.json"
     path.write_text('[{"name": "A", "country": "X", "lat": "1.5", "lng": -2},\n {"name": "B", "lat": 3, "lng": 4}]')
     assert rows(catalogue.scan_spots(spark, str(path))) == [("A", "X", 1.5, -2.0), ("B", None, 3.0, 4.0)]
+
+
+@pytest.mark.parametrize("packed", ["1", "200", str(1 << 20)])
+def test_the_last_element_of_the_document_wins(spark, tmp_path, packed):
+    """Ids repeat within and across files of very different size; tasks read a few bytes, one file or all."""
+    for name, n, shift in (("a.xml", 200, 0.0), ("b.xml", 3, 1.0), ("c.xml", 40, 2.0)):
+        body = "".join(f'<station id="s{i % 20}" lat="{shift + i / 1000}" lon="1" met="y"/>\n' for i in range(n))
+        (tmp_path / name).write_text(f"<stations>\n{body}</stations>")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", packed)
+    try:
+        found = catalogue.meteorological_stations(catalogue.scan_station_catalogue(spark, str(tmp_path)))
+        assert {r.station_id: r.latitude for r in found.collect()} == {f"s{i}": 2.0 + (20 + i) / 1000 for i in range(20)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -132,3 +132,21 @@ def test_missing_last_measure_gives_no_forecast(spark):
     model = forecast.LagModel(MEASURES, 1.0, [1.0] * 4)
     df = spark.createDataFrame([("a", ts("2024-01-01"), 1.0, None, 1.0, 1.0)], SERIES)
     assert forecast.forecast_next(model, df).first()["forecast"] is None
+
+
+def test_a_table_is_cut_by_rows_however_they_lie_in_time(spark):
+    """Most rows on one day, or none with a time, are still several ranges of like size."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for when in ("timestamp_ntz'2024-05-01 12:00:00'", "cast(null as timestamp_ntz)"):
+            rows = spark.range(4000).selectExpr("cast(id % 7 as string) as station_id", f"case when id % 10 > 0 then {when} else timestamp_ntz'2024-01-01' end as datetime", "cast(id % 50 as double) as wave_height")
+            order = ["datetime", "station_id", "wave_height"]
+            sizes = [r["count"] for r in lagged._ranges(rows, order).groupBy("_slot").count().collect()]
+            assert len(sizes) >= 4 and max(sizes) < 2200
+            got = lagged.with_previous(rows, ["wave_height"], ["before"], per_station=False).collect()
+            want = sorted(rows.collect(), key=lambda r: (r.datetime is not None, str(r.datetime), r.station_id, r.wave_height))
+            pairs = sorted(((str(r.datetime), r.station_id, r.wave_height, str(p and p.wave_height)) for r, p in zip(want, [None, *want])))
+            assert sorted((str(r.datetime), r.station_id, r.wave_height, str(r.before)) for r in got) == pairs
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.schemas import MEASURES
+from tidewright.session import materialize
 
 
 def with_previous(
@@ -19,9 +20,10 @@ def with_previous(
 ) -> DataFrame:
     """Add the previous row's value of each column, in time order.
 
-    A series (a station, or with `per_station=False` the whole table) is cut into time slots of one
-    `bucket`, so that no task sorts a long series. The last row of each slot is carried over to the
-    head of the next one, which holds rows, and is dropped after the slot has been sorted.
+    The rows are cut into slots, so that no task sorts a long series: a station's series by time, one
+    `bucket` each, and the whole table (`per_station=False`) into ranges of about as many rows each, however
+    the rows lie in time. The last row of each slot is carried over to the head of the next one, which
+    holds rows, and is dropped after the slot has been sorted.
 
     The order is total: time, then the station if the series has several, then all other columns.
     NULLs come first, in the order and as a station or slot of their own.
@@ -29,8 +31,11 @@ def with_previous(
     keys = ["station_id"] if per_station else []
     order = ["datetime"] if per_station else ["datetime", "station_id"]
     order += [c for c in df.columns if c not in ("station_id", "datetime")]
-    slot = F.col("datetime").cast("date") if bucket == "day" else F.date_trunc(bucket, "datetime")
-    rows = df.withColumn("_slot", slot)
+    if per_station:
+        slot = F.col("datetime").cast("date") if bucket == "day" else F.date_trunc(bucket, "datetime")
+        rows = df.withColumn("_slot", slot)
+    else:
+        rows = _ranges(df, order)
     last = rows.groupBy(*keys, "_slot").agg(F.max(F.struct(*order)).alias("_last"))
     slots = Window.partitionBy(*keys).orderBy("_slot")
     carried = last.withColumn("_next", F.lead(F.struct("_slot")).over(slots)).where(F.col("_next").isNotNull())
@@ -45,6 +50,17 @@ def with_previous(
     return rows.where(~F.col("_carried")).select(*df.columns, *names)
 
 
+def _ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The rows with `_slot`, the number of the range they lie in by `order`.
+
+    Rows that are the same in all columns may be in several ranges; it makes no difference which. The rows
+    are written down, as the bounds of the ranges are sampled.
+    """
+    rows = df.withColumn("_tie", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(*order, "_tie").drop("_tie")
+    return materialize(rows.withColumn("_slot", F.spark_partition_id()), "ranges")
+
+
 def lag_names(columns: Sequence[str] = tuple(MEASURES)) -> list[str]:
     return [f"{c}_lag1" for c in columns]
 

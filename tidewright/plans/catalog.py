@@ -145,6 +145,20 @@ def ingest_report(spark, sf_dir):
     return quality.ingest_report(buoy_text.parse_observations(lines, "txt"))
 
 
+@query
+def ingest_report_files(spark, sf_dir):
+    """The report of landed files: every seventh station has files with headings only, every fifth also a
+    file of an unknown layout."""
+    rows = adapters.landed_events(spark, sf_dir)
+    number = F.col("station_id").cast("bigint")
+    landing = adapters.write_landing(spark, sf_dir, rows.where(number % 7 != 0))
+    stations = rows.select("station_id").distinct()
+    heading = stations.where(number % 7 == 0).select(F.lit("#YY MM DD hh mm").alias("value"), F.lit("txt").alias("src"), "station_id")
+    odd = stations.where(number % 5 == 0).select(F.lit("?").alias("value"), F.lit("log").alias("src"), "station_id")
+    heading.unionByName(odd).write.mode("append").partitionBy("src", "station_id").text(landing)
+    return quality.ingest_report(buoy_text.scan_buoy_files(spark, landing), buoy_text.landed_files(spark, landing))
+
+
 @query
 def stream_ingest(spark, sf_dir):
     """Two overlapping deliveries: the first lacks half of the rows and some wave heights, the second

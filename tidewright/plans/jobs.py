@@ -33,11 +33,12 @@ def daily_buoy_asset(
     as_of: dt.datetime,
     partition_key: str | None = None,
 ) -> dict[str, object]:
-    """Ingest the landed files of known stations, then store and report the last day."""
+    """Ingest the landed files of known stations, then store and report the last day. Files that cannot be read
+    are passed over; stations that have nothing else count as failed."""
     known = tables.read_table(spark, stations, STATION_TABLE)
-    scanned = buoy_text.scan_buoy_files(spark, landing).join(
-        enrich.distinct_stations(known), "station_id", "left_semi"
-    )
+    ids = enrich.distinct_stations(known)
+    scanned = buoy_text.scan_buoy_files(spark, landing, skip_corrupt=True).join(ids, "station_id", "left_semi")
+    files = buoy_text.landed_files(spark, landing).join(ids, "station_id", "left_semi")
     parsed = materialize(scanned, "parsed")  # read by the merge and by the report
     inserted = tables.insert_observations_if_absent(observations_from(parsed, known), observations)
     recent = queries.last_day(tables.stored_observations(spark, observations), as_of).select(
@@ -45,7 +46,7 @@ def daily_buoy_asset(
     )
     written = tables.write_asset(recent, "raw_buoy_data", assets, as_of, partition_key)
     metrics = quality.quality_metrics(recent).first().asDict()
-    totals = quality.ingest_totals(quality.ingest_report(parsed)).first().asDict()
+    totals = quality.ingest_totals(quality.ingest_report(parsed, files)).first().asDict()
     metrics["time_range"] = f"{metrics['min_datetime']} to {metrics['max_datetime']}"
     return {"inserted": inserted, **metrics, **totals, **written}
 

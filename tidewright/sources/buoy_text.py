@@ -166,6 +166,15 @@ def parse_observations(lines: DataFrame, layout: str | None = None) -> DataFrame
     )
 
 
+def _part(file: Column, pattern: str) -> Column:
+    return F.nullif(F.regexp_extract(file, pattern, 1), F.lit(""))
+
+
+def _station(file: Column) -> Column:
+    """The station of a landed file, by its folder or else its name without ending."""
+    return F.coalesce(_part(file, "/station_id=([^/]+)/"), _part(file, r"([^/]+?)(?:\.[A-Za-z]+)?$"))
+
+
 def _lines(reader, path: str, skip_corrupt: bool = False) -> DataFrame:
     raw = (
         reader.option("recursiveFileLookup", True)
@@ -175,12 +184,8 @@ def _lines(reader, path: str, skip_corrupt: bool = False) -> DataFrame:
         .text(path)
     )
     file = F.col("_metadata.file_path")
-
-    def part(pattern: str) -> Column:
-        return F.nullif(F.regexp_extract(file, pattern, 1), F.lit(""))
-
-    src = F.coalesce(part("/src=([^/]+)/"), part(r"\.(txt|spec|drift)$"))
-    station = F.coalesce(part("/station_id=([^/]+)/"), part(r"([^/]+)\.(?:txt|spec|drift)$"))
+    src = F.coalesce(_part(file, "/src=([^/]+)/"), _part(file, r"\.(txt|spec|drift)$"))
+    station = _station(file)
     priority = F.lit(None).cast("bigint")
     for name, rank in SOURCE_PRIORITY.items():
         priority = F.when(src == name, rank).otherwise(priority)
@@ -216,9 +221,9 @@ def scan_buoy_lines(spark: SparkSession, path: str, skip_corrupt: bool = False)
 
 
 def landed_files(spark: SparkSession, path: str) -> DataFrame:
-    """`file_path`, `bytes` of every file of a landing folder, whatever its layout."""
+    """`station_id`, `file_path`, `bytes` of every file of a landing folder, whatever its layout. No file is opened."""
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return listed.select(F.col("path").alias("file_path"), F.col("length").alias("bytes"))
+    return listed.select(_station(F.col("path")).alias("station_id"), F.col("path").alias("file_path"), F.col("length").alias("bytes"))
 
 
 def stream_buoy_lines(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

@@ -14,7 +14,9 @@ _CATALOGUE = T.StructType(
 
 
 def scan_station_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    """One row per `<station>` element, in document order (`doc_order`)."""
+    """One row per `<station>` element, with its place in the document order (`doc_order`): file by path, part
+    of the file, running number. One task reads a part of a file from its start to its end, so the
+    order does not depend on how files are packed into tasks or split."""
     raw = (
         spark.read.format("xml")
         .option("rowTag", "station")
@@ -27,7 +29,11 @@ def scan_station_catalogue(spark: SparkSession, path: str) -> DataFrame:
         F.col("_lat").try_cast("double").alias("latitude"),
         F.col("_lon").try_cast("double").alias("longitude"),
         (F.col("_met") == "y").alias("met"),
-        F.monotonically_increasing_id().alias("doc_order"),
+        F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("at"),
+        ).alias("doc_order"),
     )
 
 
