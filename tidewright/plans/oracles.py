@@ -269,7 +269,7 @@ def all_oracles() -> dict[str, str]:
             from ev group by 1""",
         "ingest_report_files": f"""with {LANDED}, r as (
             select station_id, cast(station_id as bigint) % 7 = 0 as silent, cast(station_id as bigint) % 5 = 0 as odd, count(*) as n from ev group by 1)
-            select station_id, case when silent then 0 else n end as rows_ok, 0::bigint as rows_failed,
+            select station_id, case when silent then 0 else n end as rows_ok, odd::bigint as rows_failed,
             (silent::int + odd::int)::bigint as files_failed, case when silent then 'failed' else 'processed' end as status from r""",
         "station_catalogue": f"with {ST} select station_id, latitude, longitude from st where met",
         "spot_scan": f"with {SPOT} select * from spot",
