@@ -155,11 +155,11 @@ def calibrate(tree: Tree, sample: np.ndarray, k: int, recall: float = RECALL, se
     weight = np.bincount(filed, minlength=tree.leaves) / np.maximum(1, np.bincount(filed[queries], minlength=tree.leaves))
     # how many neighbours a leaf's queries have in the leaf they visit n-th
     needed = np.zeros((tree.leaves, tree.leaves))
-    for low in range(0, len(queries), 256):
-        some = queries[low : low + 256]
-        scores = sample[some] @ sample.T
-        scores[np.arange(len(some)), some] = -np.inf
-        near = np.argpartition(-scores, min(k, len(sample) - 1) - 1, axis=1)[:, : min(k, len(sample) - 1)]
+    for low in range(0, len(queries), 16):
+        some = queries[low : low + 16]
+        below = -(sample[some] @ sample.T)
+        below[np.arange(len(some)), some] = np.inf
+        near = np.argpartition(below, min(k, len(sample) - 1) - 1, axis=1)[:, : min(k, len(sample) - 1)]
         for i, own in zip(some.tolist(), near):
             rank = np.empty(tree.leaves, dtype=np.int64)
             way = list(tree.visit(sample[i]))
