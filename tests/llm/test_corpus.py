@@ -500,7 +500,7 @@ def test_texts_that_imitate_the_template_come_back(spark):
 
 
 def test_every_operator_has_a_query():
-    assert [n.split("_")[0] for n in queries.llm_queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.llm_queries()] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_the_pipeline_stage_by_stage(spark):
