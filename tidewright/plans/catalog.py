@@ -549,7 +549,7 @@ def impute_scale(spark, sf_dir):
 
 @query
 def sample_rows(spark, sf_dir):
-    return clustering.sample_rows(stored(spark, sf_dir), 2000)
+    return clustering.sample_rows(stored(spark, sf_dir), 60_000)
 
 
 def regimes(spark, sf_dir):

@@ -399,7 +399,7 @@ def all_oracles() -> dict[str, str]:
             {", ".join(f"lag({m}) over (order by datetime nulls first, station_id nulls first, {UNTIDY_ORDER}) as {m}_lag1" for m in M)} from untidy""",
         "latest_untidy": f"""with {UNTIDY} select * from untidy qualify row_number() over (
             partition by station_id order by datetime desc nulls last, {", ".join(f"{m} desc nulls last" for m in M)}) = 1""",
-        "sample_rows": f"with {MERGED} select * from merged order by md5(station_id || '|' || cast(datetime as varchar)) limit 2000",
+        "sample_rows": f"with {MERGED} select * from merged order by md5(station_id || '|' || cast(datetime as varchar)) limit 60000",
         "kmeans_clusters": f"with {REGIMES} select o_orderkey, p - 1 as cluster from regimes",
         "kmeans_centres": f"""with {REGIMES} select p - 1 as cluster, count(*) as n,
             {", ".join(f"round(avg({m}), 6) as {m}" for m in M)} from regimes group by 1""",

@@ -130,7 +130,7 @@ def consistency(
     ).select(
         "station_id", "month", "latitude", "longitude", "consistency_label", "consistency_score"
     )
-    return require_rows(rows, "No data found for the given month range.") if require else rows
+    return require_rows(rows, "There are no trends in these months.") if require else rows
 
 
 def consistency_map(trends: DataFrame) -> DataFrame:
