@@ -186,3 +186,22 @@ def test_grid_scan_metadata_and_parameters(spark, tmp_path):
     meta = grids.grid_metadata(scanned).first()
     assert (meta["data_date"], meta["data_time"], meta["forecast_time"]) == ("20241022", "0000", "6 hours")
     assert rows(grids.available_parameters(scanned)) == [("wind_speed", 3)]
+
+
+@pytest.mark.parametrize("form", ["axes", "coordinates"])
+def test_array_grids_equal_the_long_form(spark, form):
+    """Two axes, or coordinates of each value; the mark for missing values, rows of any length, no values."""
+    values = [[1.0, 9999.0, None], [4.0, 5.0, 6.0]]
+    lat, lon = [10.0, 20.0], [1.0, 2.0, 3.0]
+    kind = "array<double>"
+    if form == "coordinates":
+        lat, lon, kind = [[y] * 3 for y in lat], [lon] * 2, "array<array<double>>"
+    when = ts("2024-10-22")
+    data = [("a", "m", when, 3, values, lat, lon), ("b", None, when, 0, [[7.0], None, [8.0, 9.0]], lat, lon), ("c", "m", when, 0, None, lat, lon), ("d", "m", when, 0, [], lat, lon)]
+    messages = spark.createDataFrame(data, f"param string, units string, analysis_ts timestamp_ntz, forecast_hours int, values array<array<double>>, lat {kind}, lon {kind}")
+    found = grids.ravel(messages)
+    assert found.columns == grids.GRID_VALUE.fieldNames()
+    got = {p: sorted((r.grid_idx, r.lat, r.lon, r.value) for r in found.collect() if r.param == p) for p in "abcd"}
+    assert [r[:3] for r in got["a"]] == [(3 * i + j, 10.0 * (i + 1), j + 1.0) for i in range(2) for j in range(3)]
+    assert [r[3] for r in got["a"]] == [1.0, None, None, 4.0, 5.0, 6.0]
+    assert [(r[0], r[3]) for r in got["b"]] == [(0, 7.0), (1, 8.0), (2, 9.0)] and got["c"] == got["d"] == []

@@ -456,6 +456,19 @@ def grid_scan(spark, sf_dir):
     return found.select("param", "units", "grid_idx", "lat", "lon", "value", "data_date", "data_time", "forecast_time")
 
 
+@query
+def grid_ravel(spark, sf_dir):
+    """The grid as one message of arrays per field, a hundred keys a row, taken apart again."""
+    point = F.struct("grid_idx", "lat", "lon", "value")
+    field = ["param", "units", "analysis_ts", "forecast_hours"]
+    rows = adapters.grid(spark, sf_dir).groupBy(*field, F.floor(F.col("grid_idx") / 100).alias("row"))
+    rows = rows.agg(F.array_sort(F.collect_list(point)).alias("points")).groupBy(*field)
+    rows = rows.agg(F.array_sort(F.collect_list(F.struct("row", "points"))).alias("rows"))
+    part = lambda name: F.transform("rows", lambda r: F.transform(r["points"], lambda p: p[name])).alias(name)
+    found = grids.ravel(rows.select(*field, part("lat"), part("lon"), part("value").alias("values")))
+    return found.select("param", "units", "grid_idx", "lat", "lon", "value")
+
+
 @query
 def param_listing(spark, sf_dir):
     return grids.available_parameters(adapters.grid(spark, sf_dir))

@@ -362,6 +362,8 @@ def all_oracles() -> dict[str, str]:
             {_SWELL_TAIL} from nearest group by name, country, spot_lat, spot_lng""",
         "decode_values": """select p_partkey, case when p_size % 3 = 0 then null
             else p_retailprice * case when p_size % 5 <> 0 then cast(p_size as double) else 1 end end as value from part""",
+        "grid_ravel": f"""with {GRID} select param, units, row_number() over (partition by param order by grid_idx) - 1 as grid_idx,
+            lat, lon, value from grid""",
         "grid_scan": f"""with {GRID} select param, units, grid_idx, lat, lon, value, '20241022' as data_date, '0000' as data_time,
             '0 hours' as forecast_time from grid""",
         "station_refresh": f"""with {ST} select station_id, latitude, longitude, timestamp '2024-01-01' as created_at,

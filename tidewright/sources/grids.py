@@ -24,6 +24,29 @@ def grid_values(raw: DataFrame) -> DataFrame:
     return raw.withColumn("value", null_if_missing("value"))
 
 
+def ravel(messages: DataFrame) -> DataFrame:
+    """The long grid table of messages whose grid is arrays, a message per row.
+
+    `values` holds the rows of the grid. `lat` and `lon` are either the two axes, one number per row and one
+    per column, or arrays of the same form as `values`. `grid_idx` counts the values row by row, from 0, also
+    where rows have different lengths. A missing coordinate is NULL; a message without values gives no rows.
+    """
+    kinds = dict(messages.dtypes)
+
+    def at(name: str, i: Column, j: Column) -> Column:
+        if kinds[name].startswith("array<array"):
+            return F.get(F.get(name, i), j)
+        return F.get(name, i if name == "lat" else j)
+
+    def row(values: Column, i: Column) -> Column:
+        point = lambda v, j: F.struct(at("lat", i, j).alias("lat"), at("lon", i, j).alias("lon"), v.alias("value"))
+        return F.transform(F.coalesce(values, F.array()), point)
+
+    rest = [f.name for f in GRID_VALUE.fields if f.name not in ("grid_idx", "lat", "lon", "value")]
+    points = messages.select(*rest, F.posexplode(F.flatten(F.transform("values", row))).alias("grid_idx", "point"))
+    return grid_values(points.select(*rest, F.col("grid_idx").cast("long").alias("grid_idx"), "point.*").select(*GRID_VALUE.fieldNames()))
+
+
 def grid_metadata(message: DataFrame) -> DataFrame:
     """Date, time and forecast text of each message row, as they are stored."""
     return message.withColumns(
