@@ -172,3 +172,22 @@ def test_an_edge_between_equal_values_is_that_value(spark, n, value):
     sdf = spark.createDataFrame([(value,)] * n + [(value + 5,)], "x double")
     for accuracy in (10_000, 2):
         assert quantiles.exact_quantiles(sdf, "x", [1 / 3, 0.5], accuracy=accuracy).edges == [value, value]
+
+
+def test_scaled_component_agrees_with_numpy(spark):
+    _, sdf = observations(spark)
+    monthly = consistency.monthly_table(sdf)
+    got = consistency.score_consistency(monthly, scale=True).toPandas()
+    x = got[STD_COLUMNS].to_numpy(float)
+    centred = (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)
+    direction = np.linalg.svd(centred, full_matrices=False)[2][0]
+    direction *= np.sign(direction[np.argmax(np.abs(direction))])
+    np.testing.assert_allclose(got["consistency_score"].to_numpy(float), centred @ direction, atol=1e-8)
+
+
+def test_scaled_component_of_constant_columns(spark):
+    flat = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (4.0, 5.0)], "a double, b double")
+    found = consistency.first_component(flat, ["a", "b"], scale=True)
+    assert found.weights[1] == 0 and found.weights[0] > 0
+    alone = consistency.first_component(flat.limit(1), ["a", "b"], scale=True)
+    assert list(alone.weights) == [0, 0]

@@ -80,17 +80,25 @@ class Component:
         return total
 
 
-def first_component(df: DataFrame, columns: Sequence[str] = tuple(STD_COLUMNS)) -> Component | None:
-    """Centred, unscaled first component over the complete rows; None without any.
+def first_component(
+    df: DataFrame, columns: Sequence[str] = tuple(STD_COLUMNS), scale: bool = False
+) -> Component | None:
+    """Centred first component over the complete rows; None without any.
 
     One aggregate gives the means and the covariances; only those few numbers reach the
-    driver. The sign is fixed so that the largest loading is positive.
+    driver. The sign is fixed so that the largest loading is positive. With `scale` each column
+    counts in units of its deviation over the complete rows; a constant one has no weight.
     """
     found = moments(df.dropna("any"), columns)
     if found.n == 0:
         return None
-    top = np.linalg.eigh(found.covariance)[1][:, -1]
+    units = np.ones(len(columns))
+    if scale:
+        spread = np.sqrt(np.diag(found.covariance) * (found.n / max(found.n - 1, 1)))
+        units = np.divide(1.0, spread, out=np.zeros(len(columns)), where=spread > 0)
+    top = np.linalg.eigh(found.covariance * np.outer(units, units))[1][:, -1]
     top = top * (1.0 if top[np.argmax(np.abs(top))] > 0 else -1.0)
+    top = top * units
     return Component(columns, [float(m) for m in found.means], [float(w) for w in top])
 
 
@@ -101,12 +109,12 @@ def attach_scores(monthly: DataFrame, scores: DataFrame) -> DataFrame:
     )
 
 
-def score_consistency(monthly: DataFrame) -> DataFrame:
+def score_consistency(monthly: DataFrame, scale: bool = False) -> DataFrame:
     """Add `consistency_score`; NULL on rows with any missing value.
 
     The score is a column expression, so no join is needed to bring it back to all rows.
     """
-    component = first_component(monthly)
+    component = first_component(monthly, scale=scale)
     if component is None:
         return monthly.withColumn("consistency_score", F.lit(None).cast("double"))
     complete = F.lit(True)
@@ -125,11 +133,11 @@ def label_consistency(scored: DataFrame, **limits: int) -> DataFrame:
     return scored.withColumn("consistency_label", label)
 
 
-def consistency_trends(obs: DataFrame) -> DataFrame:
-    """Monthly spread, score and label of every (station, month).
+def consistency_trends(obs: DataFrame, scale: bool = False) -> DataFrame:
+    """Monthly spread, score and label of every (station, month); with `scale`, of the scaled component.
 
     The monthly table is written once to the shared folder: the component, the tertile
     edges and the result all read it, and none of them goes back to the observations.
     """
     monthly = materialize(monthly_table(obs), "monthly-std")
-    return label_consistency(score_consistency(monthly)).select(*CONSISTENCY.fieldNames())
+    return label_consistency(score_consistency(monthly, scale)).select(*CONSISTENCY.fieldNames())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,10 +24,28 @@ SHARED_LEVELS = 2
 PLAN_LEVELS = 6
 
 
-def _squared(lat: Column, lon: Column) -> Column:
-    """Planar distance in degrees; longitudes do not wrap."""
-    dy, dx = lat - F.col("_s.lat"), lon - F.col("_s.lng")
-    return dy * dy + dx * dx
+EARTH_KM = 6371.0088
+# Coordinates that distances are measured in: degrees in the plane, or a unit vector on the sphere.
+PLANE, SPHERE = ["lat", "lon"], ["_x", "_y", "_z"]
+VECTOR_STEPS = 1e9  # unit vectors are rounded to 9 decimals, 6 mm, so that ties do not hang on the last digit
+
+
+def unit_vector(lat: Column, lon: Column) -> list[Column]:
+    """The place as a point on the unit sphere, where straight distances order places as great circles do."""
+    lat, lon = F.radians(lat), F.radians(lon)
+    parts = (F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat))
+    return [F.rint(p * F.lit(VECTOR_STEPS)) / F.lit(VECTOR_STEPS) for p in parts]
+
+
+def great_circle_km(dist2: Column) -> Column:
+    """Kilometres along the sphere from a squared straight distance between unit vectors."""
+    return F.asin(F.least(F.sqrt(dist2) / 2, F.lit(1.0))) * F.lit(2 * EARTH_KM)
+
+
+def _squared(places: Sequence[Column], axes: Sequence[str]) -> Column:
+    """Squared straight distance to the spot; in the plane in degrees, where longitudes do not wrap."""
+    gaps = [place - F.col(f"_at.{a}") for place, a in zip(places, axes)]
+    return reduce(lambda a, b: a + b, [g * g for g in gaps])
 
 
 def _nearest_corner(low: str, high: str, at: str) -> Column:
@@ -38,15 +57,15 @@ def _farthest_corner(low: str, high: str, at: str) -> Column:
     return F.when(near_low, F.col(high)).otherwise(F.col(low))
 
 
-def _cells(df: DataFrame, count: Column, *box: str) -> DataFrame:
-    lat0, lat1, lon0, lon1 = box
-    return df.groupBy("_g", "cx", "cy").agg(
-        F.sum(count).alias("n"),
-        F.min(lat0).alias("lat0"),
-        F.max(lat1).alias("lat1"),
-        F.min(lon0).alias("lon0"),
-        F.max(lon1).alias("lon1"),
-    )
+def _box(axes: Sequence[str]) -> list[str]:
+    return [f"{a}{side}" for a in axes for side in (0, 1)]
+
+
+def _cells(df: DataFrame, count: Column, axes: Sequence[str], of_cells: bool = False) -> DataFrame:
+    """Number of points and box of each cell, from points or from smaller cells."""
+    low, high = (("0", "1") if of_cells else ("", ""))
+    sides = [f(a + end).alias(a + to) for a in axes for f, end, to in ((F.min, low, "0"), (F.max, high, "1"))]
+    return df.groupBy("_g", "cx", "cy").agg(F.sum(count).alias("n"), *sides)
 
 
 def _with_cell(points: DataFrame, half: float, depth: int) -> DataFrame:
@@ -59,7 +78,7 @@ def _with_cell(points: DataFrame, half: float, depth: int) -> DataFrame:
     )
 
 
-def _search_cells(points: DataFrame, cell_points: int) -> tuple[DataFrame, DataFrame, float, int]:
+def _search_cells(points: DataFrame, cell_points: int, axes: Sequence[str]) -> tuple[DataFrame, DataFrame, float, int]:
     """(points, leaf cells, half width of the root cell, depth) of the search grid.
 
     The depth is the smallest at which no cell holds more than `cell_points` points.
@@ -76,8 +95,8 @@ def _search_cells(points: DataFrame, cell_points: int) -> tuple[DataFrame, DataF
     depth = max(1, math.ceil(math.log(most / cell_points, 1 << 2 * FAN_BITS)))
     while True:
         located = _with_cell(points, half, depth)
-        leaves = materialize(_cells(located, F.lit(1), "lat", "lat", "lon", "lon"), "cells")
-        one_place = (F.col("lat0") == F.col("lat1")) & (F.col("lon0") == F.col("lon1"))
+        leaves = materialize(_cells(located, F.lit(1), axes), "cells")
+        one_place = reduce(lambda a, b: a & b, [F.col(f"{a}0") == F.col(f"{a}1") for a in axes])
         spread, stacked = leaves.agg(
             F.max(F.when(~one_place, F.col("n"))), F.max(F.when(one_place, F.col("n")))
         ).first()
@@ -87,14 +106,14 @@ def _search_cells(points: DataFrame, cell_points: int) -> tuple[DataFrame, DataF
         depth = min(depth, MAX_DEPTH)
     if max(stacked or 0, spread or 0) > cell_points:
         # Many points at one place: only the lowest index can be the answer there.
-        rest = [c for c in points.columns if c not in ("_g", "lat", "lon", "grid_idx")]
+        rest = [c for c in points.columns if c not in ("_g", *axes, "grid_idx")]
         first = F.min(F.struct("grid_idx", *rest)).alias("_p")
-        points = points.groupBy("_g", "lat", "lon").agg(first).select("_g", "lat", "lon", "_p.*")
+        points = points.groupBy("_g", *axes).agg(first).select("_g", *axes, "_p.*")
     return points, leaves, half, depth
 
 
 def nearest_points(
-    points: DataFrame, spots: DataFrame, geometry: Sequence[str], cell_points: int = CELL_POINTS
+    points: DataFrame, spots: DataFrame, geometry: Sequence[str], cell_points: int = CELL_POINTS, sphere: bool = False
 ) -> DataFrame:
     """For each (geometry, spot) the nearest point, the lowest `grid_idx` among equals.
 
@@ -107,15 +126,25 @@ def nearest_points(
     `points` has the geometry columns, `grid_idx`, `lat`, `lon` and columns to carry along;
     `spots` has `lat`, `lng` and any others. Output: geometry, `spot` (struct), `dist2`,
     `grid_idx`, the carried columns, and `copies` (how often the spot is listed).
+
+    `dist2` is planar, in degrees. With `sphere` it is between unit vectors (see `great_circle_km`):
+    longitudes wrap, and they shrink towards the poles. Cells stay those of latitude and longitude, but
+    their boxes are those of the vectors, so the same bounds hold across 180 degrees and at a pole.
     """
+    axes = SPHERE if sphere else PLANE
+    place = unit_vector if sphere else (lambda lat, lon: [lat, lon])
     carried = [c for c in points.columns if c not in (*geometry, "grid_idx", "lat", "lon")]
     placed = points.select(
         F.struct(*geometry).alias("_g"), "grid_idx", "lat", "lon", *carried
     ).where("lat is not null and lon is not null and not isnan(lat) and not isnan(lon)")
     located = spots.where("lat is not null and lng is not null and not isnan(lat) and not isnan(lng)")
     sites = located.groupBy(F.struct(*spots.columns).alias("_s")).agg(F.count(F.lit(1)).alias("copies"))
+    at = [c.alias(a) for c, a in zip(place(F.col("_s.lat"), F.col("_s.lng")), axes)]
+    sites = sites.withColumn("_at", F.struct(*at))
+    if sphere:
+        placed = placed.withColumns(dict(zip(axes, unit_vector(F.col("lat"), F.col("lon")))))
 
-    placed, leaves, half, depth = _search_cells(placed, cell_points)
+    placed, leaves, half, depth = _search_cells(placed, cell_points, axes)
 
     # Every spot is looked up in every geometry; the size of this pairing is the size of the
     # result. Blocks of spots meet blocks of grids, each pair of blocks under a key of its own, so
@@ -138,7 +167,7 @@ def nearest_points(
             up = FAN_BITS * (depth - level)
             cells = leaves if not up else _cells(
                 leaves.withColumns({"cx": F.shiftright("cx", up), "cy": F.shiftright("cy", up)}),
-                F.col("n"), "lat0", "lat1", "lon0", "lon1",
+                F.col("n"), axes, of_cells=True,
             )
             children = cells.select(
                 "_g",
@@ -146,16 +175,16 @@ def nearest_points(
                 F.col("cy").alias("_cy"),
                 F.shiftright("cx", FAN_BITS).alias("cx"),
                 F.shiftright("cy", FAN_BITS).alias("cy"),
-                "lat0", "lat1", "lon0", "lon1",
+                *_box(axes),
             )
             keys = ["_g", "cx", "cy"]
             if level <= SHARED_LEVELS:
                 children, keys = children.withColumn("_a", every(n_sites)), [*keys, "_a"]
-            near = _squared(_nearest_corner("lat0", "lat1", "_s.lat"), _nearest_corner("lon0", "lon1", "_s.lng"))
-            far = _squared(_farthest_corner("lat0", "lat1", "_s.lat"), _farthest_corner("lon0", "lon1", "_s.lng"))
+            near = _squared([_nearest_corner(f"{a}0", f"{a}1", f"_at.{a}") for a in axes], axes)
+            far = _squared([_farthest_corner(f"{a}0", f"{a}1", f"_at.{a}") for a in axes], axes)
             front = (
                 front.join(children, keys)
-                .select("_g", "_s", "_a", "copies", F.col("_cx").alias("cx"), F.col("_cy").alias("cy"), near.alias("near"), far.alias("far"))
+                .select("_g", "_s", "_at", "_a", "copies", F.col("_cx").alias("cx"), F.col("_cy").alias("cy"), near.alias("near"), far.alias("far"))
                 .withColumn("best", F.min("far").over(per_spot))
                 .where(F.col("near") <= F.col("best"))
                 .drop("near", "far", "best")
@@ -166,7 +195,7 @@ def nearest_points(
     else:
         candidates = front.join(placed, "_g")
 
-    entry = F.struct(_squared(F.col("lat"), F.col("lon")).alias("dist2"), "grid_idx", *carried)
+    entry = F.struct(_squared([F.col(a) for a in axes], axes).alias("dist2"), "grid_idx", *carried)
     return (
         candidates.groupBy("_g", "_s")
         .agg(F.min(entry).alias("_n"), F.first("copies").alias("copies"))
@@ -180,8 +209,9 @@ def nearest_grid_value(
     message: Sequence[str] = tuple(MESSAGE),
     geometry: Sequence[str] | None = None,
     cell_points: int = CELL_POINTS,
+    sphere: bool = False,
 ) -> DataFrame:
-    """Value at the nearest grid point for every (spot, message).
+    """Value at the nearest grid point for every (spot, message); with `sphere`, along great circles.
 
     A missing value at the nearest point stays NULL; the next point is not taken. By
     default every message has a grid of its own. Where messages share grids, name the
@@ -192,7 +222,7 @@ def nearest_grid_value(
     message = list(message)
     if geometry is None:
         points = grid.select(*message, "grid_idx", "lat", "lon", "value")
-        found = nearest_points(points, spots, message, cell_points)
+        found = nearest_points(points, spots, message, cell_points, sphere)
     else:
         # The literal stands for "one grid" where no column tells grids apart. Structs as
         # join keys match on NULL fields as well.
@@ -204,7 +234,7 @@ def nearest_grid_value(
         points = keyed.join(one_each.select("_message"), "_message", "left_semi").select(
             "_grid", "grid_idx", "lat", "lon"
         )
-        places = nearest_points(points, spots, ["_grid"], cell_points)
+        places = nearest_points(points, spots, ["_grid"], cell_points, sphere)
         found = keyed.join(places, ["_grid", "grid_idx"]).select(
             *message, "spot", "dist2", "grid_idx", "value", "copies"
         )

@@ -85,6 +85,34 @@ def flag_valid(df: DataFrame, schema: T.StructType = OBSERVATION, required: list
     return cast.withColumn("valid", reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required]))
 
 
+#: Why a field was not taken as it came.
+REASON = "array<struct<field: string, reason: string>>"
+VERDICT = "_verdict"
+
+
+def flag_reasons(df: DataFrame, schema: T.StructType = OBSERVATION, required: list[str] | None = None) -> DataFrame:
+    """`flag_valid` with `reasons`: what is wrong with each field, in the order of `schema`.
+
+    A required field without a value is `missing`; a value that does not read as the declared type
+    is `not a <type>`, also in a measure, where it costs the value but not the row. A row is valid
+    when no required field has a reason; a good row without odd measures has an empty array.
+    """
+    required = required or ["station_id", "datetime", "latitude", "longitude"]
+    reasons = []
+    for f in schema.fields:
+        given = F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType)
+        why = F.when(given.isNotNull() & given.try_cast(f.dataType).isNull(), f"not a {f.dataType.simpleString()}")
+        if f.name in required:
+            why = why.when(given.isNull(), "missing")
+        reasons.append(F.when(why.isNotNull(), F.struct(F.lit(f.name).alias("field"), why.alias("reason"))))
+    kept = F.filter(F.array(*reasons), lambda r: r.isNotNull()).cast(REASON)
+    return flag_valid(df.withColumn("_reasons", kept), _with_reasons(schema), required).withColumnRenamed("_reasons", "reasons")
+
+
+def _with_reasons(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("_reasons", T.DataType.fromDDL(REASON))])
+
+
 def split_valid(df: DataFrame, schema: T.StructType = OBSERVATION, required: list[str] | None = None):
     """(good, rejects) of `flag_valid`. Each reads the input; write the flagged rows first if both are used."""
     flagged = flag_valid(df, schema, required)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from tidewright.operators import (
     quality,
     quantiles,
 )
+from tidewright.operators.silhouette import euclidean_silhouettes
 from tidewright.plans import adapters, jobs, queries
 from tidewright.schemas import KEY, MEASURES, OBSERVATION, POSITION, STATION_TABLE, STD_COLUMNS
 from tidewright.session import materialize, scratch_path
@@ -288,6 +291,28 @@ def row_validation(spark, sf_dir):
     return quality.flag_valid(rows).withColumnRenamed("valid", "accepted")
 
 
+@query
+def row_validation_reasons(spark, sf_dir):
+    """Rows with faults of several kinds, stored in one pass; each reason of each folder is a row."""
+    faults = {
+        "latitude": "case when l_linenumber <> 2 then cast(latitude as string) end",
+        "longitude": "case when l_orderkey % 5 = 0 then 'west' else cast(longitude as string) end",
+        "mean_wave_direction": "case when l_linenumber = 3 then 'NNE' else cast(mean_wave_direction as string) end",
+    }
+    rows = located(spark, sf_dir).withColumns({c: F.expr(e) for c, e in faults.items()})
+    target = scratch_path(spark, "validated")
+    jobs.store_validated(rows, target)
+    both = [jobs.stored_verdict(spark, target, v).withColumn("verdict", F.lit(v)) for v in ("accepted", "rejected")]
+    stated = both[0].unionByName(both[1]).select(
+        "verdict", "latitude", "longitude", "mean_wave_direction", F.posexplode_outer("reasons").alias("place", "r")
+    )
+    found = stated.groupBy("verdict", "place", "r.field", "r.reason")
+    return found.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count(c).alias(f"with_{c}") for c in ("latitude", "longitude", "mean_wave_direction")],
+    )
+
+
 # --- consistency ------------------------------------------------------------------------
 
 
@@ -313,6 +338,27 @@ def consistency_labels(spark, sf_dir):
     return rounded(rounded(trends(spark, sf_dir), 6, *STD_COLUMNS), 4, "consistency_score")
 
 
+@query
+def consistency_scaled(spark, sf_dir):
+    """The score by the component of the scaled spreads."""
+    found = consistency.consistency_trends(located(spark, sf_dir), scale=True)
+    return rounded(found.select("station_id", "month", "consistency_score"), 4, "consistency_score")
+
+
+@query
+def consistency_finite(spark, sf_dir):
+    """Of scores that are NULL, NaN or infinite either way the feed shows none."""
+    score = (
+        "case o_orderkey % 7 when 0 then null when 1 then double('NaN') when 2 then double('Infinity') "
+        "when 3 then double('-Infinity') else o_totalprice end"
+    )
+    rows = adapters.table(spark, sf_dir, "orders").selectExpr(
+        "cast(o_orderkey as string) as station_id", "cast(date_trunc('month', o_orderdate) as timestamp_ntz) as month",
+        "0D as latitude", "0D as longitude", "'High Consistency' as consistency_label", f"{score} as consistency_score",
+    )
+    return queries.consistency(rows, "1996-03", "1997-10").select("station_id", "month", "consistency_score")
+
+
 def trends_table(spark, sf_dir):
     """The table that the labelling job leaves, which the read queries look into: written once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -386,6 +432,20 @@ def wave_data_station(spark, sf_dir):
     return queries.wave_data(rows, "2024-01-01", "2024-01-31", "42", now=NOW, end_inclusive_day=True)
 
 
+@query
+def range_checks(spark, sf_dir):
+    """Date ranges that are taken, with their rows, and those that are not, with the reason."""
+    rows, found = adapters.events(spark, sf_dir), []
+    asked = [("2024-01-05", "2024-01-20"), ("2024-01-20", "2024-01-05"), ("2024-1-x", "2024-01-05"), ("2023-01-01", "2024-01-02"), ("2024-12-20", "2025-01-02")]
+    for start, end in asked:
+        try:
+            count = queries.wave_data(rows, start, end, now=NOW).agg(F.count(F.lit(1)).alias("n"))
+            found.append(count.select(F.lit(start).alias("start_date"), F.lit(end).alias("end_date"), "n", F.lit(None).cast("string").alias("refused")))
+        except ValueError as error:
+            found.append(spark.createDataFrame([(start, end, None, str(error))], "start_date string, end_date string, n long, refused string"))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def last_day(spark, sf_dir):
     return queries.last_day(adapters.events(spark, sf_dir), AS_OF).select("event_id", *KEY, *MEASURES)
@@ -416,6 +476,17 @@ def nearest_shared_grid(spark, sf_dir):
     )
 
 
+@query
+def nearest_on_sphere(spark, sf_dir):
+    """Along great circles: the spots, and as many again on both sides of 180 degrees."""
+    points = grids.grid_values(adapters.grid(spark, sf_dir)).select("grid_idx", "lat", "lon", "value")
+    spots = adapters.spots(spark, sf_dir)
+    edge = "case when cast(country as int) % 2 = 0 then 178.5 else -178.5 end"
+    across = spots.selectExpr("concat(name, ' edge') as name", "country", "lat", f"cast({edge} as double) as lng")
+    found = nearest.nearest_grid_value(points, spots.unionByName(across), message=[], geometry=[], sphere=True)
+    return found.withColumn("km", F.round(nearest.great_circle_km(F.col("dist2")), 6)).drop("dist2")
+
+
 @query
 def swell_rows(spark, sf_dir):
     return nearest.swell_rows(nearest_samples(spark, sf_dir), adapters.BRAND_PARAMS)
@@ -591,6 +662,25 @@ def silhouette_by_k(spark, sf_dir):
     return spark.createDataFrame([(k, round(s, 6)) for k, s in scores if k == best], "k int, silhouette double")
 
 
+@query
+def silhouette_euclidean(spark, sf_dir):
+    """Euclidean silhouettes on the sample: five given clusterings and the one that K-means finds for k = 5."""
+    obs = regimes(spark, sf_dir)
+    scaling = clustering.fit_scaling(obs)
+    priority = F.substring("p", 1, 1).cast("int")
+    scaled = scaling.apply(obs).join(
+        adapters.table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_orderpriority as p"), "o_orderkey"
+    )
+    sample = clustering.sample_rows(scaled, key=["o_orderkey"])
+    model = clustering.fit_kmeans(clustering.fixed_layout(scaled, scaling.outputs), 5)
+    found = clustering.with_cluster(model, clustering.with_features(sample, scaling.outputs)).withColumns(
+        {f"by_{k}": (priority * 3 + F.col("o_orderkey") % 2) % k for k in clustering.CLUSTER_RANGE}
+    )
+    names = ["cluster", *[f"by_{k}" for k in clustering.CLUSTER_RANGE]]
+    scores = euclidean_silhouettes(found, scaling.outputs, names)
+    return spark.createDataFrame([(n, round(s, 6)) for n, s in zip(names, scores)], "clustering string, silhouette double")
+
+
 @query
 def cluster_histogram(spark, sf_dir):
     return clustering.cluster_histogram(clustering.cluster_observations(regimes(spark, sf_dir), k=5))
@@ -627,6 +717,20 @@ def partition_rewrite(spark, sf_dir):
     return tables.read_table(spark, f"{base}/{tables.asset_table('raw_buoy_data')}", tables.ASSET_SCHEMAS["raw_buoy_data"])
 
 
+@query
+def catalog_table(spark, sf_dir):
+    """A table by name: made twice, filled twice, and whether it was there before and after."""
+    name = f"stations_{uuid.uuid4().hex}"
+    rows = adapters.stations(spark, sf_dir).select("station_id", "latitude", "longitude")
+    before = tables.table_exists(spark, name)
+    for _ in range(2):
+        tables.create_table(spark, name, rows.schema, location=scratch_path(spark, "catalog-table"))
+    tables.append(rows, name)
+    tables.append(rows.withColumn("latitude", F.col("latitude") + 1), name)
+    found = tables.read_table(spark, name)
+    return found.withColumns({"before": F.lit(before), "after": F.lit(tables.table_exists(spark, name))})
+
+
 @query
 def asset_metadata(spark, sf_dir):
     """What the sink reports of each write."""

@@ -122,3 +122,15 @@ def coverage_job(spark: SparkSession, catalogue_path: str, stations: str) -> Dat
 def satellite_decode(raw: DataFrame) -> DataFrame:
     """Long satellite table (`raw`, `scale_factor`, `fill_value`) with physical values."""
     return raw.withColumn("value", decode_scaled("raw", F.col("scale_factor"), F.col("fill_value")))
+
+
+def store_validated(rows: DataFrame, target: str) -> None:
+    """Good rows and rejects with their reasons in one pass, as two folders of one table."""
+    flagged = quality.flag_reasons(rows)
+    verdict = F.when(F.col("valid"), "accepted").otherwise("rejected")
+    tables.replace(flagged.withColumn(quality.VERDICT, verdict).drop("valid"), target, [quality.VERDICT])
+
+
+def stored_verdict(spark: SparkSession, target: str, verdict: str) -> DataFrame:
+    """The `accepted` or the `rejected` rows that `store_validated` left; the other folder is not read."""
+    return tables.read_table(spark, target).where(F.col(quality.VERDICT) == verdict).drop(quality.VERDICT)

@@ -97,6 +97,11 @@ NEAREST = f"""{GRID}, {SPOT}, pairs as (
     arg_min_null(value, row(d2, grid_idx)) as value
   from pairs group by 1, 2, 3, 4, 5, 6)"""
 
+def _unit(lat: str, lon: str) -> str:
+    parts = (f"cos(radians({lat})) * cos(radians({lon}))", f"cos(radians({lat})) * sin(radians({lon}))", f"sin(radians({lat}))")
+    return ", ".join(f"round({p} * 1e9) / 1e9 as {n}" for p, n in zip(parts, "xyz"))
+
+
 MONTH = "cast(date_trunc('month', datetime) as timestamp)"
 
 
@@ -152,6 +157,54 @@ TRENDS_OUT = (
 )
 
 
+def _scaled_scores() -> str:
+    """Scores by the first direction of the correlations, from squaring their matrix again and again."""
+    x, n = STD, range(4)
+    cells = [(i, j) for i in n for j in n]
+    complete = " and ".join(f"{c} is not null" for c in x)
+    corr = ", ".join(f"corr({x[i]}, {x[j]}) as c{i}{j}" for i, j in cells)
+    square = ", ".join("(" + " + ".join(f"c{i}{k} * c{k}{j}" for k in n) + f") / t as c{i}{j}" for i, j in cells)
+    trace = " + ".join(f"c{i}{k} * c{k}{i}" for i in n for k in n)
+    norm = "sqrt(" + " + ".join(f"c{i}0 * c{i}0" for i in n) + ")"
+    biggest = "greatest(" + ", ".join(f"abs(v{i})" for i in n) + ")"
+    sign = "case " + " ".join(f"when abs(v{i}) = {biggest} then sign(v{i})" for i in n) + " end"
+    score = " + ".join(f"v{i} * sgn * ({x[i]} - m{i}) / d{i}" for i in n)
+    return f"""{LOCATED},
+monthly as (
+  select station_id, {MONTH} as month, {", ".join(f"stddev_samp({m}) as {s}" for m, s in zip(M, x))}
+  from located group by 1, 2),
+moments as (
+  select {", ".join(f"avg({x[i]}) as m{i}, stddev_samp({x[i]}) as d{i}" for i in n)} from monthly where {complete}),
+power as (
+  select 0 as step, {corr} from monthly where {complete}
+  union all
+  select step + 1, {square} from (select *, {trace} as t from power where step < 20) s),
+direction as (
+  select *, {sign} as sgn from (select {", ".join(f"c{i}0 / {norm} as v{i}" for i in n)} from power where step = 20) s),
+scored as (
+  select monthly.*, case when {complete} then {score} end as consistency_score from monthly, direction, moments)"""
+
+
+def _euclidean() -> str:
+    """Silhouettes from the distance sums of each point to the ten groups that all clusterings are made of."""
+    z = ", ".join(f"({m} - avg({m}) over ()) / stddev_pop({m}) over () as x{i}" for i, m in enumerate(M))
+    gap = " + ".join(f"(a.x{i} - b.x{i}) * (a.x{i} - b.x{i})" for i in range(4))
+    label = {"cluster": "{}p - 1", **{f"by_{k}": f"({{0}}p * 3 + {{0}}odd) % {k}" for k in range(3, 8)}}
+    parts = " union all ".join(
+        f"""select '{name}' as clustering, id, {own.format("")} as own, {own.format("other_")} as other, total, n from sums"""
+        for name, own in label.items()
+    )
+    return f"""{REGIMES}, z as (select o_orderkey as id, p, o_orderkey % 2 as odd, {z} from regimes),
+      s as (select * from z order by md5(cast(id as varchar)), id limit 60000),
+      sums as (select a.id, a.p, a.odd, b.p as other_p, b.odd as other_odd, sum(sqrt({gap})) as total, count(*) as n
+        from s a, s b group by all),
+      parts as ({parts}),
+      d as (select clustering, id, own, other, sum(total) as total, sum(n) as n from parts group by all),
+      ab as (select clustering, id, max(case when own = other then n end) as mine,
+        max(case when own = other then total / (n - 1) end) as a, min(case when own <> other then total / n end) as b from d group by 1, 2)
+      select clustering, round(avg(case when mine > 1 then (b - a) / greatest(a, b) else 0 end), 6) as silhouette from ab group by 1"""
+
+
 def _det(rows: list[list[str]]) -> str:
     """Determinant as a sum over permutations."""
     n, terms = len(rows), []
@@ -305,6 +358,17 @@ def all_oracles() -> dict[str, str]:
             wave_height, dominant_period, average_period,
             case when l_linenumber <> 3 then mean_wave_direction end as mean_wave_direction,
             l_linenumber <> 2 as accepted from located""",
+        "row_validation_reasons": f"""with {LOCATED}, f as (
+            select *, l_linenumber = 2 as no_lat, l_orderkey % 5 = 0 as odd_lon, l_linenumber = 3 as odd_dir from located),
+            r as (select *, case when no_lat or odd_lon then 'rejected' else 'accepted' end as verdict, unnest(
+              case when not no_lat and not odd_lon and not odd_dir then [null]
+              else list_filter([case when no_lat then ['latitude', 'missing'] end, case when odd_lon then ['longitude', 'not a double'] end,
+                case when odd_dir then ['mean_wave_direction', 'not a double'] end], x -> x is not null) end) as r,
+              no_lat::int as a, odd_lon::int as b from f)
+            select verdict, cast(case r[1] when 'latitude' then 0 when 'longitude' then a when 'mean_wave_direction' then a + b end as int) as place,
+              r[1] as field, r[2] as reason, count(*) as n, count(*) filter (where not no_lat) as with_latitude,
+              count(*) filter (where not odd_lon) as with_longitude, count(*) filter (where not odd_dir) as with_mean_wave_direction
+            from r group by all""",
         "monthly_std": f"with {OBS} select station_id, {MONTH} as month, "
         + ", ".join(f"round(stddev_samp({m}), 6) as {s}" for m, s in zip(M, STD))
         + " from obs group by 1, 2",
@@ -325,6 +389,10 @@ def all_oracles() -> dict[str, str]:
             printf('%.2f', s) as score_text,
             (o_custkey % 90) || '.00' as latitude_text, (o_orderkey % 180) || '.00' as longitude_text
             from (select *, least(1.0, o_totalprice / 400000) as s from orders) x""",
+        "consistency_finite": """select cast(o_orderkey as varchar) as station_id, cast(date_trunc('month', o_orderdate) as timestamp) as month,
+            o_totalprice as consistency_score from orders where o_orderkey % 7 > 3
+            and o_orderdate >= date '1996-03-01' and o_orderdate < date '1997-11-01'""",
+        "consistency_scaled": f"with recursive {_scaled_scores()} select station_id, month, round(consistency_score, 4) as consistency_score from scored",
         "score_join": f"""with {OBS}, monthly as (
             select station_id, {MONTH} as month, {", ".join(f"stddev_samp({m}) as {s}" for m, s in zip(M, STD))}
             from obs group by 1, 2)
@@ -344,6 +412,12 @@ def all_oracles() -> dict[str, str]:
             where datetime between timestamp '2024-01-05' and timestamp '2024-01-20'""",
         "wave_data_station": f"""with {EV} select station_id, datetime, {", ".join(M)} from ev
             where datetime >= timestamp '2024-01-01' and datetime < timestamp '2024-02-01' and station_id = '42'""",
+        "range_checks": """select '2024-01-05' as start_date, '2024-01-20' as end_date, count(*) as n, cast(null as varchar) as refused
+            from events where ts between timestamp '2024-01-05' and timestamp '2024-01-20'
+            union all values ('2024-01-20', '2024-01-05', null, 'the range 2024-01-20 to 2024-01-05 runs backwards'),
+              ('2024-1-x', '2024-01-05', null, '''2024-1-x'' does not read as YYYY-MM-DD'),
+              ('2023-01-01', '2024-01-02', null, '366 days asked for, 31 are allowed'),
+              ('2024-12-20', '2025-01-02', null, '2025-01-02 has not begun yet')""",
         "last_day": f"""with {EV} select event_id, station_id, datetime, {", ".join(M)} from ev
             where datetime >= timestamp '2024-01-29 12:00:00'""",
         "nearest_grid_value": f"with {NEAREST} select * from nearest",
@@ -354,6 +428,15 @@ def all_oracles() -> dict[str, str]:
               spot.lat as spot_lat, spot.lng as spot_lng,
               (grid.lat - spot.lat) * (grid.lat - spot.lat) + (grid.lon - spot.lng) * (grid.lon - spot.lng) as d2
               from grid, spot, (values ('full', 1), ('half', 2)) f(param, parts)) pairs group by 1, 2, 3, 4, 5""",
+        "nearest_on_sphere": f"""with {GRID}, {SPOT}, sites as (
+              select name, country, lat, lng from spot union all
+              select name || ' edge', country, lat, case when cast(country as int) % 2 = 0 then 178.5 else -178.5 end from spot),
+            g as (select grid_idx, value, {_unit("lat", "lon")} from grid), s as (select *, {_unit("lat", "lng")} from sites),
+            pairs as (select grid_idx, value, name, country, s.lat as spot_lat, s.lng as spot_lng,
+              (g.x - s.x) * (g.x - s.x) + (g.y - s.y) * (g.y - s.y) + (g.z - s.z) * (g.z - s.z) as d2 from g, s)
+            select name, country, spot_lat, spot_lng, arg_min(grid_idx, row(d2, grid_idx)) as grid_idx,
+              arg_min_null(value, row(d2, grid_idx)) as value, round(2 * 6371.0088 * asin(least(1, sqrt(min(d2)) / 2)), 6) as km
+            from pairs group by 1, 2, 3, 4""",
         "swell_rows": _SWELL_ROWS,
         "model_samples": _SWELL_ROWS,
         "swell_wide": f"""with {NEAREST}
@@ -370,6 +453,8 @@ def all_oracles() -> dict[str, str]:
             timestamp '2024-01-01' as updated_at from st where met""",
         "coverage_job": f"""with {ST} select station_id, latitude, longitude,
             case when met then 'with_met' else 'without_met' end as coverage from st""",
+        "catalog_table": f"""with {ST} select station_id, latitude + more as latitude, longitude, false as before, true as after
+            from st, (values (0), (1)) m(more)""",
         "asset_metadata": f"""with {TABLE}, n as (select count(*) as everything,
             count(*) filter (where datetime < timestamp '1998-07-01') as early from obs_table)
             select 'wave_data_raw_buoy_data' as "table", '199806' as "partition", early as row_count, 11 as n_columns from n
@@ -415,6 +500,7 @@ def all_oracles() -> dict[str, str]:
               - 2 * ({" + ".join(f"x{i} * m{i}" for i in range(4))}) as far from zz, c),
             ab as (select id, max(case when p = q then far * n / (n - 1) end) as a, min(case when p <> q then far end) as b from d group by 1)
             select 5 as k, round(avg(1 - a / b), 6) as silhouette from ab""",
+        "silhouette_euclidean": f"with {_euclidean()}",
         "latest_per_station": f"""with {EV} select * from ev
             qualify row_number() over (partition by station_id order by datetime desc) = 1""",
         "forecast_mse": f"""with {by_station}

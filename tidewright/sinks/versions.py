@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -89,10 +89,12 @@ def read(
     return spark.read.schema(schema).option("basePath", base).parquet(*(f"{base}/{f}" for f in folders)).drop(FOLDER)
 
 
-def store(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> str:
+def store(
+    df: DataFrame, target: str, partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None
+) -> str:
     """Write data that no commit names yet; returns its folder below the table."""
     folder = f"{FOLDER}=v{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists")
+    writer = df.write.mode("errorifexists").options(**(options or {}))
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{target.rstrip('/')}/data/{folder}")
     return folder
 
@@ -129,9 +131,15 @@ def replace(df: DataFrame, target: str, partition_by: Sequence[str] = (), made_f
     return commit(df.sparkSession, target, lambda _: [(None, folder)], df.schema, made_from)
 
 
-def append(df: DataFrame, target: str, partition_by: Sequence[str] = (), part: str | None = None) -> int:
+def append(
+    df: DataFrame,
+    target: str,
+    partition_by: Sequence[str] = (),
+    part: str | None = None,
+    options: Mapping[str, str] | None = None,
+) -> int:
     """The rows of `df` come to the table, as a folder of `part`."""
-    folder = store(df, target, partition_by)
+    folder = store(df, target, partition_by, options)
     return commit(df.sparkSession, target, lambda there: [*there, (part, folder)], df.schema)
 
 
