@@ -362,8 +362,8 @@ def all_oracles() -> dict[str, str]:
             select *, l_linenumber = 2 as no_lat, l_orderkey % 5 = 0 as odd_lon, l_linenumber = 3 as odd_dir from located),
             r as (select *, case when no_lat or odd_lon then 'rejected' else 'accepted' end as verdict, unnest(
               case when not no_lat and not odd_lon and not odd_dir then [null]
-              else list_filter([case when no_lat then ['latitude', 'missing'] end, case when odd_lon then ['longitude', 'not a double'] end,
-                case when odd_dir then ['mean_wave_direction', 'not a double'] end], x -> x is not null) end) as r,
+              else [x for x in [case when no_lat then ['latitude', 'missing'] end, case when odd_lon then ['longitude', 'not a double'] end,
+                case when odd_dir then ['mean_wave_direction', 'not a double'] end] if x is not null] end) as r,
               no_lat::int as a, odd_lon::int as b from f)
             select verdict, cast(case r[1] when 'latitude' then 0 when 'longitude' then a when 'mean_wave_direction' then a + b end as int) as place,
               r[1] as field, r[2] as reason, count(*) as n, count(*) filter (where not no_lat) as with_latitude,
