@@ -478,6 +478,39 @@ def test_layouts_become_the_same_turns(spark):
     assert prints == 8  # both instruction records have one shape
 
 
+def test_more_fields_than_declared_and_unknown_shapes(spark):
+    """Extra fields, in a record or in a single message, cost no text; what fits no layout is counted."""
+    both = [("user", "q"), ("assistant", "a")]
+    cases = [
+        ({"messages": [{"role": "user", "content": "q", "name": "x"}, {"role": "assistant", "content": "a"}]}, both),
+        ({"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}], "meta": {"n": [1]}}, both),
+        ({"prompt": "q", "response": "a", "id": 3, "score": 0.5}, both),
+        ({"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a", "weight": 1}], "id": "z"}, both),
+        ({"instruction": "do", "input": "this", "output": "done", "lang": "en"}, [("user", "do"), ("user", "this"), ("assistant", "done")]),
+        ({"system": "s", "prompt": "q", "response": None, "x": 1}, [("system", "s"), ("user", "q"), ("assistant", "")]),
+        ({"role": "user", "text": "q", "at": "noon"}, [("user", "q")]),
+        # a field that one message lacks reads as empty; a message with other names altogether fits nothing
+        ({"messages": [{"role": "user"}, {"content": "a", "role": "assistant"}]}, [("user", ""), ("assistant", "a")]),
+        ({"messages": [{"role": "user", "content": "q"}, {"who": "assistant", "says": "a"}]}, []),
+        ({"messages": []}, []),
+        ({"something": {"else": 1}}, []),
+        ({"something": {"else": "one"}}, []),
+        ("only a text", []),
+        (None, []),
+    ]
+    rows = [(i, 0, None if record is None else json.dumps(record)) for i, (record, _) in enumerate(cases)]
+    rows += [(2, 1, json.dumps({"something": {"else": 2}}))]
+    records = spark.createDataFrame(rows, "conv_id long, turn long, json string").select("conv_id", "turn", F.parse_json("json").alias("record"))
+    got = {r["conv_id"]: r for r in formatted(records).collect()}
+    for i, (_, want) in enumerate(cases):
+        assert [(t["role"], t["text"]) for t in got[i]["turns"]] == want, cases[i]
+    unknown = {r["conv_id"]: len(r["unknown"]) for r in chat.format_conversations(records).collect()}
+    assert unknown == {**{i: 0 for i in range(14)}, 2: 1, 8: 1, 9: 1, 10: 1, 11: 1, 12: 1}
+    shapes = {r["shape"]: r["n"] for r in chat.unknown_shapes(records).collect()}
+    assert len(shapes) == 4 and shapes["OBJECT<something: OBJECT<else: BIGINT>>"] == 3
+    assert chat.unknown_shapes(records.where("false")).count() == 0
+
+
 def test_texts_that_imitate_the_template_come_back(spark):
     rng = random.Random(3)
     rows = []

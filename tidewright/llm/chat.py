@@ -1,7 +1,8 @@
 """Chat formatting of records in many layouts.
 
 A record is a VARIANT. The hash of its nested field paths, its schema fingerprint, selects one of the
-declared layouts; the layout says where the turns are. The canonical turns of a conversation are
+declared layouts; the layout says where the turns are. A record with more fields than any layout takes
+the one with the most declared fields of which it lacks none; shapes that fit none are reported. The canonical turns of a conversation are
 written with a template that marks each turn, and escaped so that reading the output back gives the
 very same turns. Everything is SQL expressions.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,12 @@ TURNS = "array<struct<role:string,text:string>>"
 _SCALARS = r"(?:STRING|VOID|BOOLEAN|BIGINT|FLOAT|DOUBLE|DECIMAL\(\d+,\d+\)|DATE|TIMESTAMP(?:_NTZ)?|BINARY|UUID|VARIANT)"
 
 
+def _leaves(x: object) -> int:
+    if isinstance(x, Mapping):
+        return sum(_leaves(v) for v in x.values())
+    return _leaves(x[0]) if isinstance(x, Sequence) and not isinstance(x, str) else 1
+
+
 def _shape(x: object) -> str:
     """The field paths of a nested example in the notation of schema_of_variant, types left out."""
     if isinstance(x, Mapping):
@@ -47,6 +55,18 @@ class Layout:
     def fingerprint(self) -> str:
         return hashlib.sha256(_shape(self.example).encode()).hexdigest()
 
+    def covers(self, record: Column) -> Column:
+        """Whether the record has every declared field, in each item of a list, whatever else it has."""
+
+        def has(value: Column, path: str) -> Column:
+            return F.try_variant_get(value, f"$.{path}", "variant").isNotNull()
+
+        tests = [has(record, key) for key in self.example if key != self.items]
+        if self.items:
+            items = F.try_variant_get(record, f"$.{self.items}", "array<variant>")
+            tests += [F.size(items) > 0, F.forall(items, lambda m: has(m, self.role) & has(m, self.text))]
+        return F.coalesce(reduce(lambda a, b: a & b, tests), F.lit(False))
+
     def turns(self, record: Column) -> Column:
         def get(path: str, kind: str = "string") -> Column:
             return F.try_variant_get(record, f"$.{path}", kind)
@@ -106,14 +126,31 @@ def schema_fingerprint(record: Column) -> Column:
 
 
 def canonical_turns(record: Column, layouts: Sequence[Layout] = LAYOUTS) -> Column:
-    """Array of (role, text) of a record, by the layout of its fingerprint; null for an unknown shape."""
+    """Array of (role, text) of a record, by the layout of its fingerprint; null for an unknown shape.
+
+    Fields that no layout declares cost nothing: without an exact fingerprint the layout with the most
+    fields that are all there counts, the first declared of equals.
+    """
     mark = schema_fingerprint(record)
+    choices = [(mark == layout.fingerprint(), layout) for layout in layouts]
+    choices += [(layout.covers(record), layout) for layout in sorted(layouts, key=lambda x: -_leaves(x.example))]
     out = F.lit(None).cast(TURNS)
-    for layout in reversed(layouts):
-        out = F.when(mark == layout.fingerprint(), layout.turns(record)).otherwise(out)
+    for fits, layout in reversed(choices):
+        out = F.when(fits, layout.turns(record)).otherwise(out)
     return out
 
 
+def unknown_shapes(records: DataFrame, record_col: str = "record", layouts: Sequence[Layout] = LAYOUTS) -> DataFrame:
+    """The shapes that no layout fits: `fingerprint`, `shape` and the number of records `n`.
+
+    Null records have no shape. Shapes that differ in types only are one, with the first of them by name.
+    """
+    record = F.col(record_col)
+    odd = records.where(record.isNotNull() & canonical_turns(record, layouts).isNull())
+    marked = odd.select(schema_fingerprint(record).alias("fingerprint"), F.schema_of_variant(record).alias("shape"))
+    return marked.groupBy("fingerprint").agg(F.min("shape").alias("shape"), F.count(F.lit(1)).alias("n"))
+
+
 def escape(text: Column, role: bool = False) -> Column:
     for what, code in ESCAPES if role else ESCAPES[:-1]:
         text = F.replace(text, F.lit(what), F.lit(code))
@@ -133,17 +170,22 @@ def format_conversations(
     record_col: str = "record",
     layouts: Sequence[Layout] = LAYOUTS,
 ) -> DataFrame:
-    """One row per conversation: `formatted`, the marked text, and `mask`, runs of (chars, loss).
+    """One row per conversation: `formatted`, the marked text, `mask`, runs of (chars, loss), and `unknown`.
 
     The mask has three runs per turn: its header, its text, its end mark. Loss is on the texts of
     the assistant. Records are ordered by `order_col`, null last. A record that holds several
     turns keeps their order; records that tie take turns, by role and text. Null ids form one conversation. A record of unknown
-    shape has no turn, and a conversation of such records an empty text; none is left out. Repeated
-    records are repeated turns. The whole conversation is one text, so it must fit in a row.
+    shape has no turn, and a conversation of such records an empty text; none is left out, and `unknown`
+    holds the fingerprint of each such record (see `unknown_shapes`). A null record has no turn either and
+    no fingerprint. Repeated records are repeated turns. The whole conversation is one text, so it must fit in a row.
     """
-    turns = F.coalesce(canonical_turns(F.col(record_col), layouts), F.array().cast(TURNS))
-    rows = records.select(F.col(id_col).alias("id"), F.col(order_col).alias("at"), turns.alias("turns"))
-    rows = rows.select("id", "at", F.posexplode_outer("turns").alias("pos", "said"))
+    turns = canonical_turns(F.col(record_col), layouts)
+    mark = schema_fingerprint(F.col(record_col))
+    rows = records.select(
+        F.col(id_col).alias("id"), F.col(order_col).alias("at"), turns.alias("turns"), mark.alias("mark")
+    )
+    odd = F.when(F.col("turns").isNull(), F.col("mark")).alias("odd")
+    rows = rows.select("id", "at", odd, F.posexplode_outer("turns").alias("pos", "said"))
     single = F.when(
         F.col("said").isNotNull(),
         F.struct(
@@ -151,7 +193,9 @@ def format_conversations(
             F.col("said.role").alias("role"), F.col("said.text").alias("text"),
         ),
     )
-    talks = rows.groupBy("id").agg(F.array_sort(F.collect_list(single)).alias("turns"))
+    talks = rows.groupBy("id").agg(
+        F.array_sort(F.collect_list(single)).alias("turns"), F.array_sort(F.collect_list("odd")).alias("unknown")
+    )
     pieces = F.transform(
         "turns",
         lambda t: F.struct(
@@ -160,7 +204,7 @@ def format_conversations(
             (t["role"] == "assistant").alias("loss"),
         ),
     )
-    talks = talks.select("id", pieces.alias("pieces"))
+    talks = talks.select("id", pieces.alias("pieces"), "unknown")
     text = F.transform("pieces", lambda p: F.concat(p["head"], p["body"], F.lit(END)))
     run = lambda chars, loss: F.struct(chars.cast("int").alias("chars"), loss.alias("loss"))
     runs = F.transform(
@@ -171,7 +215,7 @@ def format_conversations(
             run(F.lit(len(END)), F.lit(False)),
         ),
     )
-    return talks.select(F.col("id").alias(id_col), F.array_join(text, "").alias("formatted"), F.flatten(runs).alias("mask"))
+    return talks.select(F.col("id").alias(id_col), F.array_join(text, "").alias("formatted"), F.flatten(runs).alias("mask"), "unknown")
 
 
 def read_back(formatted: Column, mask: Column) -> Column:
