@@ -28,7 +28,7 @@ from tidewright.schemas import KEY, MEASURES, OBSERVATION, POSITION, STATION_TAB
 from tidewright.session import materialize, scratch_path
 from tidewright.sinks import tables
 from tidewright.sources import buoy_text, catalogue, grids
-from tidewright.streaming import ingest
+from tidewright.streaming import ingest, keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -179,6 +179,23 @@ def stream_ingest(spark, sf_dir):
     return ingest.merged_observations(spark, log)
 
 
+@query
+def stream_keyed(spark, sf_dir):
+    """Two deliveries through keyed state; the second also brings rows of the first days, which are too late.
+    Next to what is stored stands how many keys were."""
+    target, offsets = scratch_path(spark, "final"), scratch_path(spark, "offsets")
+    rows = adapters.landed_events(spark, sf_dir)
+    late = (F.col("event_id") % 10 == 0) & (F.col("datetime") < F.lit("2024-01-10"))
+    early = F.col("datetime") < F.lit("2024-01-16")
+    landing, missed = None, 0
+    for delivery in (rows.where(~late & early), rows.where(late | ~early)):
+        landing = adapters.write_landing(spark, sf_dir, delivery, landing)
+        run = keyed.ingest_keyed(spark, landing, target, offsets)
+        run.awaitTermination()
+        missed += keyed.late_keys(spark, run)
+    return keyed.final_observations(spark, target).withColumn("late_keys", F.lit(missed).cast("long"))
+
+
 @query
 def station_catalogue(spark, sf_dir):
     found = catalogue.scan_station_catalogue(spark, adapters.write_catalogue(spark, sf_dir))
@@ -360,9 +377,10 @@ def consistency_finite(spark, sf_dir):
 
 
 def trends_table(spark, sf_dir):
-    """The table that the labelling job leaves, which the read queries look into: written once per session."""
+    """The table that the labelling job leaves, which the read queries look into: written once per
+    session, and again where the scratch folder has been expired."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _TRENDS:
+    if key not in _TRENDS or not tables.table_exists(spark, _TRENDS[key]):
         target = scratch_path(spark, "trends")
         queries.store_consistency(trends(spark, sf_dir), target)
         _TRENDS[key] = target

@@ -316,6 +316,12 @@ def all_oracles() -> dict[str, str]:
             select station_id, datetime, cast(null as double) as latitude, cast(null as double) as longitude,
             {", ".join(f"coalesce(first.{c}, second.{c}) as {c}" for c in M)}
             from second left join first using (station_id, datetime)""",
+        "stream_keyed": f"""with {LANDED}, in_time as (
+            select * from ev where not (event_id % 10 = 0 and datetime < timestamp '2024-01-10')), late as (
+            select distinct station_id, date_trunc('minute', datetime) from ev where event_id % 10 = 0 and datetime < timestamp '2024-01-10'),
+            {_landing().removeprefix(f"{LANDED}, ").replace("from ev", "from in_time")}
+            select landed.*, (select count(*) from late) as late_keys from landed
+            where datetime <= (select date_trunc('minute', max(datetime)) from ev) - interval 2 days""",
         "ingest_report": f"""with {EV} select station_id, count(*) filter (where event_id % 11 <> 0) as rows_ok,
             count(*) filter (where event_id % 11 = 0) as rows_failed,
             case when count(*) filter (where event_id % 11 <> 0) > 0 then 'processed' else 'empty' end as status

@@ -234,6 +234,17 @@ def stream_buoy_lines(spark: SparkSession, path: str, max_files: int | None = No
     return _lines(reader, path)
 
 
+def stream_buoy_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """The lines of whole files as a stream, numbered by their place in the file; a file must fit in a row."""
+    reader = spark.readStream.option("wholetext", True)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    files = _lines(reader, path)
+    rest = [c for c in files.columns if c != "value"]
+    numbered = F.posexplode(F.split("value", "\r?\n")).alias("line_order", "value")
+    return files.select(*rest, numbered).withColumn("line_order", F.col("line_order").cast("bigint"))
+
+
 def scan_buoy_files(spark: SparkSession, path: str, skip_corrupt: bool = False) -> DataFrame:
     """All files of a landing folder as observation rows with `valid` and a total row order.
 
