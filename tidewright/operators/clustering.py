@@ -114,18 +114,25 @@ def with_cluster(model: KMeansModel, vectors: DataFrame) -> DataFrame:
     return model.transform(vectors).withColumn("cluster", F.element_at(number, F.col("_nearest") + 1)).drop("_nearest")
 
 
-def silhouettes(
+def judged_models(
     scaled: DataFrame, columns: Sequence[str], ks: Sequence[int] = CLUSTER_RANGE
-) -> list[tuple[int, float]]:
-    """Mean squared-Euclidean silhouette for each k over all rows; its cost is linear in them."""
+) -> list[tuple[int, float, KMeansModel]]:
+    """For each k the mean squared-Euclidean silhouette over all rows, at a cost linear in them, and the model."""
     points = fixed_layout(scaled, columns).persist()
     judge = ClusteringEvaluator(predictionCol="cluster", metricName="silhouette")
     try:
-        return [(k, judge.evaluate(with_cluster(fit_kmeans(points, k), points))) for k in ks]
+        models = [(k, fit_kmeans(points, k)) for k in ks]
+        return [(k, judge.evaluate(with_cluster(model, points)), model) for k, model in models]
     finally:
         points.unpersist()
 
 
+def silhouettes(
+    scaled: DataFrame, columns: Sequence[str], ks: Sequence[int] = CLUSTER_RANGE
+) -> list[tuple[int, float]]:
+    return [(k, score) for k, score, _ in judged_models(scaled, columns, ks)]
+
+
 def silhouettes_euclidean(
     scaled: DataFrame, columns: Sequence[str], ks: Sequence[int] = CLUSTER_RANGE
 ) -> list[tuple[int, float]]:
@@ -163,12 +170,16 @@ def cluster_observations(
     scaling = fit_scaling(obs, columns)
     scaled = scaling.apply(obs)
     names = scaling.outputs
-    if k is None:
-        if euclidean:
-            k = best_k(silhouettes_euclidean(sample_rows(scaled, sample or SAMPLE_ROWS), names))
-        else:
-            k = best_k(silhouettes(sample_rows(scaled, sample) if sample else scaled, names))
-    model = fit_kmeans(fixed_layout(scaled, names), k)
+    model = None
+    if k is None and euclidean:
+        k = best_k(silhouettes_euclidean(sample_rows(scaled, sample or SAMPLE_ROWS), names))
+    elif k is None and sample:
+        k = best_k(silhouettes(sample_rows(scaled, sample), names))
+    elif k is None:  # the models of all rows are there already
+        found = judged_models(scaled, names)
+        k = best_k([(n, score) for n, score, _ in found])
+        model = next(m for n, _, m in found if n == k)
+    model = model or fit_kmeans(fixed_layout(scaled, names), k)
     return with_cluster(model, with_features(scaled, names)).select(*obs.columns, "cluster")
 
 
