@@ -14,7 +14,7 @@ from tidewright.session import materialize
 
 # Points of a tile. Two tiles meet in a task at a time, and of one of them `STRIP_ROWS` points.
 TILE_ROWS = 2_000
-STRIP_ROWS = 250
+STRIP_ROWS = 50
 TILE = "x binary, label binary"
 SUMS = "clustering int, total double, n long"
 
@@ -134,7 +134,7 @@ def euclidean_silhouettes(
         F.col("x").alias("x2"),
         F.col("label").alias("label2"),
     )
-    pairs = left.join(right, "group").drop("group").repartition("tile").sortWithinPartitions("tile")
+    pairs = left.join(right, "group").drop("group").repartition(groups, "tile").sortWithinPartitions("tile")
     found = pairs.mapInArrow(_judge(len(columns), sizes), SUMS)
     means = found.groupBy("clustering").agg((F.sum("total") / F.sum("n")).alias("mean"))
     by_number = {r["clustering"]: r["mean"] for r in means.collect()}
