@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -77,6 +79,31 @@ def test_location_is_the_first_known_one(spark):
     assert {(r["station_id"], r["latitude"], r["longitude"]) for r in joined.collect()} == table
 
 
+def group_rows(plan) -> list[int]:
+    """Rows that each grouping step of an executed plan gave."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return group_rows(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return group_rows(plan.plan())
+    own = [plan.metrics().apply("numOutputRows").value()] if kind == "HashAggregateExec" else []
+    below = plan.children()
+    return sum((group_rows(below.apply(i)) for i in range(below.size())), own)
+
+
+def test_no_task_holds_the_groups_of_another(spark):
+    """Rows of every month in every input partition: each month is grouped in one place only."""
+    data = [
+        (f"s{i % 30}", ts("2024-01-01") + dt.timedelta(days=31 * (i // 30 % 2), hours=i), 1.0, 2.0, float(i), 1.0, 1.0, 1.0)
+        for i in range(960)
+    ]
+    obs = spark.createDataFrame(data, OBS).repartition(8)
+    groups = len({(r[0], r[1].month) for r in data})
+    for found in (consistency.monthly_table(obs), consistency.monthly_std_dev(obs)):
+        assert found.count() == len(found.collect()) == groups
+        assert set(group_rows(found._jdf.queryExecution().executedPlan())) == {groups}
+
+
 def test_component_agrees_with_numpy(spark):
     _, sdf = observations(spark)
     monthly = consistency.monthly_table(sdf)

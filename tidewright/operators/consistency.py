@@ -15,6 +15,8 @@ from tidewright.operators.quantiles import UNKNOWN_LABEL, exact_quantiles, terti
 from tidewright.schemas import CONSISTENCY, MEASURES, POSITION, SHORT_NAMES, STD_COLUMNS
 from tidewright.session import materialize
 
+_DEALT = "_dealt"
+
 
 def station_locations(obs: DataFrame) -> DataFrame:
     """First non-null latitude and longitude of each station, in time order."""
@@ -32,12 +34,25 @@ def _spreads() -> list[Column]:
     ]
 
 
+def _by_station_month(obs: DataFrame) -> DataFrame:
+    """The observations with their `month`, dealt out so that those of a station and month meet in one task.
+
+    A task that aggregates them then holds few groups, however much input a reading task has and in whatever
+    order; without this each reading task would hold nearly every group. The layout is a rebalancing hint:
+    adaptive execution keeps the parts to one size and cuts up a part that one station and month makes large,
+    whose pieces the grouping combines.
+    """
+    rows = obs.withColumn("month", month_start("datetime"))
+    # A column beside the keys: dealt out by the keys themselves, the rows of one could not be cut up.
+    return rows.withColumn(_DEALT, F.pmod(F.hash("station_id", "month"), F.lit(1 << 16))).hint("rebalance", _DEALT)
+
+
 def monthly_std_dev(obs: DataFrame) -> DataFrame:
     """Sample standard deviation of the measures per station and month.
 
     A month with one value has no deviation (NULL).
     """
-    return obs.groupBy("station_id", month_start("datetime").alias("month")).agg(*_spreads())
+    return _by_station_month(obs).groupBy("station_id", "month").agg(*_spreads())
 
 
 def with_locations(monthly: DataFrame, locations: DataFrame) -> DataFrame:
@@ -50,7 +65,7 @@ def monthly_table(obs: DataFrame) -> DataFrame:
     The location is taken per station and month in the same aggregate; the first month that
     has one gives the station's location. The window sees one row per month of a station.
     """
-    months = obs.groupBy("station_id", month_start("datetime").alias("month")).agg(
+    months = _by_station_month(obs).groupBy("station_id", "month").agg(
         *_spreads(), *[_first_in_time(c) for c in POSITION]
     )
     station = (
